@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from florilege.llm.durable import durable, shared_path
 from florilege.llm.near_dedup import near_duplicates
+from florilege.llm.packing import pack_documents
+from florilege.llm.token_files import read_token_digests, write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +21,21 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' token ids written to binary files with Elias-Fano boundaries, and read back."""
+    folder = shared_path(spark, "token-files")
+    manifest = durable(write_token_files(_table(spark, sf_dir, "documents"), folder), "manifest")
+    return read_token_digests(spark, folder, manifest)
+
+
+def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut into sequences of power-of-two lengths."""
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash_near_dedup": op1_minhash_near_dedup}
+    found = [op1_minhash_near_dedup, op8_token_files, op9_binary_packing]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
