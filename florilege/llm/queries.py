@@ -4,23 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from florilege.llm.durable import durable, shared_path
+from florilege.llm.language import predict_language, train_language
 from florilege.llm.near_dedup import near_duplicates
 from florilege.llm.packing import pack_documents
 from florilege.llm.token_files import read_token_digests, write_token_files
+from florilege.llm.toxicity import score_toxicity, train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(id_col: str, n: int) -> Column:
+    return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(n))
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at Jaccard 0.85 or more of their five-word shingles, with their components."""
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labelled documents outside the held-out fifth."""
+    docs = _table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels"), _fold("id", 5) != 0)
+    held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learnt from the documents outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents")
+    model = train_language(docs, _fold("id", 4) != 2)
+    held_out = F.coalesce(_fold("doc_id", 4) == 2, F.lit(False))
+    return predict_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' token ids written to binary files with Elias-Fano boundaries, and read back."""
     folder = shared_path(spark, "token-files")
@@ -34,7 +57,7 @@ def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_minhash_near_dedup, op8_token_files, op9_binary_packing]
+    found = [op1_minhash_near_dedup, op2_toxicity, op6_language_id, op8_token_files, op9_binary_packing]
     return {f.__name__: f for f in found}
 
 
