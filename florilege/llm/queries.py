@@ -8,13 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.durable import durable, shared_path
+from florilege.llm.fingerprints import edited_fingerprints
 from florilege.llm.language import predict_language, train_language
 from florilege.llm.near_dedup import near_duplicates
 from florilege.llm.packing import pack_documents
+from florilege.llm.pii import pseudonymise
 from florilege.llm.token_files import read_token_digests, write_token_files
 from florilege.llm.toxicity import score_toxicity, train_toxicity
 
 
+#: The key of the registered queries; a deployment passes its own secret.
+PII_KEY = "florilege-demo-key"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +42,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited copies."""
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learnt from the documents outside the held-out quarter."""
     docs = _table(spark, sf_dir, "documents")
@@ -56,8 +67,14 @@ def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with private data replaced by keyed pseudonyms, and the kinds that were replaced."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PII_KEY, kinds_col="kinds").select("doc_id", "text", F.size("kinds").alias("n_replaced"), F.array_join("kinds", ",").alias("kinds"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_minhash_near_dedup, op2_toxicity, op6_language_id, op8_token_files, op9_binary_packing]
+    found = [op1_minhash_near_dedup, op2_toxicity, op3_fingerprints, op6_language_id, op8_token_files, op9_binary_packing, op10_pii_pseudonyms]
     return {f.__name__: f for f in found}
 
 
