@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.durable import durable, shared_path
+from florilege.llm.embedding_dedup import near_embeddings
 from florilege.llm.fingerprints import edited_fingerprints
 from florilege.llm.language import predict_language, train_language
 from florilege.llm.near_dedup import near_duplicates
@@ -47,6 +48,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of one label linked at cosine 0.93 or more."""
+    return near_embeddings(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learnt from the documents outside the held-out quarter."""
     docs = _table(spark, sf_dir, "documents")
@@ -74,7 +80,7 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_minhash_near_dedup, op2_toxicity, op3_fingerprints, op6_language_id, op8_token_files, op9_binary_packing, op10_pii_pseudonyms]
+    found = [op1_minhash_near_dedup, op2_toxicity, op3_fingerprints, op4_lattice_near_dedup, op6_language_id, op8_token_files, op9_binary_packing, op10_pii_pseudonyms]
     return {f.__name__: f for f in found}
 
 
