@@ -3,11 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from florilege.llm.durable import durable
+from florilege.llm.mixing import mixing_rates, quality_domains, sample_at_rates
+from florilege.llm.near_dedup import drop_near_duplicates
+from florilege.llm.packing import pack_documents
+from florilege.llm.pii import pseudonymise
+from florilege.llm.toxicity import train_toxicity, with_toxicity
 
-STAGES: list = []
+#: Documents with this score or a higher one are rejected.
+TOXIC_FROM = 0.5
+#: Shingle similarity, in percent, from which documents are near duplicates.
+NEAR_PERCENT = 80
+#: A deployment passes its own secret.
+PII_KEY = "florilege-demo-key"
+#: Target weights of the label domains. Good documents stay as many as they are; poor ones are thinned out to their weight.
+MIXTURE, KEEP_WHOLE = {"good": 0.95, "poor": 0.05}, "good"
 
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model fitted to the labels does not call toxic."""
+    model = train_toxicity(docs, _labels(spark, sf_dir))
+    return with_toxicity(docs, model, score_col="__toxicity").where(F.col("__toxicity") < TOXIC_FROM).drop("__toxicity")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs, percent=NEAR_PERCENT)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with private data replaced by pseudonyms; ``n_chars`` follows the text."""
+    out = pseudonymise(docs, PII_KEY)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull() & F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled at the rates that bring the label domains to their target weights."""
+    rates = mixing_rates(docs, quality_domains(_labels(spark, sf_dir)), MIXTURE, keep_whole=KEEP_WHOLE)
+    return sample_at_rates(docs, rates)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of power-of-two lengths."""
+    return pack_documents(docs)
+
+
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing), ("packing", packing)]
+
+#: Models, hashes and a tokenizer are not expressible in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
