@@ -11,13 +11,18 @@ from florilege.llm.durable import durable, shared_path
 from florilege.llm.embedding_dedup import near_embeddings
 from florilege.llm.fingerprints import edited_fingerprints
 from florilege.llm.language import predict_language, train_language
+from florilege.llm.mixing import mixing_rates, quality_domains
 from florilege.llm.near_dedup import near_duplicates
 from florilege.llm.packing import pack_documents
 from florilege.llm.pii import pseudonymise
 from florilege.llm.token_files import read_token_digests, write_token_files
 from florilege.llm.toxicity import score_toxicity, train_toxicity
+from florilege.llm.url_filter import filter_urls
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+#: Target weights of the labels' domains.
+MIXTURE = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 #: The key of the registered queries; a deployment passes its own secret.
 PII_KEY = "florilege-demo-key"
 
@@ -53,6 +58,11 @@ def op4_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts for all page URLs."""
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learnt from the documents outside the held-out quarter."""
     docs = _table(spark, sf_dir, "documents")
@@ -61,6 +71,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling rates of all documents for the target weights of the label domains."""
+    return mixing_rates(_table(spark, sf_dir, "documents"), quality_domains(_table(spark, sf_dir, "labels")), MIXTURE)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' token ids written to binary files with Elias-Fano boundaries, and read back."""
     folder = shared_path(spark, "token-files")
@@ -80,7 +95,7 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_minhash_near_dedup, op2_toxicity, op3_fingerprints, op4_lattice_near_dedup, op6_language_id, op8_token_files, op9_binary_packing, op10_pii_pseudonyms]
+    found = [op1_minhash_near_dedup, op2_toxicity, op3_fingerprints, op4_lattice_near_dedup, op5_url_filter, op6_language_id, op7_domain_mixing, op8_token_files, op9_binary_packing, op10_pii_pseudonyms]
     return {f.__name__: f for f in found}
 
 

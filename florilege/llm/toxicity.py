@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from florilege.llm.shingles import chunks, mix64, text_buffers
 from florilege.llm.subwords import CHUNK_BYTES, Words
@@ -192,32 +193,36 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     return SubwordBag().fit([r[1] for r in rows], toxic, min(0.99, max(0.01, share)))
 
 
-def score_toxicity(docs: DataFrame, model: SubwordBag | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, score)`` for every row, over its whole text; score is 0 to 1, higher for toxic.
+def with_toxicity(docs: DataFrame, model: SubwordBag | None, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
+    """``docs`` with ``score_col`` after their other columns: the score of the whole text, 0 to 1, higher for toxic.
 
     Null and empty texts, and texts without words, get the score of an empty bag: the model's bias.
-    Without a model every score is 0. Null and repeated ids are scored row by row; an empty table gives no rows.
+    Without a model every score is 0. Every row is scored by itself; an empty table gives no rows. A column that is
+    already named ``score_col`` is replaced.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    flat = None if model is None else model.flat().astype(np.float64)
+    docs = docs.drop(score_col)
+    at = docs.columns.index(text_col)
     bias = 0.0 if model is None else float(model.bias[1] - model.bias[0])
     scale, offset = (1.0, 0.0) if model is None else (model.scale, model.offset)
-    shared = docs.sparkSession.sparkContext.broadcast(flat)
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else model.flat().astype(np.float64))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = shared.value
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
+            texts = batch.column(at).cast(pa.string())
+            _, offsets = text_buffers(texts)
             parts = [np.zeros(0)]
-            texts = batch.column(1)
             for first, last in chunks(offsets, CHUNK_BYTES):
-                n = last - first
                 if flat is None:
-                    parts.append(np.zeros(n))
+                    parts.append(np.zeros(last - first))
                 else:
-                    logit = scale * _logits(texts.slice(first, n).to_pylist(), flat, bias) + offset
+                    logit = scale * _logits(texts.slice(first, last - first).to_pylist(), flat, bias) + offset
                     parts.append(1 / (1 + np.exp(-np.clip(logit, -TRUNC, TRUNC))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(parts))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], names=[*batch.schema.names, score_col])
+
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(score, f"id {kind}, score double").withColumnRenamed("id", id_col)
+
+def score_toxicity(docs: DataFrame, model: SubwordBag | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, score)`` of ``with_toxicity``."""
+    return with_toxicity(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")), model, "__text", "score").drop("__text")
