@@ -8,16 +8,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from florilege.llm.components import connected_components
 from florilege.llm.durable import durable
 from florilege.llm.shingles import chunks, mix64, shingle_sets, text_buffers
 
-COORDINATES = 128
+COORDINATES = 640
 BANDS, ROWS = 25, 5
-#: Of the 128 coordinates, each pair of low bits agrees with probability j + (1 - j) / 4. At similarity 0.8 that is 108.8
-#: with a deviation of 4.0; candidates with fewer agreements than six deviations below the mean are not compared further.
-DEVIATIONS = 6
+#: The pairs of low bits of a coordinate agree with probability j + (1 - j) / 4. Candidates with fewer agreements than
+#: five deviations below the mean at the asked similarity (a chance of 3e-7) are not compared further.
+DEVIATIONS = 5
 
 
 def permute(position: np.ndarray) -> np.ndarray:
@@ -132,9 +133,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles have a Jaccard similarity of at least ``percent`` / 100.
 
     1. Documents with equal sets form a class; its smallest id stands for it from here on.
-    2. Classes that share a band key meet. Each is first compared with the smallest id of the bucket, then, once those
-       links are joined into components, with the members that are still in other components. A group of copies
-       thus needs about one comparison a member, and no bucket is capped.
+    2. Classes that share a band key meet. Each is first compared with the smallest id of its bucket; in buckets of
+       three and more also with the smallest id of the finer buckets that two neighbouring bands make. Once those
+       links are joined into components, it is compared with the members of its buckets that are still in other
+       components. A group of copies thus needs some comparisons a member, and no bucket is capped.
     3. A pair is passed on by an estimate from its signatures that six deviations separate from a loss, and then
        decided on the full shingle sets.
 
@@ -152,10 +154,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = stand.select(F.explode("bands").alias("key"), "id")
     buckets = banded.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = durable(banded.join(durable(buckets, "buckets"), "key").where("id <> leader"), "members")
-    facts = rows.where("d0 is not null").select("id", "n_shingles", *(f"s{j}" for j in range(COORDINATES // 32)))
+    facts = rows.where("d0 is not null").select("id", "n_shingles", "bands", *(f"s{j}" for j in range(COORDINATES // 32)))
 
     def candidates(pairs: DataFrame) -> DataFrame:
-        a, b = facts.alias("a"), facts.alias("b")
+        a, b = facts.drop("bands").alias("a"), facts.drop("bands").alias("b")
         near = pairs.join(a, F.col("x") == F.col("a.id")).join(b, F.col("y") == F.col("b.id")).where(_maybe_near("a", "b", percent))
         return near.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
@@ -168,12 +170,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         compared = joined.mapInArrow(_compare, f"a {kind}, b {kind}, shared long, total long")
         return compared.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
-    led = members.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct()
+    crowd = members.where("n > 2").select("id").distinct()
+    crowd = stand.select("id", "bands").join(crowd, "id", "left_semi")
+    fine = crowd.select("id", F.explode(F.transform("bands", lambda key, i: F.xxhash64(key, F.element_at("bands", F.pmod(i + 1, F.lit(BANDS)) + 1)))).alias("key"))
+    first = durable(fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
+    finer = fine.join(first, "key").where("id <> leader")
+    led = members.select(F.col("leader").alias("x"), F.col("id").alias("y")).union(finer.select("leader", "id")).distinct()
     labels = connected_components(confirmed(durable(candidates(led), "candidates")))
     placed = members.where("n > 2").select("key", "id").join(facts, "id").join(labels, F.col("id") == F.col("node"), "left")
     placed = durable(placed.withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
     a, b = placed.alias("a"), placed.alias("b")
-    apart = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & _maybe_near("a", "b", percent))
+    other = (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & _maybe_near("a", "b", percent)
+    once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.key")  # the first bucket that both are in
+    apart = a.join(b, (F.col("a.key") == F.col("b.key")) & other & once)
     apart = durable(apart.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "candidates")
     known = labels.withColumnRenamed("component", "at")
     more = durable(confirmed(apart), "links")
@@ -184,3 +193,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.join(merged.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
     component = F.coalesce("c2", "c1")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group that ``near_duplicates`` finds: the one with the smallest id.
+
+    Of rows that repeat an id one stays, that with the smallest hash of its text; rows with a null id stay.
+    """
+    found = durable(near_duplicates(docs, id_col, text_col, percent), "near-duplicates")
+    lost = found.where("not kept").select(id_col).distinct()
+    kept = docs.join(lost, id_col, "left_anti").select(docs.columns)
+    repeated = found.where("kept and component_id is not null").groupBy(id_col).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    if repeated.isEmpty():
+        return kept
+    several = kept.join(repeated, id_col, "left_semi").withColumn("__k", F.row_number().over(W.partitionBy(id_col).orderBy(F.xxhash64(text_col))))
+    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(several.where("__k = 1").select(docs.columns))
