@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ratio(a: str, b: str) -> float:
@@ -35,7 +36,7 @@ def _wratio(a: str, b: str) -> float:
 
 
 def _udf(score):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def scored(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else score(x.lower(), y.lower()) for x, y in zip(a, b, strict=True)], dtype="float64")
 

@@ -1,2 +1,163 @@
 """Registered queries on sketches, hierarchies and statistics."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from florilege.functions import sequence as seq
+from florilege.functions.similarity import token_set_ratio, wratio
+from florilege.functions.text import levenshtein_ratio
+from florilege.operators import joins as jo
+from florilege.operators import ontology as on
+from florilege.operators import statistics as stt
+from florilege.operators import windows as wi
+from florilege.plans.catalogue import query
+
+K, SIZE = 21, 200
+
+_SKETCH = f"""SELECT item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM benchmark"""
+
+
+@query(f"SELECT item_id, len(s) AS n, list_min(s) AS first, list_max(s) AS last FROM ({_SKETCH})")
+def x23_sketch(t):
+    s = seq.sketch(F.col("text"), K, SIZE, canonical=False)
+    return t.benchmark.select("item_id", s.alias("s")).select("item_id", F.size("s").cast("long").alias("n"), F.array_min("s").alias("first"), F.array_max("s").alias("last"))
+
+
+_DISTANCE = f"""j AS (SELECT a, b, len(list_intersect(u, list_intersect(sa, sb)))::DOUBLE / len(u) AS j FROM (SELECT a, b, sa, sb, list_slice(list_sort(list_distinct(list_concat(sa, sb))), 1, {SIZE}) AS u FROM p)),
+    d AS (SELECT a, b, CASE WHEN j <= 0 THEN 1.0 ELSE abs(-ln(2 * j / (1 + j)) / {K}) END AS dist FROM j)"""
+
+
+@query(f"""WITH k AS ({_SKETCH}), p AS (SELECT x.item_id AS a, y.item_id AS b, x.s AS sa, y.s AS sb FROM k x JOIN k y ON y.item_id = x.item_id + 1), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d""")
+def x24_sketch_distance(t):
+    s = t.benchmark.select("item_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
+    pairs = s.select(F.col("item_id").alias("a"), F.col("s").alias("sa")).join(s.select(F.col("item_id").alias("b"), F.col("s").alias("sb")), F.col("b") == F.col("a") + 1)
+    return pairs.select("a", "b", F.round(seq.sketch_distance(F.col("sa"), F.col("sb"), K, SIZE), 8).alias("dist"))
+
+
+#: Distance cutoff of one collection: a Jaccard similarity of 0.95 at k = 21.
+MAX_DIST = 0.00123693
+
+
+@query(f"""WITH k AS (SELECT doc_id AS item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM documents WHERE length(text) >= {K}),
+    m AS (SELECT item_id, unnest(s) AS h FROM k), c AS (SELECT x.item_id AS a, y.item_id AS b FROM m x JOIN m y ON x.h = y.h AND x.item_id < y.item_id GROUP BY 1, 2 HAVING count(*) >= 0.5 * (SELECT min(len(s)) FROM k)),
+    p AS (SELECT a, b, x.s AS sa, y.s AS sb FROM c JOIN k x ON a = x.item_id JOIN k y ON b = y.item_id), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d WHERE dist <= {MAX_DIST}""")
+def j12_similarity_join(t):
+    s = t.documents.where(F.length("text") >= K).select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
+    return jo.similarity_join(s, "doc_id", "s", K, MAX_DIST, SIZE).withColumn("dist", F.round("dist", 8))
+
+
+_EDGES = """e AS (SELECT 'c' || c_custkey AS id, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'r' || r_regionkey, 'root' FROM region),
+    cl AS (SELECT id, id AS ancestor, 0 AS depth FROM e UNION ALL SELECT 'root', 'root', 0 UNION ALL SELECT id, parent, 1 FROM e UNION ALL SELECT a.id, b.parent, 2 FROM e a JOIN e b ON a.parent = b.id UNION ALL SELECT a.id, c.parent, 3 FROM e a JOIN e b ON a.parent = b.id JOIN e c ON b.parent = c.id)"""
+
+
+def edges(t):
+    """A hierarchy of the star schema: customers, nations, regions, one root."""
+    name = lambda letter, key: F.concat(F.lit(letter), F.col(key).cast("string"))
+    rows = t.customer.select(name("c", "c_custkey").alias("id"), name("n", "c_nationkey").alias("parent"))
+    rows = rows.union(t.nation.select(name("n", "n_nationkey"), name("r", "n_regionkey")))
+    return rows.union(t.region.select(name("r", "r_regionkey"), F.lit("root")))
+
+
+@query(f"WITH {_EDGES} SELECT * FROM cl")
+def g1_ancestors(t):
+    return on.ancestors(edges(t))
+
+
+@query(f"""WITH {_EDGES}, h AS (SELECT id, max(depth) AS h FROM cl GROUP BY 1), u AS (SELECT DISTINCT o_orderpriority AS key, 'c' || o_custkey AS id FROM orders WHERE o_orderkey % 5 = 0),
+    x AS (SELECT u.key, cl.ancestor, h.h FROM u JOIN cl ON u.id = cl.id JOIN h ON cl.ancestor = h.id)
+    SELECT key, coalesce(string_agg(DISTINCT CASE WHEN h = 1 THEN ancestor END, ',' ORDER BY CASE WHEN h = 1 THEN ancestor END), '') AS level1, coalesce(string_agg(DISTINCT CASE WHEN h = 2 THEN ancestor END, ',' ORDER BY CASE WHEN h = 2 THEN ancestor END), '') AS level2 FROM x GROUP BY 1""")
+def g2_ancestor_levels(t):
+    ids = t.orders.where("o_orderkey % 5 = 0").select(F.col("o_orderpriority").alias("key"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("term"))
+    return on.ancestor_levels(ids, "key", "term", on.ancestors(edges(t)), [1, 2])
+
+
+@query("SELECT n_regionkey AS key, string_agg(s_name, ',' ORDER BY s_suppkey) AS names FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
+def g3_attach_terms(t):
+    ids = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("key"), F.col("s_suppkey").alias("term"))
+    return on.attach_terms(ids, "key", "term", t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")))
+
+
+@query("""SELECT 'c' || c_custkey AS id, 'known' AS status FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT 'c' || o_custkey, 'missing' FROM orders WHERE o_custkey % 4 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def g4_vocabulary_in_use(t):
+    name = lambda key: F.concat(F.lit("c"), F.col(key).cast("string"))
+    terms = t.customer.where("c_custkey % 4 <> 0").select(name("c_custkey").alias("id"))
+    known, missing = on.vocabulary_in_use(terms, t.orders.select(name("o_custkey").alias("ids")), "ids")
+    return known.select("id", F.lit("known").alias("status")).union(missing.select("id", F.lit("missing")))
+
+
+@query("SELECT 'c' || c_custkey AS id, n_name AS nation, 'n' || n_nationkey AS nation_id, r_name AS region, 'r' || r_regionkey AS region_id FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def g5_lineage_table(t):
+    terms = t.nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.lit("nation").alias("rank"))
+    terms = terms.union(t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")), "r_name", F.lit("region")))
+    ids = t.customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
+    return on.lineage_table(ids, "id", on.ancestors(edges(t)), terms, ["nation", "region"])
+
+
+@query(f"""WITH {_EDGES}, i AS (SELECT c_mktsegment AS key, 'c' || c_custkey AS term FROM customer WHERE c_custkey % 3 = 0 UNION SELECT c_mktsegment, 'n' || c_nationkey FROM customer WHERE c_nationkey < 12)
+    SELECT key, term FROM i WHERE NOT EXISTS (SELECT 1 FROM i j JOIN cl ON j.term = cl.id AND cl.id <> cl.ancestor WHERE j.key = i.key AND cl.ancestor = i.term)""")
+def j17_reduce_to_leaves(t):
+    ids = t.customer.where("c_custkey % 3 = 0").select(F.col("c_mktsegment").alias("key"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("term"))
+    ids = ids.union(t.customer.where("c_nationkey < 12").select("c_mktsegment", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))))
+    return jo.reduce_to_leaves(ids, on.ancestors(edges(t)), "key", "term")
+
+
+
+
+@query()
+def j16_fuzzy_cascade(t):
+    queries = t.part.select(F.lower("p_name").alias("q"))
+    vocab = t.part.where("p_partkey % 10 = 0").select("p_name")
+    types = t.part.select("p_type").distinct()
+    out = jo.fuzzy_cascade(queries, "q", [(vocab, "p_name", levenshtein_ratio, 90.0), (vocab, "p_name", wratio, 85.0), (types, "p_type", token_set_ratio, 80.0)])
+    return out.withColumn("score", F.round("score", 6))
+
+
+_SQ = "list_sum(list_transform(range(1, len(x.embedding) + 1), lambda i: pow(x.embedding[i]::DOUBLE - y.embedding[i]::DOUBLE, 2)))"
+
+
+@query(f"SELECT x.vec_id AS a, y.vec_id AS b, round(sqrt({_SQ}), 5) AS dist FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id < y.vec_id")
+def t1_pair_distances(t):
+    return stt.pair_distances(t.embeddings, "vec_id", "embedding", "label").withColumn("dist", F.round("dist", 5))
+
+
+@query(f"""WITH p AS (SELECT x.vec_id AS a, y.vec_id AS b, sqrt({_SQ}) AS dist FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id < y.vec_id),
+    r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS rank FROM (SELECT a, b, dist FROM p UNION ALL SELECT b, a, dist FROM p)) SELECT a, b, rank FROM r WHERE rank <= 3""")
+def w8_knn(t):
+    return wi.knn(stt.pair_distances(t.embeddings, "vec_id", "embedding", "label"), 3).select("a", "b", "rank")
+
+
+def _market(t):
+    """Feature vectors of customers: balance and order figures."""
+    sums = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("m"))
+    return t.customer.where("c_nationkey < 5").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("label"), "c_acctbal", "c_nationkey").join(sums, "id").withColumn("vec", F.array(F.col("c_acctbal") / 1000, F.col("n").cast("double"), F.col("m") / 10000))
+
+
+_FEATURES = """WITH s AS (SELECT o_custkey AS id, count(*)::DOUBLE AS n, avg(o_totalprice) AS m FROM orders GROUP BY 1),
+    v AS (SELECT c_custkey AS id, c_mktsegment AS label, c_nationkey, c_acctbal / 1000 AS x, n AS y, m / 10000 AS z FROM customer JOIN s ON c_custkey = s.id WHERE c_nationkey < 5)"""
+
+
+@query(f"""{_FEATURES}, d AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2 FROM v a JOIN v b ON a.id < b.id),
+    c AS (SELECT label, count(*) AS m FROM v GROUP BY 1), w AS (SELECT sum(d2) / (SELECT count(*) FROM v) AS st, sum(CASE WHEN la = lb THEN d2 / m ELSE 0 END) AS sw FROM d JOIN c ON d.la = c.label)
+    SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")
+def t2_permanova(t):
+    rows = _market(t)
+    return stt.permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label")).select(F.round("f", 6).alias("f"), F.round("r2", 6).alias("r2"))
+
+
+@query()
+def t3_pairwise_permanova(t):
+    rows = _market(t).where("c_nationkey < 2")
+    return stt.pairwise_permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label"), n_perm=19)
+
+
+@query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
+def t4_dispersion(t):
+    return stt.dispersion(_market(t), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
+
+
+@query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
+    p AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) AS v FROM d GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS mean FROM p)
+    SELECT round((sum(p.n * pow(p.m - t.mean, 2)) / (any_value(t.k) - 1)) / (sum(p.n * p.v) / (any_value(t.n) - any_value(t.k))), 5) AS f FROM p, t""")
+def t4_dispersion_f(t):
+    return stt.dispersion(_market(t), "label", "id", "vec")[1].withColumn("f", F.round("f", 5))
