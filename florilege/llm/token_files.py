@@ -18,7 +18,7 @@ from florilege.llm.elias_fano import EliasFano
 from florilege.llm.tokens import ended_documents, vocabulary
 
 #: A file is closed once it holds this many ids (or one longer document).
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
 _HEAD = struct.Struct("<8sBB6xQQQQ")
 _MAGIC = b"tokenids"
 
@@ -32,7 +32,7 @@ def pack_file(ids: np.ndarray, counts: np.ndarray, keys: np.ndarray, known: np.n
     bounds = EliasFano.of(np.concatenate([[0], np.cumsum(counts)])).to_bytes()
     bitmap = np.packbits(known, bitorder="little").tobytes()
     head = _HEAD.pack(_MAGIC, 1, wide, len(counts), len(ids), len(bounds), len(bitmap))
-    return b"".join([head, bounds, keys.astype("<i8").tobytes(), bitmap, ids.astype(f"<u{wide}").tobytes()])
+    return b"".join([head, bounds, keys.astype("<i8").tobytes(), bitmap, memoryview(ids.astype(f"<u{wide}", copy=False)).cast("B")])
 
 
 class TokenFile:
@@ -78,14 +78,13 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, names, sizes = TaskContext.get().partitionId(), [], []
-        ids, counts, keys, known = [], [], [], []
+        ids, counts, keys, known, held = [], [], [], [], 0
 
         def close() -> None:
             if counts:
                 name = f"part-{part:07d}-{len(names):07d}.tok"
                 all_counts = np.concatenate(counts)
-                data = pack_file(np.concatenate(ids), all_counts, np.concatenate(keys), np.concatenate(known))
-                _put(folder, name, data)
+                _put(folder, name, pack_file(np.concatenate(ids), all_counts, np.concatenate(keys), np.concatenate(known)))
                 names.append(name)
                 sizes.append((len(all_counts), int(all_counts.sum())))
                 for x in (ids, counts, keys, known):
@@ -95,12 +94,14 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
             key = batch.column(0)
             for first, encoded, n in ended_documents(batch.column(1), path, end_id):
                 some = key.slice(first, len(n))
-                ids.append(encoded)
+                ids.append(encoded if encoded.max() >= 1 << 16 else encoded.astype(np.uint16))
                 counts.append(n)
                 known.append(np.asarray(some.is_valid()))
                 keys.append(some.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-                if sum(map(len, ids)) >= FILE_IDS:
+                held += len(encoded)
+                if held >= FILE_IDS:
                     close()
+                    held = 0
         close()
         yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "n_docs": pa.array([x[0] for x in sizes], pa.int64()), "n_ids": pa.array([x[1] for x in sizes], pa.int64())})
 

@@ -11,8 +11,8 @@ import pyarrow as pa
 from florilege.llm.shingles import chunks, text_buffers
 
 #: Distinct words a worker remembers; beyond it the memory starts anew.
-REMEMBERED_WORDS = 600_000
-CHUNK_BYTES = 1 << 22
+REMEMBERED_WORDS = 400_000
+CHUNK_BYTES = 2 << 20
 
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 _SPACE = np.zeros(256, bool)
@@ -95,8 +95,9 @@ class WordEncoder:
         second[1:] = (part[:-1] == 0xC3) & _SECOND[part[1:]]
         plain = _LETTER[part] | second
         plain[:-1] |= second[1:]
-        unplain = np.concatenate([[0], np.cumsum(~plain)])
-        last = np.maximum.accumulate(np.where(_MARK[part], -1, np.arange(len(part)))) if len(part) else np.zeros(0, np.int64)
+        unplain = np.zeros(len(part) + 1, np.int32)
+        np.cumsum(~plain, out=unplain[1:])
+        last = np.maximum.accumulate(np.where(_MARK[part], np.int32(-1), np.arange(len(part), dtype=np.int32))) if len(part) else np.zeros(0, np.int32)
         core = np.maximum(last[stops - 1] + 1, starts) if len(stops) else stops
         simple = (core > starts) & (unplain[core] == unplain[starts])
         mask = np.zeros(len(part) + 1, np.int8)
