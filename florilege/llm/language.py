@@ -18,7 +18,9 @@ SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 #: The training sample: at most so many documents of each language, none longer than so many characters.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 500, 12_000
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 200, 6_000
+#: And at most so many documents in all, as long as each language has some.
+MOST_DOCUMENTS = 2_000
 #: At most so many languages are learnt, the most frequent ones.
 MOST_LANGUAGES = 200
 FAMILIES = {
@@ -54,10 +56,13 @@ class Tree:
         first = np.cumsum(n) - n
         share = count / np.maximum(words.counts, 1)[doc] / n[which]
         reps = n[which]
-        at = np.repeat(first[which] - (np.cumsum(reps) - reps), reps) + np.arange(reps.sum())
-        key, back = np.unique(np.repeat(doc, reps) * np.int64(BUCKETS) + bucket[at], return_inverse=True)
-        value = np.bincount(back, np.repeat(share, reps)) * 10
-        doc, bucket = np.divmod(key, np.int64(BUCKETS))
+        parts = []
+        for d in range(len(texts)):  # a document's features at a time
+            own = slice(*np.searchsorted(doc, [d, d + 1]))
+            at = np.repeat(first[which[own]] - (np.cumsum(reps[own]) - reps[own]), reps[own]) + np.arange(reps[own].sum())
+            found, back = np.unique(bucket[at], return_inverse=True)
+            parts.append((np.full(len(found), d, np.int32), found.astype(np.int32), (np.bincount(back, np.repeat(share[own], reps[own]), len(found)) * 10).astype(np.float32)))
+        doc, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
         family = np.array([next(f for f, some in self.families.items() if x in some) for x in languages]) if len(languages) else languages
         for k, (within, a, b) in enumerate(self.pairs):
             names = family if within is None else languages
@@ -125,7 +130,7 @@ def train_language(docs: DataFrame, usable: Column | None = None, id_col: str =
     languages = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
     if not languages:
         return None
-    picked = sample_of_classes(known, "lang", sorted(languages), per_language)
+    picked = sample_of_classes(known, "lang", sorted(languages), max(1, min(per_language, MOST_DOCUMENTS // len(languages))))
     texts = docs.where(F.length(text_col) <= longest).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = sorted((r.id, r.text, r.lang) for r in texts.join(F.broadcast(picked), "id").collect())
     return Tree(languages).fit([r[1] for r in rows], np.array([r[2] for r in rows]))

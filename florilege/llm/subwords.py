@@ -81,7 +81,9 @@ class Words:
 
     def features(self, sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """All features: word numbers in ascending order, and buckets (a power of two of them)."""
-        words, found = (np.concatenate(x) for x in zip(*self._features(sizes, buckets), strict=True))
+        parts = [(w.astype(np.int32), b.astype(np.int32)) for w, b in self._features(sizes, buckets)]
+        words, found = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.argsort(words, kind="stable")
         return words[order], found[order]
 
