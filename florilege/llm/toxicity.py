@@ -17,7 +17,7 @@ SIZES = (3, 4, 5)
 BUCKETS, DIMENSIONS = 1 << 17, 8
 PASSAGE_WORDS = 20
 #: The training sample: at most so many documents of each class, none longer than so many characters.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 2500, 12_000
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1500, 8_000
 TRUNC = 30.0
 #: N-grams of fewer words, counted once in each text of the sample, keep a zero vector.
 RARE_TEXTS = 3
@@ -42,7 +42,7 @@ class SubwordBag:
         held = np.arange(len(texts)) % 5 == 4
         if len(set(toxic[held])) < 2:
             held[:] = False
-        self._fit([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], epochs=8 if len(texts) > 4000 else 24)
+        self._fit([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], epochs=10 if len(texts) > 2500 else 24)
         if held.any():
             best = _logits([t for t, h in zip(texts, held, strict=True) if h], self.flat(), float(self.bias[1] - self.bias[0]))
             y = toxic[held]
