@@ -9,22 +9,20 @@ from pyspark.sql.window import Window as W
 
 from florilege.llm.expressions import let
 
-BINS = 256
+BINS, BIN_BITS = 128, 7
 WIDTH = 5
-HEX = "0123456789abcdef"
-#: Until empty bins are filled, each bin has four hexadecimal digits of its smallest hash, or this.
-EMPTY = "----"
+#: Low-order bits kept of each bin, two hexadecimal digits of the fingerprint.
+BITS, DIGITS = 8, 2
 #: Ranges of ids, dealt out for the search of the next document: so many for each shuffle partition, and in all.
 RANGES_A_PARTITION, MOST_RANGES = 4, 1024
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = " \t\n\x0b\f\r"
 
 
 def words(text: Column) -> Column:
-    """Runs of characters other than ASCII white space, with A-Z in lower case."""
-    trimmed = F.btrim(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(_BLANKS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+", -1))
+    """Runs of characters other than ASCII white space, in lower case."""
+    trimmed = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(_BLANKS))
+    return let(trimmed, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"[\x20\x09-\x0D]+", -1)))
 
 
 def _shingles(w: Column) -> Column:
@@ -34,66 +32,69 @@ def _shingles(w: Column) -> Column:
 
 
 def _bin(h: Column) -> Column:
-    return F.shiftright(h, 56).cast("int") + BINS // 2
+    return F.shiftright(h, 64 - BIN_BITS).cast("int") + BINS // 2
 
 
-def _low_digits(h: Column) -> Column:
-    return F.substring(F.hex(h.bitwiseAND(F.lit(0xFFFF)) + 0x10000), 2, len(EMPTY))
+def _bins(firsts: Column) -> Column:
+    """The smallest hash of each bin, null for bins without one. ``firsts``: those of the other bins, in order."""
+    none = F.lit(None).cast("long")
 
+    def placed(h: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(_bin(F.get(firsts, i - 1)))
+        return F.concat(F.array_repeat(none, _bin(h) - before - 1), F.array(h))
 
-def _sparse(ordered: Column) -> Column:
-    """Four digits for each bin that has a hash, ``----`` for the others. Bins are the hashes' high bits, so in ascending
-    order the first hash of each bin is its smallest one."""
+    return F.concat(F.flatten(F.transform(firsts, placed)), F.array_repeat(none, F.lit(BINS - 1) - _bin(F.get(firsts, F.size(firsts) - 1))))
 
-    def placed(firsts: Column) -> Column:
-        def digits(h: Column, i: Column) -> Column:
-            before = F.when(i == 0, F.lit(-1)).otherwise(_bin(F.get(firsts, i - 1)))
-            return F.concat(F.repeat(F.lit(EMPTY), _bin(h) - before - 1), _low_digits(h))
 
-        return F.concat(F.array_join(F.transform(firsts, digits), ""), F.repeat(F.lit(EMPTY), F.lit(BINS - 1) - _bin(F.get(firsts, F.size(firsts) - 1))))
+def _packed(firsts: Column) -> Column:
+    """Optimal densification: an empty bin tries bins drawn by a universal hash of its number and the attempt until one is
+    not empty, and takes its value. After eight times the attempts that are needed on average, the few bins still
+    empty take the value whose hash with their number is smallest. Of each value low bits of a hash with its bin's
+    number are kept, so that one value in many bins agrees with another by chance in few of them."""
 
-    return let(F.filter(ordered, lambda h, i: (i == 0) | (F.shiftright(h, 56) != F.shiftright(F.get(ordered, i - 1), 56))), placed)
+    def dense(bins: Column) -> Column:
+        def borrowed(j: Column) -> Column:
+            mean = F.ceil(F.lit(BINS) / F.size(firsts)).cast("int")
 
+            def tried(after: int, upto: int) -> Column:
+                tries = F.sequence(mean * after + 1, mean * upto)
+                return F.aggregate(tries, F.lit(None).cast("long"), lambda v, t: F.coalesce(v, F.get(bins, F.pmod(F.xxhash64(j, t), F.lit(BINS)).cast("int"))))
 
-def _packed(sparse: Column) -> Column:
-    """Optimal densification: an empty bin tries bins drawn by a universal hash of its number and the attempt until one is
-    not empty, and takes its value. After eight times the attempts that are needed on average, the few bins still
-    empty take the value of the bin whose hash with theirs is smallest. Of each value four low bits of a hash with its
-    bin's number are kept, so that one value in many bins agrees with another by chance in few of them."""
-    n = len(EMPTY)
-    filled = F.lit(BINS) - (F.length(sparse) - F.length(F.replace(sparse, F.lit("-"), F.lit("")))) / n
-    at = lambda k: F.substring(sparse, (k - 1) * n + 1, F.lit(n))
+            return F.coalesce(tried(0, 1), tried(1, 3), tried(3, 8), F.array_min(F.transform(firsts, lambda v: F.struct(F.xxhash64(v, j), v.alias("v"))))["v"])
+
+        def kept(j: Column) -> Column:
+            low = F.xxhash64(F.coalesce(F.get(bins, j), borrowed(j)), j).bitwiseAND(F.lit((1 << BITS) - 1))
+            return F.substring(F.hex(low + (1 << BITS)), 2, DIGITS)
+
+        return F.lower(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), kept), ""))
 
-    def value(j: Column) -> Column:
-        tries = F.sequence(F.lit(1), F.ceil(F.lit(8 * BINS) / filled).cast("int"))
-        tried = F.aggregate(tries, F.lit(EMPTY), lambda c, t: F.when(c != EMPTY, c).otherwise(at(F.pmod(F.xxhash64(j, t), F.lit(BINS)).cast("int") + 1)))
-        others = F.transform(F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda b: at(b) != EMPTY), lambda b: F.struct(F.xxhash64(F.lit(7), j, b), at(b).alias("c")))
-        return F.when(at(j) != EMPTY, at(j)).otherwise(let(tried, lambda c: F.when(c != EMPTY, c).otherwise(F.array_min(others)["c"])))
+    return let(_bins(firsts), dense)
 
-    def digit(j: Column) -> Column:
-        return F.substring(F.lit(HEX), F.xxhash64(value(j), j).bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1))
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(BINS)), digit), "")
+def _firsts(ordered: Column) -> Column:
+    """Bins are the hashes' high bits, so in ascending order the first hash of each bin is its smallest one."""
+    return F.filter(ordered, lambda h, i: (i == 0) | (F.shiftright(h, 64 - BIN_BITS) != F.shiftright(F.get(ordered, i - 1), 64 - BIN_BITS)))
 
 
 def fingerprint(text: Column) -> Column:
-    """256 hexadecimal digits; the empty string for a null text or one without words. Equal texts give equal fingerprints."""
+    """Packed bits as hexadecimal digits; the empty string for a null text or one without words. Equal texts give equal fingerprints."""
     hashes = let(words(text), _shingles)
-    return let(F.array_sort(hashes), lambda h: F.when(F.size(h) == 0, "").otherwise(let(_sparse(h), _packed)))
+    return let(F.sort_array(hashes), lambda h: F.when(F.size(h) == 0, "").otherwise(let(_firsts(h), _packed)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of two texts' shingles: the share of equal digits, less what is equal by chance.
+    """Estimated Jaccard similarity of two texts' shingles: the share of bins with equal bits, less what is equal by chance.
     Two fingerprints without shingles are alike, one with and one without are not."""
     part = lambda s, k: F.conv(F.substring(s, k * 8 + 1, F.lit(8)), 16, 10).cast("long")
 
     def add(n: Column, k: Column) -> Column:
-        """Digits of eight that differ: a digit's four bits are folded into its lowest."""
+        """Bytes of four that differ: a byte's bits are folded into its lowest."""
         x = part(a, k).bitwiseXOR(part(b, k))
-        return n + let(x.bitwiseOR(F.shiftright(x, 1)), lambda y: F.bit_count(y.bitwiseOR(F.shiftright(y, 2)).bitwiseAND(F.lit(0x11111111))))
+        two = x.bitwiseOR(F.shiftright(x, 1))
+        return n + let(two, lambda y: let(y.bitwiseOR(F.shiftright(y, 2)), lambda z: F.bit_count(z.bitwiseOR(F.shiftright(z, 4)).bitwiseAND(F.lit(0x01010101)))))
 
-    differ = F.aggregate(F.sequence(F.lit(0), F.lit(BINS // 8 - 1)), F.lit(0), add)
-    chance = 1 / len(HEX)
+    differ = F.aggregate(F.sequence(F.lit(0), F.lit(BINS * DIGITS // 8 - 1)), F.lit(0), add)
+    chance = 1 / (1 << BITS)
     share = (F.lit(BINS) - differ) / BINS
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(F.greatest(F.lit(0.0), (share - chance) / (1 - chance)))
 
