@@ -35,12 +35,12 @@ def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical:
     def hashed(m: Column) -> Column:
         return F.md5(F.concat(F.lit(f"{seed}:"), F.least(m, reverse_complement(m)) if canonical else m))
 
-    return F.slice(F.array_sort(F.array_distinct(F.transform(kmers(seq, k), hashed))), 1, s)
+    return F.slice(F.sort_array(F.array_distinct(F.transform(kmers(seq, k), hashed))), 1, s)
 
 
 def sketch_jaccard(a: Column, b: Column, s: int) -> Column:
     """Of the ``s`` smallest hashes of the union the share that is in both."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, s)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, s)
     return F.when(F.size(union) == 0, 0.0).otherwise(F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union))
 
 

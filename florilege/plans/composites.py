@@ -1,2 +1,247 @@
-"""Registered composite pipelines."""
+"""Composite pipelines, and their registered queries on the driver tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from florilege.functions import sequence as seq
+from florilege.functions import text as tx
+from florilege.operators import aggregates as ag
+from florilege.operators import columns as co
+from florilege.operators import filters as fi
+from florilege.operators import joins as jo
+from florilege.operators import ontology as on
+from florilege.operators import sets as st
+from florilege.operators import windows as wi
+from florilege.plans.catalogue import query
+from florilege.plans.models import edges
+
+
+def metadata_filter(records: DataFrame, assemblies: DataFrame, key: str, assembly: str, duplicate_of: str, description: str, regex: str, tags: tuple[str, str, str, str]) -> tuple[DataFrame, DataFrame]:
+    """Superseded records, unwanted descriptions and incomplete records go; assemblies are pruned to the survivors."""
+    joined = jo.star_join(records, [(assemblies, assembly, assembly, "_assembly")])
+    kept = fi.completeness_filter(fi.exclude_matching(fi.exclude_referenced(joined, key, duplicate_of), description, regex), *tags)
+    kept = kept.select(records.columns)
+    return kept, jo.prune_to({"a": assemblies}, kept, {"a": (assembly, assembly)})["a"]
+
+
+def deduplicate(records: DataFrame, id_col: str, content: str, order: list[str | Column], both_strands: bool = False) -> DataFrame:
+    """Every record with ``kept``, the id of the best record of its content, and ``group_size``.
+
+    Rows meet on a digest of their content. Only the criteria travel with it, and a group's best row is a minimum of them,
+    which is pre-aggregated, so a content that very many records share is one row a task. Null content is no copy of
+    anything."""
+    text = F.least(F.col(content), seq.reverse_complement(F.col(content))) if both_strands else F.col(content)
+    digest = F.when(F.col(content).isNull(), F.concat(F.lit("null:"), F.col(id_col).cast("string"))).otherwise(F.sha2(text, 256))
+    keys = []
+    for c in order:  # descending, nulls last
+        c = F.col(c) if isinstance(c, str) else c
+        keys += [c.isNull(), -c.cast("double")]
+    rows = records.select(F.col(id_col).alias("id"), digest.alias("digest"), F.struct(*keys, F.col(id_col)).alias("rank"))
+    best = rows.groupBy("digest").agg(F.min("rank").alias("best"), F.count("*").alias("group_size"))
+    return rows.join(best, "digest").select(F.col("id").alias(id_col), F.col(f"best.{id_col}").alias("kept"), "group_size")
+
+
+def chromosomal_screen(hits: DataFrame, record: str, locus: str, limits: dict, n_loci: int, near: DataFrame, best_hits: DataFrame, best_limits: dict) -> DataFrame:
+    """Records with more than ``n_loci`` distinct marker loci, near a reference (``near``: record) and with a hit of
+    their own above ``best_limits``."""
+    many = ag.over_threshold(fi.threshold_hits(hits, limits), record, locus, n_loci).select(record)
+    strong = fi.threshold_hits(best_hits, best_limits).select(record).distinct()
+    return many.join(near.select(record), record, "left_semi").join(strong, record, "left_semi")
+
+
+def artifact_filter(records: DataFrame, keys: list[str], id_col: str, size: str, content: str, k: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """C4: records of a group that a larger one contains go; the other frame lists what each winner includes."""
+    pairs = jo.group_pairs(records, keys, id_col, size)
+    shares = jo.containment_join(records, pairs, id_col, content, k)
+    sizes = records.select(F.col(id_col).alias("subject"), F.col(size).alias("size"))
+    contained = jo.find_contained(shares.join(sizes, "subject"), "query", "subject", "containment", least, "size")
+    return jo.remove_ids(records, contained.select("query"), id_col), jo.inclusions(contained, "query", "subject")
+
+
+def merge_reports(reports: dict, symbol: str, reference: str, other: str, prefix: str, part: list[str], start: str, stop: str, tol: int, id_col: str) -> DataFrame:
+    """Harmonised reports, equal hits kept once (sources in order of their names), then hits near a better one dropped."""
+    rows = jo.harmonize_symbol(st.harmonize_reports(reports), symbol, "source", reference, other, prefix)
+    once = wi.dedup_keep_first(rows, [*part, "symbol2", start, stop], ["source", id_col])
+    return jo.proximity_dedup(once, part, start, stop, tol, ["source"], id_col)
+
+
+def viral_curation(scores: DataFrame, contamination: DataFrame, genes: DataFrame, key: str, mge_terms: str) -> DataFrame:
+    """Scores and gene counts of each record joined one to one and turned into a category; genes of mobile elements
+    decide between the categories of a record without either."""
+    joined = jo.validated_join(scores, contamination, [key], "full", "1:1", distinct=True)
+    mobile = genes.where(F.lower("gene_description").rlike(mge_terms)).select(tx.nth_token(F.col("gene"), "__").alias(key)).distinct().withColumn("__mge", F.lit(True))
+    rules = [((F.col("viral_genes") > 0) & (F.col("hallmark") > 0), "likely_viral_1"), ((F.col("viral_genes") > 0) | (F.col("max_score") >= 0.95), "likely_viral_2"), (F.col("__mge"), "mge"), (F.col("host_genes") > 0, "non-viral")]
+    return joined.join(mobile, key, "left").withColumn("category", tx.categorize(rules, "undefined")).drop("__mge")
+
+
+def typing_table(types: DataFrame, mlst: DataFrame, key: str) -> DataFrame:
+    """One row a record: its typing with the sequence types of all schemes joined."""
+    named = mlst.select(key, tx.join_non_null([F.col("scheme"), tx.prefix_if_present(F.col("sequence_type"), "ST")], ":").alias("st"))
+    return co.normalize_nulls(jo.validated_join(types, ag.distinct_list(named, key, "st", ";").select(key, F.col("items").alias("pmlst")), [key], validate="1:1"), ("-", ""))
+
+
+def feature_tables(features: DataFrame, overlay: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features with overlays and names, and a table of each record's GC content and length."""
+    lo, hi = tx.ordered_range(F.col("start"), F.col("end"))
+    merged = jo.upsert_features(features, overlay, "id", "gene").withColumns({"start": lo, "end": hi})
+    named = merged.withColumn("name", tx.resolve_name(F.col("type"), F.col("gene"), F.col("product"), F.col("locus_tag"), ("hypothetical protein",), ("source", "gap")))
+    return named, records.select("id", F.round(seq.gc_fraction(F.col("seq")), 6).alias("gc"), F.length("seq").cast("long").alias("length"))
+
+
+def annotate_terms(rows: DataFrame, key: str, cols: list[str], mapping: DataFrame, query: str, value: str, prev: DataFrame, closure: DataFrame) -> DataFrame:
+    """Terms of each row looked up in a dictionary, decisions of the previous release taken over, ids reduced to the
+    most specific; ``check`` is the review queue's flag."""
+    terms = rows.select(key, F.explode(F.array_compact(F.array(*(F.nullif(F.trim(F.col(c)), F.lit("")) for c in cols)))).alias("term"))
+    found = jo.dictionary_join(terms, "term", mapping, query, value)
+    leaves = jo.reduce_to_leaves(found.where(F.col(value).isNotNull()).select(key, value), closure, key, value)
+    ids = ag.distinct_list(leaves, key, value).select(key, F.col("items").alias("ids"))
+    out = rows.select(key).join(ids, key, "left").withColumn("check", F.col("ids").isNull() | F.col("ids").contains(","))
+    return jo.carry_forward(out, prev, key, ["ids"], "check")
+
+
+def outlier_status(records: DataFrame, id_col: str, value: str, k: float, evidence: list[str], hard: tuple[float, float], manual: DataFrame) -> DataFrame:
+    """C11: suppressed records: statistical outliers without any evidence, values out of the hard range, and those listed."""
+    flagged = ag.iqr_outliers(records, value, k, log=True)
+    soft = fi.all_null(flagged.where("outlier"), evidence).select(id_col).withColumn("status", F.lit("outlier without evidence"))
+    out = fi.range_status(records.select(id_col, value), value, *hard, "out of range").select(id_col, "status")
+    rows = soft.unionByName(out).unionByName(manual.select(id_col).withColumn("status", F.lit("listed")))
+    return rows.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("status")), "; ").alias("status"))
+
+
+def information_table(records: DataFrame, members: DataFrame, key: str, item: str, codes: dict, coded: str) -> DataFrame:
+    """C14: records with the list of their members and a recoded attribute."""
+    lists = ag.list_unique(members, key, item).withColumnRenamed("items", "members")
+    return co.recode(jo.validated_join(records, lists, [key], validate="m:1"), coded, codes, strict=True)
+
+
+def similarity_database(records: DataFrame, id_col: str, content: str, k: int, s: int, max_dist: float) -> tuple[DataFrame, DataFrame]:
+    """Sketches and the canonical near pairs."""
+    sketches = records.where(F.length(content) >= k).select(id_col, seq.sketch(F.col(content), k, s, canonical=False).alias("sketch"))
+    return sketches, jo.canonical_pairs(jo.similarity_join(sketches, id_col, "sketch", k, max_dist, s))
+
+
+def review_queue(rows: DataFrame, flag: str, cols: list[str]) -> DataFrame:
+    """What a reviewer has to decide; the decided file goes back with ``carry_forward``."""
+    return rows.where(F.col(flag)).select(cols).distinct()
+
+
+# registered queries
+
+
+@query("""WITH r AS (SELECT *, CASE WHEN min(o_orderkey) OVER w <> o_orderkey THEN min(o_orderkey) OVER w END AS dup FROM orders WINDOW w AS (PARTITION BY o_custkey, o_orderstatus)),
+    k AS (SELECT * FROM r WHERE o_orderkey NOT IN (SELECT dup FROM r WHERE dup IS NOT NULL) AND NOT regexp_matches(lower(o_orderpriority), 'not specified'))
+    SELECT o_orderkey, o_custkey FROM k JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_mktsegment = 'BUILDING'""")
+def c1_metadata_filter(t):
+    first = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.min("o_orderkey").alias("first"))
+    rows = t.orders.join(first, ["o_custkey", "o_orderstatus"]).withColumn("dup", F.when(F.col("first") != F.col("o_orderkey"), F.col("first")))
+    kept, _ = metadata_filter(rows, t.customer.withColumnRenamed("c_custkey", "o_custkey"), "o_orderkey", "o_custkey", "dup", "o_orderpriority", "not specified", ("c_mktsegment", "BUILDING", "o_orderstatus", "F"))
+    return kept.select("o_orderkey", "o_custkey")
+
+
+@query("""WITH r AS (SELECT d.doc_id, d.source, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text ORDER BY (l.quality IS NOT NULL) DESC, l.quality DESC NULLS LAST, n_chars DESC NULLS LAST, d.doc_id) AS k
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) SELECT doc_id, source, group_size FROM r WHERE k = 1""")
+def c2_deduplication(t):
+    flags = fi.presence_flags(t.documents.join(t.labels, "doc_id", "left"), ["quality"])
+    found = deduplicate(flags, "doc_id", "text", [F.col("has_quality").cast("int"), "quality", "n_chars"])
+    return found.where("doc_id = kept").join(t.documents.select("doc_id", "source"), "doc_id").select("doc_id", "source", "group_size")
+
+
+@query("""WITH r AS (SELECT d.doc_id, text, row_number() OVER (PARTITION BY text ORDER BY (l.quality IS NOT NULL) DESC, l.quality DESC NULLS LAST, n_chars DESC NULLS LAST, d.doc_id) AS k FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+    SELECT a.doc_id, b.doc_id AS kept FROM r a JOIN r b ON a.text = b.text AND b.k = 1 WHERE a.k > 1""")
+def c2_identical_records(t):
+    flags = fi.presence_flags(t.documents.join(t.labels, "doc_id", "left"), ["quality"])
+    return deduplicate(flags, "doc_id", "text", [F.col("has_quality").cast("int"), "quality", "n_chars"]).where("doc_id <> kept").select("doc_id", "kept")
+
+
+@query("""WITH m AS (SELECT user_id FROM events WHERE value >= 10 GROUP BY 1 HAVING count(DISTINCT event_type) > 2) SELECT user_id FROM m WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') AND user_id IN (SELECT user_id FROM events WHERE value > 100)""")
+def c3_chromosomal_screen(t):
+    near = t.events.where("event_type = 'purchase'").select("user_id")
+    return chromosomal_screen(t.events, "user_id", "event_type", {"value": (">=", 10)}, 2, near, t.events, {"value": (">", 100)})
+
+
+@query()
+def c4_artifact_filter(t):
+    rows = t.benchmark.withColumn("group", F.substring("text", 1, 2)).withColumn("n", F.length("text"))
+    return artifact_filter(rows, ["group"], "item_id", "n", "text", 20, 0.5)[0].select("item_id")
+
+
+@query()
+def c5_merge_reports(t):
+    lines = t.lineitem.select(F.monotonically_increasing_id().alias("line"), "l_suppkey", "l_partkey", (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("stop"), "l_shipdate", "l_returnflag")
+    names = {"l_suppkey": "record", "l_partkey": "start", "l_returnflag": "gene"}
+    parts = {"amr": (lines.where("l_returnflag = 'R'"), names, {}), "rgi": (lines.where("l_returnflag <> 'R'"), names, {})}
+    return merge_reports(parts, "gene", "amr", "rgi", "bla", ["record"], "start", "stop", 10, "line").select("record", "start", "stop", "symbol2", "source")
+
+
+@query("""WITH f AS (SELECT l_orderkey AS id, l_partkey, l_linenumber, least(l_partkey, l_suppkey) AS lo, greatest(l_partkey, l_suppkey) AS hi, lower(l_returnflag) AS gene FROM lineitem) SELECT DISTINCT id, lo, hi, gene FROM f WHERE id % 2 = 0""")
+def c8_feature_ranges(t):
+    lo, hi = tx.ordered_range(F.col("l_partkey"), F.col("l_suppkey"))
+    return t.lineitem.where("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("id"), lo.alias("lo"), hi.alias("hi"), F.lower("l_returnflag").alias("gene")).distinct()
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey WHEN c_nationkey % 2 = 0 THEN 'n' || c_nationkey END AS ids, c_custkey % 10 <> 0 AND c_nationkey % 2 <> 0 AS "check" FROM customer""")
+def c9_annotate_terms(t):
+    named = jo.star_join(t.customer, [(t.nation, "c_nationkey", "n_nationkey", "_n"), (t.region, "n_regionkey", "r_regionkey", "_r")])
+    named = named.withColumn("region", F.when(F.col("c_nationkey") % 2 == 0, F.col("r_name"))).withColumn("nation", F.when(F.col("c_nationkey") % 2 == 0, F.lower("n_name")))
+    mapping = t.nation.select(F.col("n_name").alias("q"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("term_id"))
+    mapping = mapping.union(t.region.select("r_name", F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
+    prev = t.customer.where("c_custkey % 10 = 0").select("c_custkey", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("ids"))
+    return annotate_terms(named, "c_custkey", ["region", "nation"], mapping, "q", "term_id", prev, on.ancestors(edges(t)))
+
+
+@query("SELECT o_orderkey, o_custkey, coalesce(c_nationkey, -1) AS nation_id, CASE WHEN c_custkey IS NULL THEN 'orphan' ELSE 'public' END AS status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def c10_final_table(t):
+    joined = jo.validated_join(t.orders, t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_id"), F.lit("public").alias("status")), ["o_custkey"], validate="m:1")
+    ag.assert_unique(t.orders, ["o_orderkey"])
+    return co.cast_matching(joined, "nation_id", "int", -1).na.fill({"status": "orphan"}).select("o_orderkey", "o_custkey", "nation_id", "status")
+
+
+@query("""WITH q AS (SELECT quantile_cont(log10(n_chars), 0.25) AS q1, quantile_cont(log10(n_chars), 0.75) AS q3 FROM documents), s AS (
+    SELECT d.doc_id, 'outlier without evidence' AS status FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id, q WHERE (log10(n_chars) < q1 - (q3 - q1) OR log10(n_chars) > q3 + (q3 - q1)) AND quality IS NULL AND toxic IS NULL
+    UNION SELECT doc_id, 'out of range' FROM documents WHERE n_chars < 50 OR n_chars > 15000 UNION SELECT doc_id, 'listed' FROM documents WHERE doc_id % 97 = 0) SELECT doc_id, string_agg(status, '; ' ORDER BY status) AS status FROM s GROUP BY 1""")
+def c11_outlier_status(t):
+    rows = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id", "left")
+    return outlier_status(rows, "doc_id", "n_chars", 1.0, ["quality", "toxic"], (50, 15000), t.documents.where("doc_id % 97 = 0"))
+
+
+@query("SELECT 'orders' AS name, count(*) AS total, count_if(o_orderstatus = 'F')::BIGINT AS finished, count_if(o_totalprice > 100000)::BIGINT AS large FROM orders")
+def c12_summary(t):
+    return ag.coverage_report(t.orders, {"finished": F.col("o_orderstatus") == "F", "large": F.col("o_totalprice") > 100000}).select(F.lit("orders").alias("name"), "*")
+
+
+@query("""WITH c AS (SELECT p_brand, count(DISTINCT p_size % 3) AS a FROM part GROUP BY 1), e AS (SELECT p_brand, p_type, count(DISTINCT p_size % 3) AS b FROM part GROUP BY 1, 2), r AS (SELECT p_brand, min(p_type) AS representative FROM e JOIN c USING (p_brand) WHERE a = b GROUP BY 1),
+    m AS (SELECT p_brand, string_agg('GCF_' || lpad(p_partkey::VARCHAR, 8, '0'), ',' ORDER BY p_partkey) AS members FROM part WHERE p_brand NOT LIKE 'Brand#5%' GROUP BY 1) SELECT m.p_brand, members, representative FROM m LEFT JOIN r ON m.p_brand = r.p_brand""")
+def c13_family_summary(t):
+    rows = fi.exclude_prefix(t.part, "p_brand", ["Brand#5"]).withColumn("acc", tx.pad_id(F.col("p_partkey"), "GCF_", 8))
+    lists = jo.family_members(rows, "p_brand", "acc", {"members": "GCF_"})
+    best = ag.common_member(t.part.withColumn("cls", F.col("p_size") % 3), "p_brand", "cls", "p_type")
+    return lists.join(best, "p_brand", "left")
+
+
+@query("""SELECT r_regionkey, CASE r_name WHEN 'AFRICA' THEN 'AF' WHEN 'AMERICA' THEN 'AM' WHEN 'ASIA' THEN 'AS' WHEN 'EUROPE' THEN 'EU' WHEN 'MIDDLE EAST' THEN 'ME' END AS r_name, string_agg(n_name, ',' ORDER BY n_name) AS members FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_regionkey, r_name""")
+def c14_information_table(t):
+    codes = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
+    return information_table(t.region, t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), "r_regionkey", "n_name", codes, "r_name")
+
+
+@query()
+def c15_similarity_database(t):
+    pairs = similarity_database(t.documents, "doc_id", "text", 21, 200, 0.00123693)[1]
+    return pairs.withColumn("dist", F.round("dist", 8))
+
+
+@query("SELECT DISTINCT d.source, d.lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL")
+def c16_review_queue(t):
+    rows = t.documents.join(t.labels, "doc_id", "left").withColumn("check", F.col("quality").isNull())
+    return review_queue(rows, "check", ["source", "lang"])
+
+
+@query("""WITH k AS (SELECT user_id, event_type, min(value) AS v, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, count(*) AS n_features, sum(n)::BIGINT AS n_plots FROM k GROUP BY 1""")
+def k4_feature_json(t):
+    from florilege.sources.writers import to_feature_json
+
+    features = t.events.select("user_id", "event_type").distinct()
+    out = to_feature_json(features, t.events.select("user_id", "event_id", "value"), "user_id")
+    return out.select("user_id", F.json_array_length(F.get_json_object("json", "$.features")).cast("long").alias("n_features"), F.json_array_length(F.get_json_object("json", "$.plots")).cast("long").alias("n_plots"))
