@@ -122,7 +122,9 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_token_digests(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """A row per document of the files named in ``manifest``: ``doc_id``, ``start`` (ids of all documents before it),
-    ``n_tokens`` and ``ids_crc32``, all computed from the files."""
+    ``n_tokens`` and ``ids_crc32``, all computed from the files. An empty manifest gives no rows."""
+    if manifest.isEmpty():
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.tok").load(folder)
     rows = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").mapInArrow(_decode, "name string, doc_id long, start long, n_tokens long, ids_crc32 long")
     before = F.sum("n_ids").over(W.orderBy("name").rowsBetween(W.unboundedPreceding, -1))  # a row per file
