@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -189,7 +187,3 @@ def pivot_attributes(df: DataFrame, key: str, name: str, value: str, names: list
     if synonyms:
         canonical = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in synonyms.items() for x in p)), F.col(name)), F.col(name))
     return df.select(key, canonical.alias("__name"), value).groupBy(key).pivot("__name", names).agg(F.min(value))
-
-
-def all_of(predicates: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, predicates)

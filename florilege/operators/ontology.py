@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florilege.operators.lineage import checkpointed
+
 
 def ancestors(edges: DataFrame, max_depth: int = 32) -> DataFrame:
     """``(id, ancestor, depth)`` from ``edges(id, parent)``: every pair of a term and a term above it with the shortest
@@ -12,16 +14,11 @@ def ancestors(edges: DataFrame, max_depth: int = 32) -> DataFrame:
 
     One join a level, at most ``max_depth``; a level's new pairs are kept in a checkpoint, so plans stay short and a
     lost executor costs no earlier level. A cycle ends the search, since its pairs are known."""
-    spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="florilege-"))
     up = edges.where("id is not null and parent is not null").select("id", "parent").distinct()
     known = up.select("id").union(up.select("parent")).distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
     new = up.select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
     for d in range(2, max_depth + 2):
-        new = new.join(known, ["id", "ancestor"], "left_anti").checkpoint()
+        new = checkpointed(new.join(known, ["id", "ancestor"], "left_anti"))
         if new.isEmpty():
             break
         known = known.union(new)

@@ -245,9 +245,6 @@ def j10_group_pairs(t):
     return jo.group_pairs(rows, ["nation", "band"], "s_suppkey", "s_acctbal")
 
 
-_LINES = "SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS id, * FROM lineitem"
-
-
 @query("""WITH h AS (SELECT l_suppkey AS part, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) AS e, l_orderkey * 8 + l_linenumber AS id FROM lineitem),
     d AS (SELECT DISTINCT part, s, e, id FROM h)
     SELECT * FROM d x WHERE NOT EXISTS (SELECT 1 FROM d y WHERE x.part = y.part AND abs(x.s - y.s) <= 10 AND abs(x.e - y.e) <= 10 AND (y.s < x.s OR (y.s = x.s AND y.id < x.id)))""")
