@@ -11,9 +11,23 @@ ROUNDS = 10
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
 KEY_ID = r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)"
-SECRET = r"(?<!\w)(?:[Pp]assword|PASSWORD|[Pp]asswd|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa][Pp][Ii][_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\x22']?[A-Za-z0-9_+/-]{8,256}+[\x22']?"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
-DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?![\w/-]|\.\d)"
+#: The value of a secret runs to its closing quote in the line, without one to white space, whatever its length.
+_IN = {q: rf"(?:[^{q}\r\n]|(?<=\\){q})" for q in (r"\x22", "'")}
+_QUOTED = "|".join(rf"{q}(?={c}{{8}})[^{q}\r\n]*+(?:(?<=\\){q}[^{q}\r\n]*+)*+{q}" for q, c in _IN.items())
+_SHORT = "|".join(rf"{q}{c}{{0,7}}+(?<!\\){q}" for q, c in _IN.items())
+_BARE = rf"(?!{_SHORT})(?=[^\s\u00a0\u3000]{{8}})[^\s\u00a0\u3000]++"
+_SIGN = r"(?:=>|:=|[=:])(?![=:])\s{0,3}"
+#: Parts of a name before the keyword (access_token, DB_PASSWORD, clientSecret) need not be found: they stay.
+SECRET = rf"(?:(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api[_-]?key)|(?<=[a-z0-9])(?:Password|Passwd|Token|Secret|Api[_-]?Key))(?i:[_-]?(?:access[_-]?)?key)?[\x22']?\s{{0,3}}{_SIGN}(?:{_QUOTED}|{_BARE})"
+#: Lengths of the IBAN register, needed to tell where a grouped one ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA",
+    23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM",
+    28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_GROUPS = "|".join(rf"(?<=(?:{c})\d\d)(?:[ \u00a0][A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"[ \u00a0][A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+IBAN = rf"(?<!\w)[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|{_GROUPS})(?!\w)"
+DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}(?:(?=[Tt]\d)|(?![\w/-]|\.\d))|\d{1,2}[./]\d{1,2}[./]\d{4}(?![\w/-]|\.\d))"
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-])"
@@ -111,12 +125,19 @@ def _email(key: str, m: Column) -> Column:
 
 
 def _secret(key: str, m: Column) -> Column:
-    """The value after the sign becomes a keyed hash of as many hexadecimal digits (at most 256)."""
-    value = F.regexp_extract(m, r"([A-Za-z0-9_+/-]+)[\x22']?$", 1)
-    head = F.regexp_extract(m, r"^(.*?)[A-Za-z0-9_+/-]+[\x22']?$", 1)
-    tail = F.regexp_extract(m, r"([\x22']?)$", 1)
-    digest = F.concat(*(F.sha2(F.concat(F.lit(f"{key}|secret{k}|"), value), 256) for k in range(4)))
-    return F.concat(head, F.substring(digest, F.lit(1), F.length(value)), tail)
+    """The value after the sign becomes a keyed hash of as many hexadecimal digits.
+
+    Punctuation after a value without quotes is replaced with it but leaves the digits before as they are without it."""
+    head = F.regexp_extract(m, rf"^([^=:]*{_SIGN}[\x22']?)", 1)
+    rest = F.substring(m, F.length(head) + 1, F.length(m))
+    tail = F.regexp_extract(rest, r"([\x22'][\])},;.>]*)$", 1)
+
+    def blocks(v: Column) -> Column:
+        first = F.sha2(F.concat(F.lit(f"{key}|secret0|"), F.coalesce(F.nullif(F.regexp_replace(v, r"[.,;:!?)\]}>]+$", ""), F.lit("")), v)), 256)
+        more = lambda d: F.transform(F.sequence(F.lit(0), F.floor((F.length(v) - 1) / 64).cast("int")), lambda k: F.when(k == 0, d).otherwise(F.sha2(F.concat(F.lit(f"{key}|secret"), k.cast("string"), F.lit("|"), d), 256)))
+        return F.substring(let(first, lambda d: F.array_join(more(d), "")), F.lit(1), F.length(v))
+
+    return F.concat(head, let(F.substring(rest, F.lit(1), F.length(rest) - F.length(tail)), blocks), tail)
 
 
 def _key_id(key: str, m: Column) -> Column:
@@ -124,18 +145,27 @@ def _key_id(key: str, m: Column) -> Column:
     return F.concat(F.lit("AKIA"), F.translate(F.upper(F.substring(digest, 1, 16)), "01234567", "GHIJKLMN"))
 
 
+def _compact(m: Column) -> Column:
+    return F.translate(m, " \u00a0", "")
+
+
 def _iban(key: str, m: Column) -> Column:
     country, body = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m))
 
     def checked(new: Column) -> Column:
-        check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
+        check = F.lit(98) - _mod97(F.concat(_compact(new), country, F.lit("00")))
         return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
 
     return F.when(F.length(_digits(body)) == 0, m).otherwise(let(_refill(body, _permute_digits(key, "iban", _digits(body))), checked))
 
 
 def _iban_ok(m: Column) -> Column:
-    return _mod97(F.concat(F.substring(m, F.lit(5), F.length(m)), F.substring(m, 1, 4))) == 1
+    return _mod97(_compact(F.concat(F.substring(m, F.lit(5), F.length(m)), F.substring(m, 1, 4)))) == 1
+
+
+def _no_iban(m: Column) -> Column:
+    """Of what only looks like a grouped IBAN, the first group: the rest may be a number of another kind."""
+    return F.when(m.rlike(r"^[A-Z]{2}[0-9]{2}[ \u00a0]") & m.rlike(f"^(?:{IBAN})$"), F.when(~_iban_ok(m), F.substring(m, 1, 5))).otherwise(F.lit(None).cast("string"))
 
 
 def _ipv4_ok(m: Column) -> Column:
@@ -217,7 +247,7 @@ def _kind(m: Column) -> Column:
     """The kind of a find, null if it doesn't hold as one."""
     full = lambda pattern: m.rlike(f"^(?:{pattern})$")
     return (
-        F.when(m.contains("@"), "email")
+        F.when(m.contains("@") & full(EMAIL), "email")
         .when(full(KEY_ID), "key")
         .when(full(SECRET), "secret")
         .when(full(IBAN), F.when(_iban_ok(m), "iban"))
@@ -248,10 +278,15 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", kinds_col: s
     pass unchanged, whatever their names.
     """
     found, gaps = "__florilege_found", "__florilege_gaps"
+
+    def one(find: Column) -> Column:
+        replaced = lambda p: let(_kind(p["m"]), lambda k: F.struct(k.alias("kind"), F.concat(p["head"], pseudonym(p["m"], k, key)).alias("new")))
+        return let(F.coalesce(_no_iban(find), F.lit("")), lambda h: let(F.struct(h.alias("head"), F.substring(find, F.length(h) + 1, F.length(find)).alias("m")), replaced))
+
     text = F.col(f"`{text_col}`").cast("string")
     marked = docs.withColumn(found, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     marked = marked.withColumn(gaps, F.when(F.size(found) > 0, F.split(text, ANY, -1)))
-    marked = marked.withColumn(found, F.transform(found, lambda m: let(_kind(m), lambda k: F.struct(k.alias("kind"), pseudonym(m, k, key).alias("new")))))
+    marked = marked.withColumn(found, F.transform(found, one))
     parts = F.zip_with(F.col(found), F.slice(F.col(gaps), F.lit(2), F.greatest(F.size(found), F.lit(0))), lambda p, g: F.concat(p["new"], g))
     new = F.when(F.size(found) > 0, F.concat(F.col(gaps)[0], F.array_join(parts, ""))).otherwise(text)
     out = marked.withColumn(text_col, new)

@@ -136,6 +136,37 @@ def test_pseudonyms(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and "1e738d199cb6c4db8d" not in got[5].text
 
 
+def test_secrets_go_whole(spark):
+    values = ["x1Y-" * 75, "eyJhbGci.eyJzdWIi.c2lnbmF0dXJl", "Tr0ub4dor&3xyz", "P@ssw0rd.com'9", "abcdefgh1!)"]
+    names = ["token=", "access_token=", "DB_PASSWORD: ", "client_secret=", "clientSecret = ", "AWS_SECRET_ACCESS_KEY="]
+    pairs = [(n, v) for n in names for v in values]
+    texts = [f"a {n}{v} b" for n, v in pairs] + [f'{{"{n}": "{v}", "b": 1}}' for n, v in [("password", "correct horse 9"), ("api-key", 'q\\"uoted12')]]
+    texts += ['password="abc", user="d"', "Token::Identifier(name) token", "token=abcdefgh1 token=abcdefgh1. 'token=abcdefgh1', end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k", kinds_col="kinds").collect()}
+    for i, (n, v) in enumerate(pairs):
+        new = got[i].text
+        assert got[i].kinds == ["secret"] and new.startswith(f"a {n}") and new.endswith(" b") and len(new) == len(texts[i])
+        assert set(new[len(n) + 2 : -2]) <= set("0123456789abcdef") and new[len(n) + 2 : -2] != v
+    k = len(pairs)
+    assert "horse" not in got[k].text and got[k].text.endswith('", "b": 1}') and "oted12" not in got[k + 1].text and got[k + 1].text.endswith('", "b": 1}')
+    assert got[k + 2].text == texts[k + 2] and got[k + 3].text == texts[k + 3]
+    one, two, three, _ = got[k + 4].text.split(" ")
+    assert two.startswith(one) and three == f"'{one}',"
+
+
+def test_grouped_ibans_and_timestamps(spark):
+    texts = ["to DE89 3704 0044 0532 0130 00 EUR", "AT61 1904 3002 3457 3201 EUR 4337 1665 9846 4399", "AT12 4337 1665 9846 4399", "DE88 3704 0044 0532 0130 00", "at 2024-02-29T10:00Z, 2023-02-29T10:00 2024-02-29X", "GB82 WEST 1234 5698 7654 32"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k", kinds_col="kinds").collect()}
+    assert [got[i].kinds for i in range(6)] == [["iban"], ["iban", "card"], ["card"], [], ["date"], ["iban"]]
+    for text, old in ((got[0].text[3:-4], texts[0][3:-4]), (got[1].text[:24], texts[1][:24]), (got[5].text, texts[5])):
+        c = text.replace(" ", "")
+        assert text != old and [len(x) for x in text.split(" ")] == [len(x) for x in old.split(" ")] and int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 == 1
+    assert got[2].text.startswith("AT12 ") and got[2].text != texts[2] and got[3].text == texts[3]
+    assert got[4].text[:3] == "at " and "2024-02-29T" not in got[4].text and got[4].text.endswith("T10:00Z, 2023-02-29T10:00 2024-02-29X")
+
+
 def test_digit_permutation_is_one_to_one(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     out = {r[0] for r in df.select(pii._permute_digits("k", "x", F.col("d"))).collect()}
