@@ -130,34 +130,61 @@ def w8_knn(t):
 def _market(t):
     """Feature vectors of customers: balance and order figures."""
     sums = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("m"))
-    return t.customer.where("c_nationkey < 5").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("label"), "c_acctbal", "c_nationkey").join(sums, "id").withColumn("vec", F.array(F.col("c_acctbal") / 1000, F.col("n").cast("double"), F.col("m") / 10000))
+    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("label"), "c_acctbal", "c_nationkey").join(sums, "id").withColumn("vec", F.array(F.col("c_acctbal") / 1000, F.col("n").cast("double"), F.col("m") / 10000))
 
 
 _FEATURES = """WITH s AS (SELECT o_custkey AS id, count(*)::DOUBLE AS n, avg(o_totalprice) AS m FROM orders GROUP BY 1),
     v AS (SELECT c_custkey AS id, c_mktsegment AS label, c_nationkey, c_acctbal / 1000 AS x, n AS y, m / 10000 AS z FROM customer JOIN s ON c_custkey = s.id WHERE c_nationkey < 5)"""
 
 
+#: The queries on _FEATURES cover the five nations of their SQL; those on _ALL_FEATURES cover all.
+_ALL_FEATURES = _FEATURES.replace(" WHERE c_nationkey < 5", "")
+
+
 @query(f"""{_FEATURES}, d AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2 FROM v a JOIN v b ON a.id < b.id),
     c AS (SELECT label, count(*) AS m FROM v GROUP BY 1), w AS (SELECT sum(d2) / (SELECT count(*) FROM v) AS st, sum(CASE WHEN la = lb THEN d2 / m ELSE 0 END) AS sw FROM d JOIN c ON d.la = c.label)
     SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")
 def t2_permanova(t):
-    rows = _market(t)
+    rows = _market(t).where("c_nationkey < 5")
     return stt.permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label")).select(F.round("f", 6).alias("f"), F.round("r2", 6).alias("r2"))
 
 
+@query(f"""{_ALL_FEATURES}, c AS (SELECT label, count(*) AS m, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), g AS (SELECT avg(x) AS gx, avg(y) AS gy, avg(z) AS gz FROM v),
+    w AS (SELECT sum(pow(x - gx, 2) + pow(y - gy, 2) + pow(z - gz, 2)) AS st, sum(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS sw FROM v JOIN c ON v.label = c.label, g)
+    SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")
+def t2_permanova_all(t):
+    return stt.permanova_of_vectors(_market(t), "id", "vec", "label", n_perm=0).select(F.round("f", 6).alias("f"), F.round("r2", 6).alias("r2"))
+
+
+@query()
+def t2_permanova_p(t):
+    return stt.permanova_of_vectors(_market(t), "id", "vec", "label")
+
+
 @query()
 def t3_pairwise_permanova(t):
-    rows = _market(t).where("c_nationkey < 2")
-    return stt.pairwise_permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label"), n_perm=19)
+    return stt.pairwise_permanova_of_vectors(_market(t), "id", "vec", "label")
 
 
 @query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
 def t4_dispersion(t):
-    return stt.dispersion(_market(t), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
+    return stt.dispersion(_market(t).where("c_nationkey < 5"), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
 
 
 @query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
     p AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) AS v FROM d GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS mean FROM p)
     SELECT round((sum(p.n * pow(p.m - t.mean, 2)) / (any_value(t.k) - 1)) / (sum(p.n * p.v) / (any_value(t.n) - any_value(t.k))), 5) AS f FROM p, t""")
 def t4_dispersion_f(t):
+    return stt.dispersion(_market(t).where("c_nationkey < 5"), "label", "id", "vec")[1].withColumn("f", F.round("f", 5))
+
+
+@query(f"""{_ALL_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
+def t4_dispersion_all(t):
+    return stt.dispersion(_market(t), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
+
+
+@query(f"""{_ALL_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
+    p AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) AS v FROM d GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS mean FROM p)
+    SELECT round((sum(p.n * pow(p.m - t.mean, 2)) / (any_value(t.k) - 1)) / (sum(p.n * p.v) / (any_value(t.n) - any_value(t.k))), 5) AS f FROM p, t""")
+def t4_dispersion_f_all(t):
     return stt.dispersion(_market(t), "label", "id", "vec")[1].withColumn("f", F.round("f", 5))

@@ -1,5 +1,6 @@
 """Catalogue operators on small frames: null keys, ties, duplicates, empty tables."""
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from florilege.operators import filters as fi
 from florilege.operators import joins as jo
 from florilege.operators import ontology as on
 from florilege.operators import sets as st
+from florilege.operators import statistics as stt
 from florilege.operators import windows as wi
+from florilege.plans import catalogue
 from florilege.plans import composites as cp
 
 
@@ -153,3 +156,33 @@ def test_feature_tables(spark):
     named, seqs = cp.feature_tables(feats, over, spark.createDataFrame([("r", "GGCC")], "id string, seq string"))
     assert rows(named.select("name", "start", "end")) == [("", 1, 1), ("TETA", 2, 3)]
     assert rows(seqs) == [("r", 1.0, 4)]
+
+
+def test_permutations_of_slots_are_permutations():
+    keys = np.random.default_rng(0).integers(0, 2**32, (2000, stt.ROUNDS), np.uint32)
+    for n in (1, 2, 7, 30, 101):
+        moved = stt.permuted_slots(np.arange(n), n, keys)
+        assert (np.sort(moved, 1) == np.arange(n)).all()
+    moved = stt.permuted_slots(np.arange(7), 7, keys)
+    assert all(abs(np.bincount(moved[:, i], minlength=7) / 2000 - 1 / 7).max() < 0.04 for i in range(7))
+
+
+def test_tests_of_vectors_equal_those_of_pairs(spark):
+    rng = np.random.default_rng(3)
+    table = [(i, "abc"[i % 3], [float(v) for v in rng.normal(0.35 * (i % 3 == 2), 1, 2) + 50]) for i in range(60)]
+    df = spark.createDataFrame(table, "id long, label string, vec array<double>")
+    pairs, groups = stt.pair_distances(df, "id", "vec"), df.select("id", "label")
+    one, given = stt.permanova_of_vectors(df, "id", "vec", "label", 999).first(), stt.permanova(pairs, groups, 399).first()
+    assert one.f == pytest.approx(given.f) and one.r2 == pytest.approx(given.r2) and abs(one.p - given.p) < 0.1
+    got = {(r.group1, r.group2): r for r in stt.pairwise_permanova_of_vectors(df, "id", "vec", "label", 999).collect()}
+    want = {(r.group1, r.group2): r for r in stt.pairwise_permanova(pairs, groups, 399).collect()}
+    assert got.keys() == want.keys() and len(got) == 3
+    assert all(got[k].f == pytest.approx(want[k].f) and got[k].r2 == pytest.approx(want[k].r2) and abs(got[k].p - want[k].p) < 0.1 for k in got)
+
+
+def test_tests_cover_all_nations_with_a_production_p(spark):
+    q = catalogue.queries()
+    rows = q["t3_pairwise_permanova"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 10 and all(abs(r.p * 10001 - round(r.p * 10001)) < 1e-6 for r in rows)
+    orders, customers = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("orders", "customer"))
+    assert q["t4_dispersion_all"](spark, "/root/testdata/sf0.001").count() == customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_semi").count()
