@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from florilege.llm.components import connected_components
-from florilege.llm.durable import durable
+from florilege.llm.durable import Scratch, durable
+from florilege.llm.expressions import all_of, named
+from florilege.llm.id_filter import filter_blocks, with_maybe
 from florilege.llm.shingles import chunks, mix64, shingle_sets, text_buffers
 
 COORDINATES = 640
@@ -86,7 +87,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per document: id, set size, 128-bit digest of the set, low bits of its signature, band keys."""
     kind = docs.schema[id_col].dataType.simpleString()
     bits = ", ".join(f"s{j} long" for j in range(COORDINATES // 32))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_describe, f"id {kind}, n_shingles long, d0 long, d1 long, {bits}, bands array<long>")
+    return docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text")).mapInArrow(_describe, f"id {kind}, n_shingles long, d0 long, d1 long, {bits}, bands array<long>")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,91 +121,106 @@ def _agreements(a: str, b: str) -> F.Column:
     return F.lit(COORDINATES) - differ
 
 
-def _maybe_near(a: str, b: str, percent: int) -> F.Column:
+def _maybe_near(a: str, b: str, percent: int, deviations: float | None) -> F.Column:
     j = percent / 100
-    agree = j + (1 - j) / 4
-    least = COORDINATES * agree - DEVIATIONS * (COORDINATES * agree * (1 - agree)) ** 0.5
     small, large = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return (small * 100 >= large * percent) & (_agreements(a, b) >= least)
+    sizes = small * 100 >= large * percent
+    if deviations is None:
+        return sizes
+    agree = j + (1 - j) / 4
+    return sizes & (_agreements(a, b) >= COORDINATES * agree - deviations * (COORDINATES * agree * (1 - agree)) ** 0.5)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, deviations: float | None = DEVIATIONS) -> DataFrame:
     """``docs``' ids with ``n_shingles``, ``component_id`` and ``kept``; linked are documents whose sets of five-word
     shingles have a Jaccard similarity of at least ``percent`` / 100.
 
     1. Documents with equal sets form a class; its smallest id stands for it from here on.
     2. Classes that share a band key meet. Each is first compared with the smallest id of its bucket; in buckets of
-       three and more also with the smallest id of the finer buckets that two neighbouring bands make. Once those
-       links are joined into components, it is compared with the members of its buckets that are still in other
-       components. A group of copies thus needs some comparisons a member, and no bucket is capped.
-    3. A pair is passed on by an estimate from its signatures that six deviations separate from a loss, and then
-       decided on the full shingle sets.
+       three and more also with the smallest id of the finer buckets that two neighbouring bands make. Those links are
+       joined into components. In a bucket that still holds several components, each member outside of the one with
+       most members is compared with the members of the others. A group of copies thus needs some comparisons a
+       member, and no bucket is capped.
+    3. A pair is passed on by an estimate from its signatures that ``deviations`` separate from a loss (without them all
+       pairs are passed on), and then decided on the full shingle sets. Only texts of such pairs are shuffled.
 
     With 25 bands of 5 coordinates a pair at similarity 0.80 meets in no band with probability 5e-5, at 0.85 4e-7.
 
-    A null or empty text, or one without words, has no shingles and is linked with nothing. Rows that repeat an id are
-    one node and all get its answer. A row with a null id is linked with nothing: its component is null and it is kept.
+    A null or empty text, or one without words, has no shingles and is linked with nothing. Very long texts are described
+    whole. Rows that repeat an id are one node and all get its answer. A row with a null id is linked with nothing: its
+    component is null and it is kept. An empty table gives no rows. The result is a written table.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = durable(describe(docs, id_col, text_col), "described")
-    classes = rows.where("d0 is not null and id is not null").groupBy("d0", "d1").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    classes = durable(classes.where("n > 1").drop("n"), "classes")
-    nodes = rows.join(classes, ["d0", "d1"], "left").withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")))
-    stand = nodes.where("id = node and bands is not null")
-    banded = stand.select(F.explode("bands").alias("key"), "id")
-    buckets = banded.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = durable(banded.join(durable(buckets, "buckets"), "key").where("id <> leader"), "members")
-    facts = rows.where("d0 is not null").select("id", "n_shingles", "bands", *(f"s{j}" for j in range(COORDINATES // 32)))
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        a, b = facts.drop("bands").alias("a"), facts.drop("bands").alias("b")
-        near = pairs.join(a, F.col("x") == F.col("a.id")).join(b, F.col("y") == F.col("b.id")).where(_maybe_near("a", "b", percent))
-        return near.select(F.col("x").alias("a"), F.col("y").alias("b"))
-
-    met = members.select("id").union(members.select(F.col("leader").alias("id"))).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(met, "id", "left_semi")
-    texts = durable(texts, "texts")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        compared = joined.mapInArrow(_compare, f"a {kind}, b {kind}, shared long, total long")
-        return compared.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-
-    crowd = members.where("n > 2").select("id").distinct()
-    crowd = stand.select("id", "bands").join(crowd, "id", "left_semi")
-    fine = crowd.select("id", F.explode(F.transform("bands", lambda key, i: F.xxhash64(key, F.element_at("bands", F.pmod(i + 1, F.lit(BANDS)) + 1)))).alias("key"))
-    first = durable(fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
-    finer = fine.join(first, "key").where("id <> leader")
-    led = members.select(F.col("leader").alias("x"), F.col("id").alias("y")).union(finer.select("leader", "id")).distinct()
-    labels = connected_components(confirmed(durable(candidates(led), "candidates")))
-    placed = members.where("n > 2").select("key", "id").join(facts, "id").join(labels, F.col("id") == F.col("node"), "left")
-    placed = durable(placed.withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
-    a, b = placed.alias("a"), placed.alias("b")
-    other = (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & _maybe_near("a", "b", percent)
-    once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.key")  # the first bucket that both are in
-    apart = a.join(b, (F.col("a.key") == F.col("b.key")) & other & once)
-    apart = durable(apart.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "candidates")
-    known = labels.withColumnRenamed("component", "at")
-    more = durable(confirmed(apart), "links")
-    more = more.join(known.select(F.col("node").alias("a"), F.col("at").alias("at_a")), "a", "left").join(known.select(F.col("node").alias("b"), F.col("at").alias("at_b")), "b", "left")
-    merged = connected_components(more.select(F.coalesce("at_a", "a").alias("a"), F.coalesce("at_b", "b").alias("b")))
-    out = nodes.select("id", "n_shingles", "node")
-    out = out.join(labels.select("node", F.col("component").alias("c1")), "node", "left").withColumn("c1", F.coalesce("c1", "node"))
-    out = out.join(merged.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
-    component = F.coalesce("c2", "c1")
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
+    source = docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as tables:
+        rows = tables.write(describe(source, "id", "text"), "described")
+        classes = rows.where("d0 is not null and id is not null").groupBy("d0", "d1").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+        classes = tables.write(classes.where("n > 1").drop("n"), "classes")
+        nodes = rows.select("id", "n_shingles", "d0", "d1").join(classes, ["d0", "d1"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("node"))
+        copies = classes.select("d0", "d1", "first")
+        stand = rows.where("bands is not null and id is not null").join(copies, ["d0", "d1"], "left").where("first is null or id = first").drop("d0", "d1", "first")
+        stand = tables.write(stand, "stand")
+        banded = stand.select(F.explode("bands").alias("key"), "id")
+        buckets = tables.write(banded.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1"), "buckets")
+        members = tables.write(banded.join(buckets, "key").where("id <> leader"), "members")
+
+        def confirmed(pairs: DataFrame) -> DataFrame:
+            ids = tables.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "asked")
+            some = with_maybe(source, filter_blocks(ids, "id"), F.col("id")).where("__maybe").drop("__maybe")
+            texts = tables.write(some.join(ids, "id", "left_semi"), "texts")
+            a, b = (texts.select(F.col("id").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
+            compared = pairs.join(a, "a").join(b, "b").mapInArrow(_compare, f"a {kind}, b {kind}, shared long, total long")
+            return tables.write(compared.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b"), "links")
+
+        crowd = stand.select("id", "bands").join(members.where("n > 2").select("id").distinct(), "id", "left_semi")
+        fine = crowd.select("id", F.explode(F.transform("bands", lambda key, i: F.xxhash64(key, F.element_at("bands", F.pmod(i + 1, F.lit(BANDS)) + 1)))).alias("key"))
+        fine = tables.write(fine, "fine")
+        first = fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+        finer = fine.join(first, "key").where("id <> leader")
+        led = members.select(F.col("leader").alias("x"), F.col("id").alias("y")).union(finer.select("leader", "id")).distinct()
+        a, b = stand.drop("bands").alias("a"), stand.drop("bands").alias("b")
+        near = led.join(a, F.col("x") == F.col("a.id")).join(b, F.col("y") == F.col("b.id")).where(_maybe_near("a", "b", percent, deviations))
+        near = tables.write(near.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "candidates")
+        labels = connected_components(confirmed(near), tables)
+
+        # members that a bucket's leader did not bring into one component
+        tagged = members.where("n > 2").select("key", "id").join(labels, F.col("id") == F.col("node"), "left")
+        tagged = tables.write(tagged.select("key", "id", F.coalesce("component", "id").alias("component")), "tagged")
+        sizes = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
+        mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1")
+        mixed = tables.write(tagged.join(mixed.select("key", F.col("most.component").alias("main")), "key").join(stand, "id"), "mixed")
+        a, b = mixed.where("component <> main").alias("a"), mixed.alias("b")
+        other = (F.col("a.component") != F.col("b.component")) & ((F.col("b.component") == F.col("b.main")) | (F.col("a.id") < F.col("b.id")))
+        once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.key")  # the first bucket that both are in
+        apart = a.join(b, (F.col("a.key") == F.col("b.key")) & other & _maybe_near("a", "b", percent, deviations) & once)
+        apart = tables.write(apart.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), "candidates")
+        more = confirmed(apart)
+        at = labels.withColumnRenamed("component", "at")
+        more = more.join(at.select(F.col("node").alias("a"), F.col("at").alias("at_a")), "a", "left").join(at.select(F.col("node").alias("b"), F.col("at").alias("at_b")), "b", "left")
+        merged = connected_components(more.select(F.coalesce("at_a", "a").alias("a"), F.coalesce("at_b", "b").alias("b")), tables)
+        out = nodes.join(labels.select("node", F.col("component").alias("c1")), "node", "left").withColumn("c1", F.coalesce("c1", "node"))
+        out = out.join(merged.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
+        component = F.coalesce("c2", "c1")
+        out = out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
+        return durable(out, "near-duplicates")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group that ``near_duplicates`` finds: the one with the smallest id.
 
-    Of rows that repeat an id one stays, that with the smallest hash of its text; rows with a null id stay.
+    Of rows that repeat an id one stays, that with the smallest hash of its text (of equal texts the first by all
+    columns); rows with a null id stay, as do those with a null or empty text. An empty table stays empty. Rows that a
+    filter of at most 8 MB shows to be untouched are not shuffled.
     """
-    found = durable(near_duplicates(docs, id_col, text_col, percent), "near-duplicates")
-    lost = found.where("not kept").select(id_col).distinct()
-    kept = docs.join(lost, id_col, "left_anti").select(docs.columns)
-    repeated = found.where("kept and component_id is not null").groupBy(id_col).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    if repeated.isEmpty():
-        return kept
-    several = kept.join(repeated, id_col, "left_semi").withColumn("__k", F.row_number().over(W.partitionBy(id_col).orderBy(F.xxhash64(text_col))))
-    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(several.where("__k = 1").select(docs.columns))
+    found = near_duplicates(docs, id_col, text_col, percent).where(named(id_col).isNotNull())
+    touched = found.groupBy(named(id_col).alias("__id")).agg(F.min("kept").alias("__kept"), F.count("*").alias("__n")).where("not __kept or __n > 1")
+    touched = durable(touched, "touched")
+    flagged = with_maybe(docs, filter_blocks(touched, "__id"), named(id_col))
+    free = flagged.where("not __maybe").select(*all_of(docs))
+    held = flagged.where("__maybe").join(touched, named(id_col) == F.col("__id"), "left").where("__kept is null or __kept")
+    out = free.unionByName(held.where("__n is null or __n = 1").select(*all_of(docs)))
+    if touched.where("__kept and __n > 1").isEmpty():
+        return out
+    whole = F.struct(*all_of(docs))
+    one = held.where("__n > 1").groupBy("__id").agg(F.min_by(whole, F.struct(F.xxhash64(named(text_col)), F.to_json(whole))).alias("__row"))
+    return out.unionByName(one.select(*(F.col("__row").getField(c).alias(c) for c in docs.columns)))

@@ -63,7 +63,38 @@ def test_edge_rows(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (None, 2, None, True)], key=repr)
     kept = drop_near_duplicates(df)
     assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, None]
-    assert near_duplicates(df.limit(0)).count() == 0
+    assert near_duplicates(df.limit(0)).count() == 0 and drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_names_with_dots_and_long_texts(spark):
+    long = " ".join(f"w{k * k}" for k in range(30000))
+    rows = [(1, long, "x"), (2, long + " end", "y"), (3, "", "z"), (2, long + " end", "w")]
+    df = spark.createDataFrame(rows, "`doc.id` long, `te.xt` string, `a.b` string")
+    out = drop_near_duplicates(df, "doc.id", "te.xt")
+    assert out.columns == df.columns and sorted(r[0] for r in out.collect()) == [1, 3]
+    again = spark.createDataFrame([(5, "one two three", "b"), (5, "one two three", "a"), (6, "four", "c")], "doc_id long, text string, rate string")
+    assert sorted(map(tuple, drop_near_duplicates(again).collect())) == [(5, "one two three", "a"), (6, "four", "c")]
+
+
+def test_every_link_of_the_driver_table(spark):
+    """op1's query against brute force: ids divisible by 100 against all rows, and the counts of shingles."""
+    from florilege.llm.queries import op1_minhash_near_dedup
+
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in op1_minhash_near_dedup(spark, folder).collect()}
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    assert all(got[i].n_shingles == len(s) and got[i].kept == (got[i].component_id == i) for i, s in sets.items())
+    for a in (i for i in sets if i % 100 == 0 and sets[i]):
+        for b in sets:
+            if sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                assert got[a].component_id == got[b].component_id
+
+
+def test_without_the_estimate(spark):
+    docs = corpus(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(docs, SCHEMA), deviations=None).collect()}
+    assert got == brute(docs, 80)
 
 
 def test_components_of_chains_and_stars(spark):
