@@ -207,3 +207,32 @@ def test_mixing_meets_targets(spark):
     assert {r.rate for r in mixing.mixing_rates(docs, labelled.limit(0), {"a": 0.5, "b": 0.5}).collect()} == {1.0}
     thick = mixing.sample_at_rates(docs, spark.createDataFrame([(1, 2.0), (2, 0.0)], "doc_id long, rate double"))
     assert thick.where("doc_id = 1").count() == 2 and thick.where("doc_id = 2").count() == 0 and thick.count() == 202
+
+
+def test_mixing_edge_rows(spark):
+    long = "omega psi chi " * 20000
+    rows = [(i, "alpha beta gamma " * 20 if i % 4 else "omega psi chi " * 20, 0.5) for i in range(80)] + [(None, "alpha beta", 1.0), (None, "alpha beta", 1.0), (7, long, 2.0), (900, None, 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rate double").withColumn("p0.x", F.lit(1))
+    labelled = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(0, 80, 3)] + [(10**9 + i, "a") for i in range(50)], "id long, domain string")
+    rates = mixing.mixing_rates(docs, labelled, {"a": 0.5, "b": 0.5}).collect()
+    assert len(rates) == 84 and sum(r.doc_id is None for r in rates) == 2 and {r.n_tokens for r in rates if r.doc_id == 7} == {60, 60000}
+    mixed = mixing.mix_documents(docs, labelled, {"a": 0.5, "b": 0.5})
+    assert mixed.columns == docs.columns and mixed.where("length(text) > 1000").count() >= 1
+    assert mixing.sample_at_rates(docs, spark.createDataFrame([(1, 0.0)], "doc_id long, rate double")).count() == 83
+    assert mixing.mix_documents(docs.limit(0), labelled, {"a": 0.5, "b": 0.5}).count() == 0
+    assert mixing.mix_documents(docs, labelled.limit(0), {"a": 0.5, "b": 0.5}).count() == 84
+
+
+def test_membership_equals_brute_force(spark):
+    """op7's posteriors and rates recomputed in Python from its own table of words."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("ab cd ef gh ij".split() if i % 3 else "ab kl mn op".split()) for _ in range(rng.randrange(1, 90))) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "x" if i % 3 else "y") for i in range(0, 60, 2)], "id long, domain string")
+    model = mixing.Domains(docs, labelled, ["x", "y"])
+    bucket = {w: b for w, b in docs.select(F.explode(fingerprints.words(F.col("text"))).alias("w")).distinct().select("w", mixing._bucket(F.col("w"))).collect()}
+    for r in docs.select("text", model.membership().alias("m")).collect():
+        w = r.text.split()
+        logits = [sum(float(t[bucket[x]]) for x in w) * min(len(w), 60) / len(w) + np.log(p) for t, p in zip(model.tables, model.prior, strict=True)]
+        e = np.exp(np.array(logits) - max(logits))
+        assert r.m.n == len(w) and np.allclose(r.m.p, e / e.sum())
