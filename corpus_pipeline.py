@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.durable import durable
-from florilege.llm.mixing import mixing_rates, quality_domains, sample_at_rates
+from florilege.llm.mixing import mix_documents, quality_domains
 from florilege.llm.near_dedup import drop_near_duplicates
 from florilege.llm.packing import pack_documents
 from florilege.llm.pii import pseudonymise
@@ -47,8 +47,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled at the rates that bring the label domains to their target weights."""
-    rates = mixing_rates(docs, quality_domains(_labels(spark, sf_dir)), MIXTURE, keep_whole=KEEP_WHOLE)
-    return sample_at_rates(docs, rates)
+    return mix_documents(docs, quality_domains(_labels(spark, sf_dir)), MIXTURE, keep_whole=KEEP_WHOLE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
