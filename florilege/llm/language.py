@@ -10,19 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from florilege.llm.expressions import named
+from florilege.llm.sampling import sample_of_classes
 from florilege.llm.shingles import chunks, text_buffers
 from florilege.llm.subwords import CHUNK_BYTES, Words
-from florilege.llm.toxicity import sample_of_classes
+from florilege.llm.toxicity import excerpt
 
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-#: The training sample: at most so many documents of each language, none longer than so many characters.
+#: The training sample: at most so many documents of each language; of a longer one an excerpt of so many characters.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 200, 6_000
-#: And at most so many documents in all, as long as each language has some.
-MOST_DOCUMENTS = 2_000
-#: At most so many languages are learnt, the most frequent ones.
-MOST_LANGUAGES = 200
+#: And at most so many documents in all, as long as each language has ``FEW``.
+MOST_DOCUMENTS, FEW = 2_000, 5
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc"),
@@ -121,18 +121,23 @@ class Tree:
         return votes.argmax(1), votes.max(1) / (len(names) - 1)
 
 
-def train_language(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCUMENTS, longest: int = SAMPLE_CHARACTERS) -> Tree | None:
-    """Fit on a bounded sample of the documents with a language that satisfy ``usable`` (a condition on ``id``)."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) <= longest))
-    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
+def train_language(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> Tree | None:
+    """Fit on a bounded sample of the documents with a language that satisfy ``usable`` (a condition on ``id``).
+
+    Every language of a usable document is learnt, however many there are and however long its documents. Null languages,
+    ids and texts teach nothing, repeated rows are drawn together; None without any usable document.
+    """
+    texts = docs.select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), named(text_col).cast("string").alias("text"))
+    texts = texts.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull())
     if usable is not None:
-        known = known.where(usable)
-    languages = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+        texts = texts.where(usable)
+    known = texts.select("id", "lang").distinct()
+    languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # a row a language
     if not languages:
         return None
-    picked = sample_of_classes(known, "lang", sorted(languages), max(1, min(per_language, MOST_DOCUMENTS // len(languages))))
-    texts = docs.where(F.length(text_col) <= longest).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = sorted((r.id, r.text, r.lang) for r in texts.join(F.broadcast(picked), "id").collect())
+    picked = sample_of_classes(known, "lang", min(per_language, max(FEW, MOST_DOCUMENTS // len(languages))))
+    fit = texts.join(F.broadcast(picked), ["id", "lang"]).select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "lang")  # a bounded sample
+    rows = sorted((r.hash, r.text, r.lang) for r in fit.collect())
     return Tree(languages).fit([r[1] for r in rows], np.array([r[2] for r in rows]))
 
 
@@ -140,7 +145,7 @@ def predict_language(docs: DataFrame, model: Tree | None, id_col: str = "doc_id"
     """``(id, lang_pred, score)`` for every row, over its whole text.
 
     A null text, one without a letter, or any text without a model is ``und`` with score 0. Null and repeated ids are
-    predicted row by row; an empty table gives no rows.
+    predicted row by row, very long texts whole; an empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -160,5 +165,5 @@ def predict_language(docs: DataFrame, model: Tree | None, id_col: str = "doc_id"
                 scores.append(score)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], names=["id", "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     return rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -166,13 +166,14 @@ def quality_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _taken(docs: DataFrame, rate: Column, key: list[Column], settled: float) -> DataFrame:
-    """Each row as often as its rate says; ``key`` draws the part of a row below 1."""
-    near = F.when(rate.isNull() | (F.abs(rate - 1) <= settled), 1.0).otherwise(rate)
+    """Each row as often as its rate says; ``key`` draws the part of a row below 1. The rate is computed once a row: it
+    stands in the generator alone, and rows that are taken no time are left out by what it makes."""
     chance = F.pmod(F.xxhash64(*key, F.lit(77)), F.lit(1 << 30)) / float(1 << 30)
-    times = let(near, lambda r: F.floor(r).cast("int") + F.when(chance < r - F.floor(r), 1).otherwise(0))
-    columns = all_of(docs)
-    rows = docs.select(F.struct(*columns).alias("row"), times.alias("times")).where("times > 0")
-    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    near = lambda r: F.when(r.isNull() | (F.abs(r - 1) <= settled), 1.0).otherwise(r)
+    times = let(rate, lambda r: let(near(r), lambda r: F.floor(r).cast("int") + F.when(chance < r - F.floor(r), 1).otherwise(0)))
+    copies = let(times, lambda n: F.when(n > 0, F.sequence(F.lit(1), n)))
+    rows = docs.select(F.struct(*all_of(docs)).alias("row"), F.explode_outer(copies).alias("copy")).where("copy is not null")
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", keep_whole: str | None = None, settled: float = 0.1) -> DataFrame:

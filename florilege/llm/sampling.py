@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-#: Spark limits a ranked window before its shuffle up to this many rows a group, so larger samples are dealt to more groups.
-_RANKED = 1000
+_RANGE = 1 << 30
 
 
 def sample_of_classes(labelled: DataFrame, class_col: str, per_class: int) -> DataFrame:
-    """About ``per_class`` rows of ``labelled(id, class_col)`` for each class, never more, by a hash of the id; all of a
-    class that has fewer than that (a class whose rows fall unevenly on the parts of a sample above a thousand may give
-    a few less). One pass over the table for all classes."""
-    parts = -(-per_class // _RANKED)
-    rows = labelled.where(F.col(class_col).isNotNull() & F.col("id").isNotNull()).withColumn("__hash", F.xxhash64("id"))
-    rows = rows.withColumn("__part", F.pmod("__hash", F.lit(parts)))
-    ranked = rows.withColumn("__rank", F.row_number().over(W.partitionBy(class_col, "__part").orderBy("__hash", "id")))
-    return ranked.where(F.col("__rank") <= per_class // parts).select("id", class_col)
+    """``per_class`` rows of ``labelled(id, class_col)`` for each class, those of the smallest hashes of their ids; all of a
+    class that has no more. Two passes over the table for all classes.
+
+    A row a class, its count, goes to the driver. Hashes are even, so about twice the rows that are asked for lie below
+    a bound that follows from the count; only these are ranked, however large a class is. (A class that repeats few ids
+    very often may give fewer rows.)"""
+    rows = labelled.where(F.col(class_col).isNotNull() & F.col("id").isNotNull())
+    counts = rows.groupBy(class_col).count().collect()
+    if not counts:
+        return rows.select("id", class_col)
+    bounds = [x for r in counts for x in (F.lit(r[0]), F.lit(min(_RANGE, int(_RANGE * (2 * per_class + 50) / r[1]) + 1)))]
+    rows = rows.withColumn("__hash", F.pmod(F.xxhash64("id"), F.lit(_RANGE))).where(F.col("__hash") < F.try_element_at(F.create_map(*bounds), F.col(class_col)))
+    ranked = rows.withColumn("__rank", F.row_number().over(W.partitionBy(class_col).orderBy("__hash", "id")))
+    return ranked.where(F.col("__rank") <= per_class).select("id", class_col)
 
 
 def existing(labelled: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:

@@ -12,7 +12,7 @@ from florilege.llm.shingles import mix64
 _BASE = 0x9E3779B97F4A7C15
 _OPEN, _CLOSE = ord("<"), ord(">")
 #: Bytes of text that are worked on at a time.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 
 @lru_cache(1)
@@ -36,6 +36,18 @@ def _powers_for(n: int, up: bool) -> np.ndarray:
     return _powers(1 << max(16, (n - 1).bit_length()), up)[:n]
 
 
+def _blocks(texts: list[str | None]) -> Iterator[slice]:
+    """Runs of texts with about ``CHUNK_BYTES`` characters; a longer text stands alone."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held > CHUNK_BYTES and i > first:
+            yield slice(first, i)
+            first, held = i, len(text or "")
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
 class Words:
     """The words of some texts: runs of letters and digits in lower case.
 
@@ -43,6 +55,30 @@ class Words:
     """
 
     def __init__(self, texts: list[str | None]):
+        counts, keys, first_keys, spelt, lengths = [], [], [], [], []
+        for at in _blocks(texts):  # only the words themselves are held for all texts
+            codes, starts, stops, n = self._cut(texts[at])
+            sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(_values()[codes] * _powers_for(max(1, len(codes)), True)[: len(codes)], out=sums[1:])
+            key = (sums[stops] - sums[starts]) * _powers_for(len(codes) + 1, False)[starts]
+            distinct, where = np.unique(key, return_index=True)
+            length = (stops - starts)[where]
+            place = np.repeat(starts[where] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            counts.append(n)
+            keys.append(key)
+            first_keys.append(distinct)
+            spelt.append(codes[place])
+            lengths.append(length)
+        self.counts = np.concatenate([np.zeros(0, np.int64), *counts])
+        _, self.which = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+        _, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *first_keys]), return_index=True)
+        self.n_distinct = len(at)
+        length = np.concatenate([np.zeros(0, np.int64), *lengths])
+        stops = np.cumsum(length)
+        self._codes, self._starts, self._stops = np.concatenate([np.zeros(0, np.uint32), *spelt]), (stops - length)[at], stops[at]
+
+    @staticmethod
+    def _cut(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         texts = [(t or "").lower() for t in texts]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -50,13 +86,7 @@ class Words:
         word[1:-1] = _word_characters()[codes]
         starts, stops = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
         begins = np.concatenate([[0], np.cumsum(lengths + 1)])
-        self.counts = np.diff(np.searchsorted(starts, begins))
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(_values()[codes] * _powers_for(max(1, len(codes)), True)[: len(codes)], out=sums[1:])
-        keys = (sums[stops] - sums[starts]) * _powers_for(len(codes) + 1, False)[starts]
-        _, at, self.which = np.unique(keys, return_index=True, return_inverse=True)
-        self.n_distinct = len(at)
-        self._codes, self._starts, self._stops = codes, starts[at], stops[at]
+        return codes, starts, stops, np.diff(np.searchsorted(starts, begins))
 
     def _features(self, sizes: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each distinct word the buckets of its n-grams (with marks at both ends) and of itself: for each size

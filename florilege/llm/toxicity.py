@@ -10,14 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from florilege.llm.shingles import chunks, mix64, text_buffers
+from florilege.llm.expressions import named
+from florilege.llm.sampling import existing, sample_of_classes
+from florilege.llm.shingles import chunks, text_buffers
 from florilege.llm.subwords import CHUNK_BYTES, Words
 
 SIZES = (3, 4, 5)
 BUCKETS, DIMENSIONS = 1 << 17, 8
 PASSAGE_WORDS = 20
-#: The training sample: at most so many documents of each class, none longer than so many characters.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1500, 8_000
+#: The training sample: at most so many documents of each class; of one longer than so many characters as many windows,
+#: spread evenly over its whole text, as make up that length.
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, WINDOWS = 1500, 8_000, 16
+EPOCHS = 16
 TRUNC = 30.0
 #: N-grams of fewer words, counted once in each text of the sample, keep a zero vector.
 RARE_TEXTS = 3
@@ -42,7 +46,7 @@ class SubwordBag:
         held = np.arange(len(texts)) % 5 == 4
         if len(set(toxic[held])) < 2:
             held[:] = False
-        self._fit([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], epochs=10 if len(texts) > 2500 else 24)
+        self._fit([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], EPOCHS)
         if held.any():
             best = _logits([t for t, h in zip(texts, held, strict=True) if h], self.flat(), float(self.bias[1] - self.bias[0]))
             y = toxic[held]
@@ -165,27 +169,29 @@ def _logits(texts: list[str | None], flat: np.ndarray, bias: float) -> np.ndarra
     return out
 
 
-def sample_of_classes(labelled: DataFrame, class_col: str, classes: list, per_class: int) -> DataFrame:
-    """At most ``per_class`` ids of each class, by a hash of the id: ``(id, class_col)``."""
-    out = None
-    for c in classes:
-        some = labelled.where(F.col(class_col) == F.lit(c)).orderBy(F.xxhash64("id"), "id").limit(per_class)
-        out = some if out is None else out.unionByName(some)
-    return out
+def excerpt(text: Column, characters: int, windows: int = WINDOWS) -> Column:
+    """A text of up to ``characters``; of a longer one ``windows`` stretches spread evenly from its start to its end, cut
+    at white space."""
+    size = characters // windows
+    stretch = lambda k: F.regexp_replace(F.substring(text, F.floor(k * (F.length(text) - size) / (windows - 1)).cast("int") + 1, F.lit(size)), r"^\S*\s|\s\S*$", "")
+    return F.when(F.length(text) > characters, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), stretch), " ")).otherwise(text)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_DOCUMENTS, longest: int = SAMPLE_CHARACTERS) -> SubwordBag | None:
+def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> SubwordBag | None:
     """Fit on a bounded sample of labelled documents that satisfy ``usable`` (a condition on the id).
 
-    A document with several labels is toxic if one of them says so; null labels and ids say nothing. None if a class
-    has no document: there is then nothing to learn.
+    The sample is drawn from documents that are there and have a text, of any length; of very long ones ``excerpt`` is
+    read. A document with several labels is toxic if one of them says so; null labels and ids say nothing; rows that
+    repeat an id are several documents of its label. None if a class has no document: there is then nothing to learn.
     """
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
-    fit = docs.where(F.length(text_col) <= longest).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    known = labels.where(named(label_col).isNotNull() & named(id_col).isNotNull()).groupBy(named(id_col).alias("id")).agg((F.max(named(label_col)) > 0).cast("int").alias("toxic"))
     if usable is not None:
         known = known.where(usable)
-    picked = sample_of_classes(known, "toxic", [0, 1], per_class)
-    rows = sorted(((r.id, r.text, r.toxic) for r in fit.join(F.broadcast(picked), "id").collect()), key=lambda r: (mix64(np.array([hash(r[0])], np.int64).view(np.uint64))[0], r[1]))
+    texts = docs.where(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
+    known = existing(known, texts, "id")
+    picked = sample_of_classes(known, "toxic", per_class)
+    fit = texts.join(F.broadcast(picked), "id").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "toxic")  # a bounded sample
+    rows = sorted((r.hash, r.text, r.toxic) for r in fit.collect())
     toxic = np.array([r[2] for r in rows], int)
     if not len(rows) or toxic.min() == toxic.max():
         return None
@@ -197,10 +203,10 @@ def with_toxicity(docs: DataFrame, model: SubwordBag | None, text_col: str = "te
     """``docs`` with ``score_col`` after their other columns: the score of the whole text, 0 to 1, higher for toxic.
 
     Null and empty texts, and texts without words, get the score of an empty bag: the model's bias.
-    Without a model every score is 0. Every row is scored by itself; an empty table gives no rows. A column that is
-    already named ``score_col`` is replaced.
+    Without a model every score is 0. Every row is scored by itself, repeated ids and very long texts too; an empty table
+    gives no rows. A column that is already named ``score_col`` is replaced.
     """
-    docs = docs.drop(score_col)
+    docs = docs.select(*(named(c) for c in docs.columns if c != score_col))
     at = docs.columns.index(text_col)
     bias = 0.0 if model is None else float(model.bias[1] - model.bias[0])
     scale, offset = (1.0, 0.0) if model is None else (model.scale, model.offset)
@@ -218,11 +224,13 @@ def with_toxicity(docs: DataFrame, model: SubwordBag | None, text_col: str = "te
                 else:
                     logit = scale * _logits(texts.slice(first, last - first).to_pylist(), flat, bias) + offset
                     parts.append(1 / (1 + np.exp(-np.clip(logit, -TRUNC, TRUNC))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], names=[*batch.schema.names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # mapInArrow takes no names with dots
+    scored = plain.mapInArrow(score, T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())]))
+    return scored.toDF(*docs.columns, score_col)
 
 
 def score_toxicity(docs: DataFrame, model: SubwordBag | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, score)`` of ``with_toxicity``."""
-    return with_toxicity(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")), model, "__text", "score").drop("__text")
+    return with_toxicity(docs.select(named(id_col), named(text_col).cast("string").alias("__text")), model, "__text", "score").drop("__text")

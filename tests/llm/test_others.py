@@ -185,6 +185,20 @@ def test_toxicity_finds_unseen_endings(spark):
     assert right >= 95
     assert toxicity.score_toxicity(docs.limit(1), None).first().score == 0
     assert toxicity.train_toxicity(docs, labels.where("toxic = 1")) is None
+    long = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 1, F.repeat(F.concat("text", F.lit(" ")), 40)).otherwise(F.col("text")).alias("text"))
+    strays = labels.union(spark.createDataFrame([(10**6 + i, 1) for i in range(3000)], "doc_id long, toxic int"))  # labels of no document
+    model = toxicity.train_toxicity(long, strays)
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(long.where("doc_id >= 400"), model).collect()}
+    assert sum((got[i] >= 0.5) == bool(i % 2) for i in got) >= 80
+    odd = spark.createDataFrame([(1, None, 0.1), (1, "", 0.2), (None, rows[1][1] * 900, 0.3)], "doc_id long, text string, `sco.re` double").withColumn("flat", F.lit(1))
+    out = toxicity.with_toxicity(odd, model, score_col="sco.re").collect()
+    assert len(out) == 3 and out[0]["sco.re"] == out[1]["sco.re"] and toxicity.with_toxicity(odd.limit(0), model).count() == 0
+
+
+def test_excerpts_reach_both_ends(spark):
+    df = spark.createDataFrame([(" ".join(f"w{k}" for k in range(9000)),), ("short one",), (None,)], "t string")
+    long, short, none = [r[0] for r in df.select(toxicity.excerpt(F.col("t"), 8000)).collect()]
+    assert short == "short one" and none is None and len(long) <= 8000 and {int(w[1:]) // 1000 for w in long.split()} == set(range(9))
 
 
 def test_language(spark):
@@ -195,6 +209,11 @@ def test_language(spark):
     got = {r.doc_id: r for r in language.predict_language(docs, language.train_language(docs, F.col("id") < 150)).collect()}
     assert sum(got[i].lang_pred == x for i, _, x in rows if i >= 150) >= 48
     assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in got.values())
+    many = [(1000 + i, " ".join(chr(0x4E00 + 7 * i + k % 5) * 2 for k in range(30)) * (400 if i == 0 else 1), f"x{i:03d}") for i in range(215)]
+    more = spark.createDataFrame([*rows[:40], *many], "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
+    got = {r.doc_id: r.lang_pred for r in language.predict_language(more, language.train_language(more)).collect()}
+    assert sum(got[i] == x for i, _, x in many) >= 200 and got[1000] == "x000"  # all languages, also one with a long text only
+    assert language.train_language(more.limit(0)) is None and language.predict_language(more.limit(0), None).count() == 0
 
 
 def test_mixing_meets_targets(spark):
