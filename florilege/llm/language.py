@@ -23,6 +23,8 @@ UNKNOWN = "und"
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 200, 6_000
 #: And at most so many documents in all, as long as each language has ``FEW``.
 MOST_DOCUMENTS, FEW = 2_000, 5
+#: Languages without a family that are put together.
+TOGETHER = 8
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc"),
@@ -33,18 +35,73 @@ FAMILIES = {
 }
 
 
+class Level:
+    """One-versus-one machines among some names. Weights are held for the buckets that the names' documents have."""
+
+    def __init__(self, names: list[str], doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, of: np.ndarray):
+        """``doc``, ``bucket``, ``value``: features in order of documents; ``of``: the name of each document."""
+        self.names, self.pairs = names, list(combinations(range(len(names)), 2))
+        found = np.unique(bucket[np.isin(of[doc], names)]) if len(self.pairs) else bucket[:0]
+        self.rows = np.full(BUCKETS, len(found), np.int32)  # the last row of the weights is zero
+        self.rows[found] = np.arange(len(found), dtype=np.int32)
+        self.weights = np.zeros((len(found) + 1, len(self.pairs)), np.float32)
+        self.biases = np.zeros(len(self.pairs))
+        for k, (a, b) in enumerate(self.pairs):
+            y = np.where(of == names[a], 1.0, np.where(of == names[b], -1.0, 0.0))
+            use = y[doc] != 0
+            own, at = np.unique(bucket[use], return_inverse=True)
+            w, self.biases[k] = _machine(doc[use], at, value[use], y, len(own))
+            self.weights[self.rows[own], k] = 10 * w
+
+    def winners(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """For each text the name's number and the mean pairwise probability of the one with the most of it."""
+        n = len(words.counts)
+        if not self.pairs:
+            return np.zeros(n, int), np.ones(n)
+        margins = np.tile(self.biases, (n, 1))
+        some = words.counts > 0
+        if some.any():
+            per_word = words.mean_of(self.weights, SIZES, self.rows)
+            begin = (np.cumsum(words.counts) - words.counts)[some]
+            for k in range(len(self.pairs)):
+                margins[some, k] += np.add.reduceat(per_word[words.which, k], begin) / words.counts[some]
+        votes = np.zeros((n, len(self.names)))
+        for k, (a, b) in enumerate(self.pairs):
+            p = 1 / (1 + np.exp(-np.clip(4 * margins[:, k], -30, 30)))
+            votes[:, a] += p
+            votes[:, b] += 1 - p
+        return votes.argmax(1), votes.max(1) / (len(self.names) - 1)
+
+
+def _machine(doc: np.ndarray, at: np.ndarray, value: np.ndarray, y: np.ndarray, n: int, epochs: int = 40, shrink: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Hinge loss with a shrunken weight vector of ``n`` places; the steps of each weight fall with its own gradients."""
+    w, b, squares, square_b = np.zeros(n), 0.0, np.full(n, 1e-8), 1e-8
+    balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), np.where(y < 0, 0.5 / max(1, (y < 0).sum()), 0.0))
+    for _ in range(epochs):
+        margin = y * (np.bincount(doc, w[at] * value, len(y)) + b)
+        pull = -y * balance * (margin < 1)
+        step = np.bincount(at, pull[doc] * value, n) + shrink * w
+        squares += step**2
+        w -= 0.3 * step / np.sqrt(squares)
+        square_b += pull.sum() ** 2
+        b -= 0.05 * pull.sum() / np.sqrt(square_b)
+    return w, b
+
+
 class Tree:
-    """Two levels of pairwise machines: among families, and among the languages of each family."""
+    """Two levels of machines: among families, and among the languages of each family. Languages that stand in no family
+    are one each where they are few, else put together, ``TOGETHER`` to a family, so that pairs grow with their number."""
 
     def __init__(self, languages: list[str], families: dict[str, tuple[str, ...]] | None = None):
         of = {lang: name for name, some in (families or FAMILIES).items() for lang in some}
         self.families: dict[str, list[str]] = {}
+        others = sorted(lang for lang in languages if lang not in of)
         for lang in sorted(languages):
-            self.families.setdefault(of.get(lang, f"only {lang}"), []).append(lang)
-        names = sorted(self.families)
-        self.pairs = [(None, a, b) for a, b in combinations(names, 2)] + [(f, a, b) for f in names for a, b in combinations(self.families[f], 2)]
-        self.weights = np.zeros((BUCKETS, max(1, len(self.pairs))), np.float32)
-        self.biases = np.zeros(max(1, len(self.pairs)))
+            if lang in of:
+                self.families.setdefault(of[lang], []).append(lang)
+        size = 1 if len(others) <= TOGETHER else TOGETHER
+        for k in range(0, len(others), size):
+            self.families[f"others {k // size:06d}"] = others[k : k + size]
 
     def fit(self, texts: list[str], languages: np.ndarray) -> Tree:
         words = Words(texts)
@@ -56,70 +113,35 @@ class Tree:
         first = np.cumsum(n) - n
         share = count / np.maximum(words.counts, 1)[doc] / n[which]
         reps = n[which]
-        parts = []
+        parts = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))]
         for d in range(len(texts)):  # a document's features at a time
             own = slice(*np.searchsorted(doc, [d, d + 1]))
             at = np.repeat(first[which[own]] - (np.cumsum(reps[own]) - reps[own]), reps[own]) + np.arange(reps[own].sum())
             found, back = np.unique(bucket[at], return_inverse=True)
             parts.append((np.full(len(found), d, np.int32), found.astype(np.int32), (np.bincount(back, np.repeat(share[own], reps[own]), len(found)) * 10).astype(np.float32)))
         doc, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-        family = np.array([next(f for f, some in self.families.items() if x in some) for x in languages]) if len(languages) else languages
-        for k, (within, a, b) in enumerate(self.pairs):
-            names = family if within is None else languages
-            y = np.where(names == a, 1.0, np.where(names == b, -1.0, 0.0))
-            self.weights[:, k], self.biases[k] = self._machine(doc, bucket, value, y)
-        self.weights *= 10
+        home = {lang: name for name, some in self.families.items() for lang in some}
+        names = sorted(self.families)
+        self.top = Level(names, doc, bucket, value, np.array([home[x] for x in languages], object))
+        self.within = {name: Level(self.families[name], doc, bucket, value, np.array(languages, object)) for name in names}
         return self
 
-    @staticmethod
-    def _machine(doc, bucket, value, y, epochs: int = 40, shrink: float = 1e-4) -> tuple[np.ndarray, float]:
-        """Hinge loss with a shrunken weight vector; the steps of each weight fall with its own gradients."""
-        use = y[doc] != 0
-        doc, bucket, value = doc[use], bucket[use], value[use]
-        w, b, squares, square_b = np.zeros(BUCKETS), 0.0, np.full(BUCKETS, 1e-8), 1e-8
-        balance = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), np.where(y < 0, 0.5 / max(1, (y < 0).sum()), 0.0))
-        for _ in range(epochs):
-            margin = y * (np.bincount(doc, w[bucket] * value, len(y)) + b)
-            pull = -y * balance * (margin < 1)
-            step = np.bincount(bucket, pull[doc] * value, BUCKETS) + shrink * w
-            squares += step**2
-            w -= 0.3 * step / np.sqrt(squares)
-            square_b += pull.sum() ** 2
-            b -= 0.05 * pull.sum() / np.sqrt(square_b)
-        return w, b
-
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Languages and scores: the product, over both levels, of the winner's mean pairwise probability."""
-        words = Words(texts)
-        margins = np.tile(self.biases, (len(texts), 1))
-        some = words.counts > 0
-        if some.any():
-            per_word = words.mean_of(self.weights, SIZES)
-            begin = (np.cumsum(words.counts) - words.counts)[some]
-            for j in range(margins.shape[1]):
-                margins[some, j] += np.add.reduceat(per_word[words.which, j], begin) / words.counts[some]
-        names = sorted(self.families)
-        best, score = self._winner(None, names, margins)
+        best, score = self.top.winners(Words(texts))
         out = [""] * len(texts)
-        for f, name in enumerate(names):
+        for f, name in enumerate(self.top.names):
             rows = np.flatnonzero(best == f)
-            lang, p = self._winner(name, self.families[name], margins[rows])
+            level = self.within[name]
+            if not level.pairs or not len(rows):
+                lang, p = np.zeros(len(rows), int), np.ones(len(rows))
+            else:
+                lang, p = level.winners(Words([texts[i] for i in rows.tolist()]))
             score[rows] *= p
             for i, k in zip(rows.tolist(), lang.tolist(), strict=True):
-                out[i] = self.families[name][k]
+                out[i] = level.names[k]
         return out, score
 
-    def _winner(self, within: str | None, names: list[str], margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        votes = np.zeros((len(margins), len(names)))
-        for k, (level, a, b) in enumerate(self.pairs):
-            if level == within:
-                p = 1 / (1 + np.exp(-np.clip(4 * margins[:, k], -30, 30)))
-                votes[:, names.index(a)] += p
-                votes[:, names.index(b)] += 1 - p
-        if len(names) == 1:
-            return np.zeros(len(margins), int), np.ones(len(margins))
-        return votes.argmax(1), votes.max(1) / (len(names) - 1)
-
 
 def train_language(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> Tree | None:
     """Fit on a bounded sample of the documents with a language that satisfy ``usable`` (a condition on ``id``).

@@ -117,11 +117,13 @@ class Words:
         order = np.argsort(words, kind="stable")
         return words[order], found[order]
 
-    def mean_of(self, weights: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
-        """For each distinct word the mean of ``weights[bucket]`` over its features; ``weights``: buckets x columns."""
+    def mean_of(self, weights: np.ndarray, sizes: tuple[int, ...], rows: np.ndarray | None = None) -> np.ndarray:
+        """For each distinct word the mean of ``weights[bucket]`` over its features; ``weights``: buckets x columns, or the
+        ``rows`` of buckets x columns."""
         n, total = np.zeros(self.n_distinct, np.int64), np.zeros((self.n_distinct, weights.shape[1]))
-        for word, bucket in self._features(sizes, len(weights)):
+        for word, bucket in self._features(sizes, len(weights) if rows is None else len(rows)):
             n += np.bincount(word, minlength=self.n_distinct)
+            at = bucket if rows is None else rows[bucket]
             for j in range(weights.shape[1]):
-                total[:, j] += np.bincount(word, weights[bucket, j], self.n_distinct)
+                total[:, j] += np.bincount(word, weights[at, j], self.n_distinct)
         return total / np.maximum(n, 1)[:, None]

@@ -209,10 +209,10 @@ def test_language(spark):
     got = {r.doc_id: r for r in language.predict_language(docs, language.train_language(docs, F.col("id") < 150)).collect()}
     assert sum(got[i].lang_pred == x for i, _, x in rows if i >= 150) >= 48
     assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in got.values())
-    many = [(1000 + i, " ".join(chr(0x4E00 + 7 * i + k % 5) * 2 for k in range(30)) * (400 if i == 0 else 1), f"x{i:03d}") for i in range(215)]
+    many = [(1000 + i, " ".join(chr(0x4E00 + 7 * i + k % 5) * 2 for k in range(30)) * (400 if i == 0 else 1), f"x{i:03d}") for i in range(24)]
     more = spark.createDataFrame([*rows[:40], *many], "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
     got = {r.doc_id: r.lang_pred for r in language.predict_language(more, language.train_language(more)).collect()}
-    assert sum(got[i] == x for i, _, x in many) >= 200 and got[1000] == "x000"  # all languages, also one with a long text only
+    assert sum(got[i] == x for i, _, x in many) >= 22 and got[1000] == "x000"  # all languages, also one with a long text only
     assert language.train_language(more.limit(0)) is None and language.predict_language(more.limit(0), None).count() == 0
 
 
