@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from florilege.llm.expressions import let
+from florilege.llm.expressions import let, named
 
 BINS, BIN_BITS = 128, 7
 WIDTH = 5
 #: Low-order bits kept of each bin, two hexadecimal digits of the fingerprint.
 BITS, DIGITS = 8, 2
-#: Ranges of ids, dealt out for the search of the next document: so many for each shuffle partition, and in all.
-RANGES_A_PARTITION, MOST_RANGES = 4, 1024
+#: Ranges of ids, dealt out for the search of the next document: at least so many for each shuffle partition, and more
+#: where a range would have more rows than this.
+RANGES_A_PARTITION, RANGE_ROWS = 4, 1_000_000
 
 _BLANKS = " \t\n\x0b\f\r"
 
@@ -99,32 +100,48 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(F.greatest(F.lit(0.0), (share - chance) / (1 - chance)))
 
 
-def with_next(rows: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
-    """``rows`` with ``next_<c>`` for each column ``c`` of ``carry``: its value in the next row by descending ``id_col``
-    (the first row's after the last; null ids come last; ties in descending order of a hash of the carried values).
+def _bounds_below(value: Column, bounds: list, kind: T.DataType) -> Column:
+    """How many of the sorted ``bounds`` are below ``value``: a step over every so many of them, then one within."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, round(len(bounds) ** 0.5))
+
+    def array(values: list) -> Column:
+        if isinstance(kind, T.IntegralType):
+            return F.split(F.lit(",".join(map(str, values))), ",").cast(T.ArrayType(kind))  # folded to a constant
+        return F.array(*map(F.lit, values))
+
+    below = lambda some: F.size(F.filter(some, lambda b: b < value))
+    return let(below(array(bounds[::step])), lambda c: F.when(c == 0, 0).otherwise((c - 1) * step + below(F.slice(array(bounds), (c - 1) * step + 1, F.lit(step)))))
+
+
+def with_next(rows: DataFrame, id_col: str, text_col: str, derived: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``derived`` columns of the text, and ``next_<c>`` for the text and each of them: the value in the next
+    row by descending ``id_col`` (the first row's after the last; null ids come last; ties in descending order of a hash
+    of the text).
 
     Rows are dealt by ranges of the id, whose bounds are approximate percentiles, so each range has about the same number
-    of rows. The last row of a range finds its next one in a copy of the first row of the range below it: one row a
-    range, and at most ``MOST_RANGES`` ranges.
+    of rows, and ranges grow in number with the rows. The last row of a range finds its next one in a copy of the first
+    row of the range below it: one row a range. Derived columns are computed once a row, after its range is known.
     """
     spark = rows.sparkSession
-    n = max(1, min(MOST_RANGES, RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    least = RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, least, -(-rows.count() // RANGE_ROWS))
     bounds = rows.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)] or [0.5], 10 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    bucket = F.when(F.col(id_col).isNull(), -1).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(id_col)))) if bounds else F.when(F.col(id_col).isNull(), -1).otherwise(0)
-    rows = rows.withColumn("__bucket", bucket.cast("int")).withColumn("__hash", F.xxhash64(*carry)).withColumn("__copy", F.lit(0))
+    bucket = F.when(F.col(id_col).isNull(), -1).otherwise(_bounds_below(F.col(id_col), sorted(set(bounds)), rows.schema[id_col].dataType))
+    rows = rows.withColumn("__bucket", bucket.cast("int")).withColumn("__hash", F.xxhash64(text_col)).withColumn("__copy", F.lit(0))
     tops = rows.groupBy("__bucket").agg(F.max(F.struct(id_col, "__hash")).alias("top")).collect()
     order = sorted(((r["__bucket"], r["top"][0], r["top"]["__hash"]) for r in tops), key=lambda x: -x[0])
-    if not order:
-        return rows.select("*", *(F.col(c).alias(f"next_{c}") for c in carry)).drop("__bucket", "__hash", "__copy")
     above = [(order[k - 1][0], i, h) for k, (_, i, h) in enumerate(order)]  # a range's first row also ends the range above; the first ends the last
     schema = T.StructType([T.StructField("__into", T.IntegerType()), T.StructField("__top", rows.schema[id_col].dataType), T.StructField("__top_hash", T.LongType())])
     heads = spark.createDataFrame(above, schema)
     copies = rows.join(F.broadcast(heads), F.col(id_col).eqNullSafe(F.col("__top")) & (F.col("__hash") == F.col("__top_hash")))
     copies = copies.withColumn("__bucket", F.col("__into")).withColumn("__copy", F.lit(1)).drop("__into", "__top", "__top_hash")
+    both = rows.unionByName(copies).withColumns(derived)
+    if n > least:
+        both = both.repartition(-(-n // RANGES_A_PARTITION), "__bucket")
     ordered = W.partitionBy("__bucket").orderBy("__copy", F.desc_nulls_last(id_col), F.desc("__hash"))
-    both = rows.unionByName(copies)
-    both = both.select("*", *(F.lead(c).over(ordered).alias(f"next_{c}") for c in carry))
+    both = both.select("*", *(F.lead(c).over(ordered).alias(f"next_{c}") for c in [text_col, *derived]))
     return both.where("__copy = 0").drop("__bucket", "__hash", "__copy")
 
 
@@ -132,11 +149,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Every document's fingerprint beside that of an edited copy: its last half replaced by the start of the next document.
 
     ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and ``near_next``. Null text
-    is the empty text. Repeated ids are ordered by a hash of their texts; a single document is its own next one; an
-    empty table gives no rows. Text is shuffled once.
+    is the empty text; very long texts count whole. Repeated ids are ordered by a hash of their texts, null ids come
+    last; a single document is its own next one; an empty table gives no rows. Text is shuffled once.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("fingerprint", fingerprint(F.col("text"))), "id", ["text", "fingerprint"])
+    rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = with_next(rows, "id", "text", {"fingerprint": fingerprint(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
