@@ -55,17 +55,25 @@ class EliasFano:
 
     def select(self, i: int) -> int:
         """The i-th number, from 0."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        place, left = int(self.samples[i // SAMPLE]), i % SAMPLE
-        byte = place >> 3
-        seen = 1 - int(np.unpackbits(self.highs[byte : byte + 1], bitorder="little")[: (place & 7) + 1].sum())
-        while True:  # seen: set bits from the sampled one up to this byte
-            bits = np.unpackbits(self.highs[byte : byte + 64], bitorder="little")
-            ones = np.flatnonzero(bits)
-            if seen + len(ones) > left:
-                return ((byte * 8 + int(ones[left - seen]) - i) << self.width) | int(self._low(np.array([i]))[0])
-            seen, byte = seen + len(ones), byte + 64
+        return int(self.span(i, i + 1)[0])
+
+    def span(self, first: int, last: int) -> np.ndarray:
+        """The numbers from ``first`` to ``last - 1``: the sampled place before the first one tells where the bit array is
+        read from, and it is read up to the last one."""
+        if not 0 <= first < last <= self.n:
+            raise IndexError(first, last)
+        place, left = int(self.samples[first // SAMPLE]), first % SAMPLE
+        byte = at = place >> 3
+        before = int(np.unpackbits(self.highs[byte : byte + 1], bitorder="little")[: place & 7].sum())  # of earlier numbers
+        found, seen, wanted = [], -before, left + last - first
+        while seen < wanted:
+            bits = self.highs[at : at + max(64, (wanted - seen) // 4)]
+            ones = np.flatnonzero(np.unpackbits(bits, bitorder="little")) + 8 * at
+            found.append(ones)
+            seen, at = seen + len(ones), at + len(bits)
+        places = np.concatenate(found)[before + left : before + wanted]
+        i = np.arange(first, last)
+        return ((places - i) << self.width) | self._low(i)
 
     def all(self) -> np.ndarray:
         places = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]

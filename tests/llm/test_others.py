@@ -15,6 +15,7 @@ from florilege.llm.embedding_dedup import near_embeddings, nearest_e8
 from florilege.llm.packing import pack_documents
 from florilege.llm.token_files import read_token_digests, write_token_files
 from florilege.llm.tokens import vocabulary
+from tests.llm.test_near_dedup import shingle_set
 
 TEXTS = ["Hello, World! don't", "", None, "É,È. naïve 12,5 <|endoftext|> x<|STARTOFTEXT|>y", "a " * 5000, "日本語。 テスト", "..a b.. c!"]
 
@@ -40,6 +41,7 @@ def test_elias_fano_round_trip():
         v = np.sort(rng.integers(0, 10**6, n))
         code = EliasFano.from_bytes(EliasFano.of(v).to_bytes())
         assert (code.all() == v).all() and all(code.select(i) == v[i] for i in range(n))
+        assert all((code.span(a, b) == v[a:b]).all() for a, b in ((0, n), (n // 2, n), (n // 3, n // 3 + 1)) if a < b <= n)
     with pytest.raises(ValueError):
         EliasFano.of(np.array([2, 1]))
 
@@ -54,6 +56,11 @@ def test_token_files(spark, docs, tmp_path):
         want.append((i, at, len(ids), crc(ids)))
         at += len(ids)
     assert got == want
+    odd = spark.createDataFrame([(None, "x y", 1), (None, None, 2), (5, "a", 3), (5, "b b", 4), (-(2**63), "c", 5), (2**63 - 1, "d", 6)], "doc_id long, text string, name int")
+    rest = write_token_files(odd, str(tmp_path / "odd"), partitions=1).cache()
+    rest.count()
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in read_token_digests(spark, str(tmp_path / "odd"), rest).collect())
+    assert [(i, n) for _, i, n in found] == [(None, 1), (None, 3), (-(2**63), 2), (5, 2), (5, 3), (2**63 - 1, 2)]
     none = write_token_files(docs.limit(0), str(tmp_path / "none"))
     assert read_token_digests(spark, str(tmp_path / "none"), none).count() == 0
 
@@ -87,8 +94,20 @@ def test_fingerprints(spark):
         assert got[i].n_chars == len(text) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         if text == other:
             assert got[i].fingerprint == got[ids[(k + 1) % len(ids)]].fingerprint and got[i].near_next == 1.0
-        assert 0 <= got[i].near_edited <= 1
+        sets = [shingle_set(x) for x in (text, edited, other)]
+        exact = lambda a, b: len(a & b) / max(1, len(a | b)) if a or b else 1.0
+        assert abs(got[i].near_edited - exact(sets[0], sets[1])) < 0.2 and abs(got[i].near_next - exact(sets[0], sets[2])) < 0.2
     assert fingerprints.edited_fingerprints(df.limit(0)).count() == 0
+    ties = spark.createDataFrame([(3, "a b c d e f g"), (3, "a b"), (None, "c"), (None, None), (1, "x " * 30000)], "doc_id long, `t.x` string").withColumn("next_text", F.lit("clash"))
+    out = fingerprints.edited_fingerprints(ties, text_col="t.x").collect()
+    assert len(out) == 5 and sorted(r.n_chars for r in out) == [0, 1, 3, 13, 60000]
+
+
+def test_places_among_bounds(spark):
+    for n in (0, 1, 2, 7, 50):
+        bounds = [3 * k for k in range(n)]
+        got = spark.range(-2, 160).select("id", fingerprints._bounds_below(F.col("id"), bounds, spark.range(1).schema["id"].dataType).alias("k")).collect()
+        assert all(r.k == sum(b < r.id for b in bounds) for r in got)
 
 
 def test_embeddings_equal_brute_force(spark):
