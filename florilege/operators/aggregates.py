@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from florilege.operators.lineage import checkpointed
+
 
 def group_count(df: DataFrame, key: list[str], name: str = "n") -> DataFrame:
     """Every row with the size of its group. Counts are pre-aggregated, so a frequent key costs a row a task."""
@@ -53,18 +55,26 @@ def resolve_category(df: DataFrame, key: str, cat: str, rules: dict[tuple[str, .
     return found.select(key, out.otherwise(default).alias(cat))
 
 
-def chain_hits(df: DataFrame, part: list[str], start: str, end: str, identity: str) -> DataFrame:
-    """Hits of a pair folded in order: one that starts right after the chain's end extends it (its identity is the mean of
-    the chain's and its own), else the longer of the two stays. One row a pair: ``start``, ``end``, ``identity``, ``length``."""
-    hits = df.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct(F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"), F.col(identity).cast("double").alias("i")))).alias("h"))
+def chain_hits(df: DataFrame, part: list[str], start: str, end: str, query_length: str, length: str, identity: str) -> DataFrame:
+    """Hits of a pair folded in order of start, end, query length, length and identity. From an empty chain that ends at 0,
+    a hit that starts right after the chain's end extends it: the length becomes that end, the identity the mean of the
+    chain's and its own (its own, if the chain has none). Another hit takes the chain's place if it is longer.
+
+    One row a pair: ``start``, ``end``, ``length``, ``identity`` and ``coverage``, the share of the query times the
+    identity. A pair's hits meet in one array: aligners report a few a pair."""
+    names = {"s": start, "e": end, "q": query_length, "l": length, "i": identity}
+    hit = F.struct(*(F.col(c).cast("double" if n == "i" else "long").alias(n) for n, c in names.items()))
+    hits = df.groupBy(*part).agg(F.array_sort(F.collect_list(hit)).alias("h"))
 
     def fold(chain: Column, hit: Column) -> Column:
-        joined = F.struct(chain["s"].alias("s"), hit["e"].alias("e"), ((chain["i"] + hit["i"]) / 2).alias("i"))
-        longer = F.when(hit["e"] - hit["s"] > chain["e"] - chain["s"], hit).otherwise(chain)
-        return F.when(hit["s"] == chain["e"] + 1, joined).otherwise(longer)
+        mean = F.when(chain["i"] == 0, hit["i"]).otherwise((chain["i"] + hit["i"]) / 2)
+        joined = F.struct(chain["s"].alias("s"), hit["e"].alias("e"), hit["q"].alias("q"), hit["e"].alias("l"), mean.alias("i"))
+        return F.when(hit["s"] == chain["e"] + 1, joined).when(chain["l"] < hit["l"], hit).otherwise(chain)
 
-    best = F.aggregate(F.slice("h", F.lit(2), F.size("h")), F.col("h")[0], fold)
-    return hits.select(*part, best.alias("c")).select(*part, F.col("c.s").alias("start"), F.col("c.e").alias("end"), F.col("c.i").alias("identity"), (F.col("c.e") - F.col("c.s") + 1).alias("length"))
+    none = F.struct(*(F.lit(0).cast("double" if n == "i" else "long").alias(n) for n in names))
+    best = hits.select(*part, F.aggregate("h", none, fold).alias("c"))
+    coverage = F.try_divide(F.col("c.l"), F.col("c.q")) * F.col("c.i")
+    return best.select(*part, F.col("c.s").alias("start"), F.col("c.e").alias("end"), F.col("c.l").alias("length"), F.col("c.i").alias("identity"), coverage.alias("coverage"))
 
 
 def argmax_by(df: DataFrame, key: list[str], value: str, payload: list[str]) -> DataFrame:
@@ -75,19 +85,66 @@ def argmax_by(df: DataFrame, key: list[str], value: str, payload: list[str]) ->
     return top.groupBy(*key, value).agg(F.min(F.struct(*payload)).alias("__p")).select(*key, value, "__p.*")
 
 
+#: Rows of a range of values that are ranked together, and ranges that are made at least.
+RANGE_ROWS, LEAST_RANGES = 1_000_000, 64
+
+
+def quantiles(df: DataFrame, value: Column, probabilities: dict[str, float], by: list[Column] | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation) of ``value`` by ``by``, a column each; nulls don't count.
+
+    Values are dealt to ranges, whose bounds are approximate percentiles. Their counts tell in which range of which group a
+    wanted rank lies, and only the rows of such ranges are ranked, each range by itself: no task sees a whole group, and
+    no map of all values is kept. Without ``by`` one row, of nulls for an empty table."""
+    keys = [f"__k{i}" for i in range(len(by or []))]
+    rows = df.select(*(c.alias(k) for c, k in zip(by or [], keys, strict=True)), value.cast("double").alias("v")).where("v is not null")
+    n = max(LEAST_RANGES, -(-rows.count() // RANGE_ROWS))
+    bounds = rows.agg(F.percentile_approx("v", [k / n for k in range(1, n)], 10 * n)).first()[0] or []
+    bounds = sorted(set(bounds))
+    step = max(1, round(len(bounds) ** 0.5))
+    array = lambda b: F.array(*map(F.lit, b)) if b else F.array().cast("array<double>")
+    below = lambda some: F.size(F.filter(some, lambda b: b < F.col("v")))
+    rows = rows.withColumn("c", below(array(bounds[::step])))  # every so many bounds, then those between two of them
+    rows = rows.withColumn("r", F.when(F.col("c") == 0, 0).otherwise((F.col("c") - 1) * step + below(F.slice(array(bounds), (F.col("c") - 1) * step + 1, F.lit(step))))).drop("c")
+    counts = checkpointed(rows.groupBy(*keys, "r").agg(F.count("*").alias("m")))  # a row a group and range
+    before = W.partitionBy(*(keys or [F.lit(0)])).orderBy("r").rowsBetween(W.unboundedPreceding, -1)
+    total = F.sum("m").over(W.partitionBy(*(keys or [F.lit(0)])))
+    placed = counts.withColumns({"before": F.coalesce(F.sum("m").over(before), F.lit(0)), "n": total})
+    at = {p: (F.col("n") - 1) * F.lit(p) for p in probabilities.values()}
+    asked = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(x), F.ceil(x)) for x in at.values()))))
+    asked = F.filter(asked, lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("m")))
+    wanted = placed.withColumn("asked", asked).where(F.size("asked") > 0)
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys] + [F.col("l.r") == F.col("w.r")]
+    ranked = rows.alias("l").join(wanted.alias("w"), same).select("l.*", "before", "asked", "n")
+    rank = F.row_number().over(W.partitionBy(*keys, "r").orderBy("v")) - 1 + F.col("before")
+    found = ranked.withColumn("k", rank).where(F.array_contains("asked", F.col("k")))
+    value_at = lambda k: F.max(F.when(F.col("k") == k, F.col("v")))
+    low_high = [x for i, p in enumerate(probabilities.values()) for x in (value_at(F.floor(at[p])).alias(f"lo{i}"), value_at(F.ceil(at[p])).alias(f"hi{i}"))]
+    out = found.groupBy(*keys).agg(F.max("n").alias("n"), *low_high)
+    share = [at[p] - F.floor(at[p]) for p in probabilities.values()]
+    return out.select(*keys, *((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * x).alias(name) for i, (name, x) in enumerate(zip(probabilities, share, strict=True))))
+
+
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def iqr_bounds(df: DataFrame, value: Column, k: float) -> DataFrame:
+    """One row: ``low`` and ``high``, ``k`` interquartile ranges outside of the quartiles."""
+    q = quantiles(df, value, {"q1": 0.25, "q3": 0.75})
+    return q.select((F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("high"))
+
+
 def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, log: bool = False, name: str = "outlier") -> DataFrame:
     """Every row with ``low``, ``high`` and a flag outside of ``k`` interquartile ranges around the quartiles."""
     value = F.log10(col) if log else F.col(col)
-    q = df.select(value.alias("v")).agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.75).alias("q3"))
-    bounds = q.select((F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("high"))
-    return df.crossJoin(F.broadcast(bounds)).withColumn(name, (value < F.col("low")) | (value > F.col("high")))  # one row of bounds
+    return df.crossJoin(F.broadcast(iqr_bounds(df, value, k))).withColumn(name, (value < F.col("low")) | (value > F.col("high")))  # one row of bounds
 
 
 def summarize(df: DataFrame, cols: list[str]) -> DataFrame:
     """Minimum, quartiles, mean, maximum and number of nulls of each column, a row a column."""
     long = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols))).alias("x")).select("x.*")
-    q = [F.percentile("v", p).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    return long.groupBy("column").agg(F.min("v").alias("min"), *q, F.avg("v").alias("mean"), F.max("v").alias("max"), F.count_if(F.col("v").isNull()).alias("n_null"))
+    q = quantiles(long, F.col("v"), _QUARTILES, [F.col("column")]).withColumnRenamed("__k0", "column")
+    rest = long.groupBy("column").agg(F.min("v").alias("min"), F.avg("v").alias("mean"), F.max("v").alias("max"), F.count_if(F.col("v").isNull()).alias("n_null"))
+    return rest.join(q, "column", "left").select("column", "min", "q1", "median", "q3", "mean", "max", "n_null")
 
 
 def hierarchy_rollup(df: DataFrame, levels: list[str]) -> DataFrame:
@@ -168,7 +225,7 @@ def coverage_report(df: DataFrame, predicates: dict[str, Column]) -> DataFrame:
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles of each group and the outermost values within 1.5 interquartile ranges of them."""
-    q = df.groupBy(group).agg(*(F.percentile(value, p).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))))
+    q = quantiles(df, F.col(value), _QUARTILES, [F.col(group)]).withColumnRenamed("__k0", group)
     low, high = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = df.join(q, group).where((F.col(value) >= low) & (F.col(value) <= high))
     return inside.groupBy(group, "q1", "median", "q3").agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))

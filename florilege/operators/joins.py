@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from florilege.functions.text import normalize_term
 from florilege.operators.aggregates import assert_unique
+from florilege.operators.lineage import checkpointed
 
 
 def validated_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", validate: str = "m:1", distinct: bool = False) -> DataFrame:
@@ -118,7 +119,7 @@ def similarity_join(sketches: DataFrame, id_col: str, sketch: str, k: int, max_d
     from florilege.functions.sequence import sketch_distance
 
     t = exp(-k * max_dist) / (2 - exp(-k * max_dist))
-    sketches = sketches.select(id_col, sketch).persist()  # read three times
+    sketches = checkpointed(sketches.select(id_col, sketch))  # read three times
     n = F.size(sketch)
     prefix = F.slice(sketch, F.lit(1), F.greatest(n - F.ceil(t * n).cast("int") + 1, F.lit(1)))
     short = sketches.where(n > 0).select(F.col(id_col).alias("id"), F.explode(prefix).alias("h"))

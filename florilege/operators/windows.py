@@ -89,7 +89,8 @@ def normal_tail(z: Column) -> Column:
 
 def knn(pairs: DataFrame, k: int, a: str = "a", b: str = "b", dist: str = "dist") -> DataFrame:
     """The ``k`` nearest partners of each row of a pair table that lists each pair once."""
-    both = pairs.select(a, b, dist).union(pairs.select(F.col(b), F.col(a), F.col(dist)))
+    ends = F.array(F.struct(F.col(a).alias(a), F.col(b).alias(b)), F.struct(F.col(b).alias(a), F.col(a).alias(b)))
+    both = pairs.select(F.explode(ends).alias("e"), dist).select("e.*", dist)  # the pairs are made once
     w = W.partitionBy(a).orderBy(dist, b)
     return both.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from florilege.operators import filters as fi
 from florilege.operators import joins as jo
 from florilege.operators import sets as st
 from florilege.operators import windows as wi
-from florilege.sources.readers import flatten_json
+from florilege.operators.lineage import shared_folder
+from florilege.sources.readers import flatten_json, read_batches
+from florilege.sources.writers import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -142,15 +145,16 @@ def f7_value_in(t):
     return fi.value_in(t.customer, "c_custkey", t.orders.where("o_totalprice > 400000").select("o_custkey")).select("c_custkey")
 
 
-@query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), 'x') AS k FROM events WHERE NOT regexp_matches(coalesce(json_extract_string(props, '$.k'), 'x'), '^[0-9]+$')")
+@query("SELECT event_id, event_type AS k FROM events WHERE user_id % 2 = 0 UNION ALL SELECT event_id, 'x' || user_id FROM events WHERE user_id % 6 = 1")
 def f8_drop_numeric_text(t):
-    return fi.drop_numeric_text(t.events.select("event_id", F.coalesce(F.get_json_object("props", "$.k"), F.lit("x")).alias("k")), "k")
+    text = F.when(F.col("user_id") % 2 == 0, F.col("event_type")).when(F.col("user_id") % 6 == 1, F.concat(F.lit("x"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string"))
+    return fi.drop_numeric_text(t.events.select("event_id", text.alias("k")), "k")
 
 
-@query("""WITH u AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+@query("""WITH u AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags FROM events GROUP BY 1)
     SELECT user_id, tags, list_contains(string_split(tags, ','), 'click') AS has_click, list_contains(string_split(tags, ','), 'click') AND NOT list_contains(string_split(tags, ','), 'purchase') AS review FROM u""")
 def f9_flag_tag(t):
-    tags = ag.distinct_list(t.events.where("event_id % 3 = 0"), "user_id", "event_type").select("user_id", F.col("items").alias("tags"))
+    tags = ag.distinct_list(t.events, "user_id", "event_type").select("user_id", F.col("items").alias("tags"))
     found = fi.flag_tag(tags, "tags", "click", "has_click").withColumn("found", F.when(F.array_contains(F.split("tags", ","), "purchase"), "purchase").otherwise(""))
     return fi.check_flag(found, "has_click", "found", "review").drop("found")
 
@@ -184,9 +188,9 @@ def j1_validated_join(t):
     return jo.validated_join(t.orders, right, ["o_custkey"], validate="m:1").select("o_orderkey", "c_name", "c_mktsegment")
 
 
-@query("SELECT DISTINCT coalesce(d.doc_id, l.doc_id) AS doc_id, lang, quality FROM (SELECT * FROM documents WHERE doc_id % 2 = 0) d FULL JOIN labels l ON d.doc_id = l.doc_id")
+@query("SELECT DISTINCT coalesce(d.doc_id, l.doc_id) AS doc_id, lang, quality FROM documents d FULL JOIN (SELECT * FROM labels WHERE toxic = 0 UNION ALL SELECT -doc_id, quality, toxic FROM labels WHERE toxic = 1) l ON d.doc_id = l.doc_id")
 def j2_full_join_distinct(t):
-    return jo.validated_join(t.documents.where("doc_id % 2 = 0").select("doc_id", "lang"), t.labels.select("doc_id", "quality"), ["doc_id"], "full", "1:1", distinct=True)
+    return jo.validated_join(t.documents.select("doc_id", "lang"), t.labels.select(F.when(F.col("toxic") == 1, -F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), "quality"), ["doc_id"], "full", "1:1", distinct=True)
 
 
 @query("""SELECT o_orderkey, c_name, n_name, r_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
@@ -356,10 +360,15 @@ def a6_resolve_category(t):
     return ag.resolve_category(t.lineitem, "l_orderkey", "l_returnflag", {("R", "A"): "done"})
 
 
-@query()
+@query("""WITH RECURSIVE h AS (SELECT l_suppkey, l_partkey % 10 AS subject, l_partkey % 60 + 1 AS s, l_partkey % 60 + CAST(l_quantity AS BIGINT) AS e, (l_suppkey % 7 + 1) * 100 AS q, CAST(l_quantity AS BIGINT) - l_linenumber % 2 AS l, round(100 - 100 * l_discount, 2) AS i FROM lineitem),
+    n AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, subject ORDER BY s, e, q, l, i) AS k FROM h),
+    c AS (SELECT DISTINCT l_suppkey, subject, 0::BIGINT AS k, 0::BIGINT AS s, 0::BIGINT AS e, 0::BIGINT AS q, 0::BIGINT AS l, 0::DOUBLE AS i FROM h UNION ALL SELECT c.l_suppkey, c.subject, n.k, CASE WHEN n.s = c.e + 1 THEN c.s WHEN c.l < n.l THEN n.s ELSE c.s END, CASE WHEN n.s = c.e + 1 OR c.l < n.l THEN n.e ELSE c.e END, CASE WHEN n.s = c.e + 1 OR c.l < n.l THEN n.q ELSE c.q END,
+        CASE WHEN n.s = c.e + 1 THEN n.e WHEN c.l < n.l THEN n.l ELSE c.l END, CASE WHEN n.s = c.e + 1 THEN CASE WHEN c.i = 0 THEN n.i ELSE (c.i + n.i) / 2 END WHEN c.l < n.l THEN n.i ELSE c.i END FROM c JOIN n ON n.l_suppkey = c.l_suppkey AND n.subject = c.subject AND n.k = c.k + 1)
+    SELECT l_suppkey, subject, s AS start, e AS "end", l AS length, round(i, 6) AS identity, round(l / q * i, 5) AS coverage FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey, subject ORDER BY k DESC) AS last FROM c) WHERE last = 1""")
 def a7_chain_hits(t):
-    hits = t.lineitem.select("l_suppkey", (F.col("l_partkey") % 10).alias("subject"), F.col("l_partkey").alias("s"), (F.col("l_partkey") + F.col("l_quantity").cast("long") - 1).alias("e"), (100 - F.col("l_discount")).alias("i"))
-    return ag.chain_hits(hits, ["l_suppkey", "subject"], "s", "e", "i")
+    start = F.col("l_partkey") % 60
+    hits = t.lineitem.select("l_suppkey", (F.col("l_partkey") % 10).alias("subject"), (start + 1).alias("s"), (start + F.col("l_quantity").cast("long")).alias("e"), ((F.col("l_suppkey") % 7 + 1) * 100).alias("q"), (F.col("l_quantity").cast("long") - F.col("l_linenumber") % 2).alias("l"), F.round(100 - 100 * F.col("l_discount"), 2).alias("i"))
+    return ag.chain_hits(hits, ["l_suppkey", "subject"], "s", "e", "q", "l", "i").withColumns({"identity": F.round("identity", 6), "coverage": F.round("coverage", 5)})
 
 
 @query("""WITH r AS (SELECT o_custkey, o_totalprice, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) SELECT o_custkey, o_totalprice, o_orderkey FROM r WHERE k = 1""")
@@ -472,8 +481,17 @@ def s11_flatten_json(t):
 
 @query("SELECT DISTINCT * FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 3 = 0)")
 def s3_read_batches(t):
-    rows = t.documents.select("doc_id", "lang")
-    return st.union_distinct(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 3 = 0"))
+    """Two batch files of the documents' languages that overlap, written as delimited text and read back."""
+    rows, batches = t.documents.select("doc_id", "lang"), f"{shared_folder(t.spark)}/batches-{uuid.uuid4().hex}"
+    write_table(rows.where("doc_id % 2 = 0"), f"{batches}/0")
+    write_table(rows.where("doc_id % 3 = 0"), f"{batches}/1")
+    return read_batches(t.spark, [f"{batches}/0", f"{batches}/1"], "doc_id long, lang string")
+
+
+@query("SELECT 'o_clerk' AS \"column\", 'string' AS type_a, NULL AS type_b, 'added' AS status UNION ALL SELECT 'o_custkey', NULL, 'bigint', 'removed' UNION ALL SELECT 'o_orderkey', 'bigint', 'bigint', 'same' UNION ALL SELECT 'o_totalprice', 'string', 'double', 'retyped'")
+def u4_schema_diff(t):
+    old = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return st.schema_diff(old.drop("o_custkey").withColumns({"o_totalprice": F.col("o_totalprice").cast("string"), "o_clerk": F.lit("x")}), old)
 
 
 # windows
@@ -520,7 +538,9 @@ def w7_rank_sum(t):
     return wi.rank_sum(t.orders, "o_orderstatus", "o_totalprice", ["o_orderpriority"], "F", "O").select("o_orderpriority", "n1", "n2", F.round("u", 3).alias("u"))
 
 
-@query()
+@query("""WITH r AS (SELECT o_orderpriority, o_orderstatus, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_orderpriority, o_totalprice) - 1) / 2.0 AS r, count(*) OVER (PARTITION BY o_orderpriority, o_totalprice) AS t FROM orders WHERE o_orderstatus IN ('F', 'O')),
+    a AS (SELECT o_orderpriority, count_if(o_orderstatus = 'F')::DOUBLE AS n1, count_if(o_orderstatus = 'O')::DOUBLE AS n2, sum(CASE WHEN o_orderstatus = 'F' THEN r END) AS r1, sum(t * t - 1)::DOUBLE AS ties FROM r GROUP BY 1), u AS (SELECT *, r1 - n1 * (n1 + 1) / 2 AS u, sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS sd FROM a),
+    z AS (SELECT o_orderpriority, abs((u - n1 * n2 / 2) / sd) AS z FROM u), k AS (SELECT *, 1 / (1 + 0.2316419 * z) AS t FROM z) SELECT o_orderpriority, round(2 * exp(-z * z / 2) / sqrt(2 * pi()) * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429)))), 6) AS p FROM k""")
 def w7_rank_sum_p(t):
     return wi.rank_sum(t.orders, "o_orderstatus", "o_totalprice", ["o_orderpriority"], "F", "O").select("o_orderpriority", F.round("p", 6).alias("p"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +17,20 @@ from florilege.operators import joins as jo
 from florilege.operators import ontology as on
 from florilege.operators import sets as st
 from florilege.operators import windows as wi
+from florilege.operators.lineage import checkpointed
 from florilege.plans.catalogue import query
-from florilege.plans.models import edges
+from florilege.plans.models import NEAR_PAIRS, edges
+
 
+def metadata_filter(records: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], key: str, duplicate_of: str, description: str, regex: str, tags: tuple[str, str, str, str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Superseded records, unwanted descriptions and incomplete records go; every dimension is pruned to the survivors.
 
-def metadata_filter(records: DataFrame, assemblies: DataFrame, key: str, assembly: str, duplicate_of: str, description: str, regex: str, tags: tuple[str, str, str, str]) -> tuple[DataFrame, DataFrame]:
-    """Superseded records, unwanted descriptions and incomplete records go; assemblies are pruned to the survivors."""
-    joined = jo.star_join(records, [(assemblies, assembly, assembly, "_assembly")])
+    ``dims``: by name a frame, the records' key of it and its own; the first one is joined, its completeness tag counts."""
+    (first, theirs, own), *_ = dims.values()
+    joined = jo.star_join(records, [(first, theirs, own, "_first")])
     kept = fi.completeness_filter(fi.exclude_matching(fi.exclude_referenced(joined, key, duplicate_of), description, regex), *tags)
     kept = kept.select(records.columns)
-    return kept, jo.prune_to({"a": assemblies}, kept, {"a": (assembly, assembly)})["a"]
+    return kept, jo.prune_to({n: d[0] for n, d in dims.items()}, kept, {n: (d[2], d[1]) for n, d in dims.items()})
 
 
 def deduplicate(records: DataFrame, id_col: str, content: str, order: list[str | Column], both_strands: bool = False) -> DataFrame:
@@ -60,20 +67,37 @@ def artifact_filter(records: DataFrame, keys: list[str], id_col: str, size: str,
     return jo.remove_ids(records, contained.select("query"), id_col), jo.inclusions(contained, "query", "subject")
 
 
-def merge_reports(reports: dict, symbol: str, reference: str, other: str, prefix: str, part: list[str], start: str, stop: str, tol: int, id_col: str) -> DataFrame:
-    """Harmonised reports, equal hits kept once (sources in order of their names), then hits near a better one dropped."""
+def merge_reports(reports: dict, symbol: str, reference: str, other: str, prefix: str, part: list[str], strand: str, start: str, stop: str, tol: int, id_col: str) -> DataFrame:
+    """Harmonised reports, equal hits kept once (sources in order of their names); then, among the hits whose symbol
+    repeats on a strand of their ``part``, those near a better one of the part go. ``id_col`` tells hits apart."""
     rows = jo.harmonize_symbol(st.harmonize_reports(reports), symbol, "source", reference, other, prefix)
-    once = wi.dedup_keep_first(rows, [*part, "symbol2", start, stop], ["source", id_col])
-    return jo.proximity_dedup(once, part, start, stop, tol, ["source"], id_col)
-
-
-def viral_curation(scores: DataFrame, contamination: DataFrame, genes: DataFrame, key: str, mge_terms: str) -> DataFrame:
-    """Scores and gene counts of each record joined one to one and turned into a category; genes of mobile elements
-    decide between the categories of a record without either."""
-    joined = jo.validated_join(scores, contamination, [key], "full", "1:1", distinct=True)
-    mobile = genes.where(F.lower("gene_description").rlike(mge_terms)).select(tx.nth_token(F.col("gene"), "__").alias(key)).distinct().withColumn("__mge", F.lit(True))
-    rules = [((F.col("viral_genes") > 0) & (F.col("hallmark") > 0), "likely_viral_1"), ((F.col("viral_genes") > 0) | (F.col("max_score") >= 0.95), "likely_viral_2"), (F.col("__mge"), "mge"), (F.col("host_genes") > 0, "non-viral")]
-    return joined.join(mobile, key, "left").withColumn("category", tx.categorize(rules, "undefined")).drop("__mge")
+    once = checkpointed(wi.dedup_keep_first(rows, [*part, "symbol2", strand, start, stop], ["source", id_col]))
+    repeated = wi.duplicated_all(once, [*part, "symbol2", strand])
+    lost = jo.remove_ids(repeated, jo.proximity_dedup(repeated, part, start, stop, tol, ["source"], id_col).select(id_col), id_col)
+    return jo.remove_ids(once, lost.select(id_col), id_col)
+
+
+def viral_curation(scores: DataFrame, contamination: DataFrame, genes: DataFrame, key: str, suspicious: list[str], record: str = "record") -> tuple[DataFrame, DataFrame]:
+    """Scores and gene counts of contigs (``record|part``) joined one to one and put in a category by the first rule
+    that holds. Records with a contig of the second category and a gene (``record__n``) whose description or module is
+    ``suspicious`` (in any case) go. Two frames: contigs, and records with the category of all their contigs (two viral ones
+    are joined, others that differ are undefined); ``putative`` tells the viral ones."""
+    joined = jo.validated_join(scores, contamination, [key], "full", "1:1", distinct=True).withColumn(record, tx.nth_token(F.col(key), "|"))
+    none, host = F.col("viral_genes") == 0, F.col("host_genes")
+    rules = [
+        (F.col("viral_genes") > 0, "likely_viral_1"),
+        (none & ((host == 0) | (F.col("hallmark") > 2) | (F.col("max_score") > 0.95)), "likely_viral_2"),
+        (none & (host >= 2), "mostly_non-viral"),
+        (none & (host == 1), "mostly_mge"),
+    ]
+    rows = joined.withColumn("category", tx.categorize(rules, "undefined"))
+    named = F.coalesce(F.lower("gene_description").isin(suspicious), F.lit(False)) | F.coalesce(F.lower("module").isin(suspicious), F.lit(False))
+    marked = genes.where(named).select(tx.nth_token(F.col("gene"), "__").alias(record)).distinct()
+    doubtful = rows.where("category = 'likely_viral_2'").select(record).distinct()
+    contigs = jo.remove_ids(rows, doubtful.join(marked, record, "left_semi"), record)
+    viral = F.col("category").contains("likely_viral")
+    whole = ag.resolve_category(contigs, record, "category", {("likely_viral_1", "likely_viral_2"): "likely_viral_1-2"})
+    return contigs.withColumn("putative", viral), whole.withColumn("putative", viral)
 
 
 def typing_table(types: DataFrame, mlst: DataFrame, key: str) -> DataFrame:
@@ -82,12 +106,15 @@ def typing_table(types: DataFrame, mlst: DataFrame, key: str) -> DataFrame:
     return co.normalize_nulls(jo.validated_join(types, ag.distinct_list(named, key, "st", ";").select(key, F.col("items").alias("pmlst")), [key], validate="1:1"), ("-", ""))
 
 
-def feature_tables(features: DataFrame, overlay: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Features with overlays and names, and a table of each record's GC content and length."""
+def feature_tables(features: DataFrame, overlay: DataFrame, records: DataFrame, kinds: tuple[str, ...] = ("CDS", "rRNA", "tRNA", "regulatory")) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Features with overlays and, for ``kinds``, names; a table of each record's GC content and length; and the
+    proteins as ``(id, description, seq)``, ready for ``write_fasta``: those with a translation."""
     lo, hi = tx.ordered_range(F.col("start"), F.col("end"))
     merged = jo.upsert_features(features, overlay, "id", "gene").withColumns({"start": lo, "end": hi})
-    named = merged.withColumn("name", tx.resolve_name(F.col("type"), F.col("gene"), F.col("product"), F.col("locus_tag"), ("hypothetical protein",), ("source", "gap")))
-    return named, records.select("id", F.round(seq.gc_fraction(F.col("seq")), 6).alias("gc"), F.length("seq").cast("long").alias("length"))
+    name = tx.resolve_name(F.col("type"), F.col("gene"), F.col("product"), F.col("locus_tag"), ("hypothetical protein",), ())
+    named = merged.withColumn("name", F.when(F.col("type").isin(*kinds), name).otherwise(""))
+    proteins = merged.where(F.col("translation").isNotNull()).select(F.col("protein_id").alias("id"), F.col("id").alias("description"), F.col("translation").alias("seq"))
+    return named, records.select("id", F.round(seq.gc_fraction(F.col("seq")), 6).alias("gc"), F.length("seq").cast("long").alias("length")), proteins
 
 
 def annotate_terms(rows: DataFrame, key: str, cols: list[str], mapping: DataFrame, query: str, value: str, prev: DataFrame, closure: DataFrame) -> DataFrame:
@@ -101,13 +128,51 @@ def annotate_terms(rows: DataFrame, key: str, cols: list[str], mapping: DataFram
     return jo.carry_forward(out, prev, key, ["ids"], "check")
 
 
-def outlier_status(records: DataFrame, id_col: str, value: str, k: float, evidence: list[str], hard: tuple[float, float], manual: DataFrame) -> DataFrame:
-    """C11: suppressed records: statistical outliers without any evidence, values out of the hard range, and those listed."""
-    flagged = ag.iqr_outliers(records, value, k, log=True)
-    soft = fi.all_null(flagged.where("outlier"), evidence).select(id_col).withColumn("status", F.lit("outlier without evidence"))
-    out = fi.range_status(records.select(id_col, value), value, *hard, "out of range").select(id_col, "status")
-    rows = soft.unionByName(out).unionByName(manual.select(id_col).withColumn("status", F.lit("listed")))
-    return rows.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("status")), "; ").alias("status"))
+def final_table(records: DataFrame, dim: DataFrame, key: str, on: str, number: str, status: str, absent: str) -> DataFrame:
+    """Records, unique by ``key``, with a dimension's columns; a missing ``number`` is -1, a missing ``status`` is ``absent``."""
+    joined = jo.validated_join(ag.assert_unique(records, [key]), dim, [on], validate="m:1")
+    return co.cast_matching(joined, number, "int", -1).na.fill({status: absent})
+
+
+def outlier_status(records: DataFrame, id_col: str, measures: dict[str, bool], k: float, evidence: list[str], hard: tuple[str, float, float], manual: DataFrame) -> DataFrame:
+    """C11: suppressed records with the first reason that holds: statistical outliers of any of the ``measures`` (name: on a
+    logarithmic scale or not) without any evidence, values out of the ``hard`` range of a column, and those listed."""
+    outlier, rows = F.lit(False), records
+    for i, (name, log) in enumerate(measures.items()):
+        value = F.log10(name) if log else F.col(name)
+        rows = rows.crossJoin(F.broadcast(ag.iqr_bounds(records, value, k).toDF(f"__low{i}", f"__high{i}")))  # one row of bounds
+        outlier = outlier | F.coalesce((value < F.col(f"__low{i}")) | (value > F.col(f"__high{i}")), F.lit(False))
+    bare = reduce(operator.and_, (F.col(c).isNull() for c in evidence))
+    name, low, high = hard
+    listed = manual.select(F.col(id_col).alias("__listed")).distinct()
+    status = tx.categorize([(outlier & bare, "outlier without evidence"), ((F.col(name) < low) | (F.col(name) > high), "out of range"), (F.col("__listed").isNotNull(), "listed")], "")
+    return rows.join(listed, F.col(id_col) == F.col("__listed"), "left").select(id_col, status.alias("status")).where("status <> ''")
+
+
+def release_report(new: DataFrame, old: DataFrame, key: str, levels: list[str], measures: list[str], coverage: dict[str, Column], ignore: list[str] | None = None, reasons: list[tuple[DataFrame, str, str]] | None = None) -> dict[str, DataFrame]:
+    """What changed between two releases (``diff``, ``columns``) and a summary of the new one: distinct values of each level
+    (``taxa``), six-number summaries (``numbers``) and rows that have each kind of information (``coverage``)."""
+    return {
+        "diff": jo.release_diff(new, old, key, ignore, reasons),
+        "columns": st.schema_diff(new, old),
+        "taxa": ag.distinct_per_level(new, levels),
+        "numbers": ag.summarize(new, measures),
+        "coverage": ag.coverage_report(new, coverage),
+    }
+
+
+def family_summary(rows: DataFrame, item: str, cls: str, family: str, clan: str, representative: str, references: dict[str, str]) -> DataFrame:
+    """Rows (an item in a class) with their family's reference members (``references``: name and prefix of its list) and
+    the representatives of family and clan. A family without one takes the smallest item that is in each of its classes;
+    a family's representative is its clan's where both have one number. Reference items themselves are left out."""
+    chosen = rows.where(representative).groupBy(family).agg(F.min(item).alias("__chosen"))
+    common = ag.common_member(rows, family, cls, item)
+    best = common.join(chosen, family, "full").select(family, F.coalesce("__chosen", "representative").alias("representative_family"))
+    lists = jo.family_members(rows, family, item, references)
+    of_clan = rows.where(F.col(family) == F.col(clan)).select(family, clan).distinct().join(best, family).select(clan, F.col("representative_family").alias("representative_clan"))
+    out = jo.attach_representatives(jo.attach_representatives(rows.join(lists, family, "left"), best, family), of_clan, clan)
+    out = fi.exclude_prefix(out.where(F.col(item).isNotNull()), item, list(references.values()))
+    return out.select(item, cls, tx.pad_id(F.col(clan), "GCC_", 7).alias("clan_id"), tx.pad_id(F.col(family), "GCF_", 8).alias("family_id"), *references, "representative_family", "representative_clan")
 
 
 def information_table(records: DataFrame, members: DataFrame, key: str, item: str, codes: dict, coded: str) -> DataFrame:
@@ -131,13 +196,19 @@ def review_queue(rows: DataFrame, flag: str, cols: list[str]) -> DataFrame:
 
 
 @query("""WITH r AS (SELECT *, CASE WHEN min(o_orderkey) OVER w <> o_orderkey THEN min(o_orderkey) OVER w END AS dup FROM orders WINDOW w AS (PARTITION BY o_custkey, o_orderstatus)),
-    k AS (SELECT * FROM r WHERE o_orderkey NOT IN (SELECT dup FROM r WHERE dup IS NOT NULL) AND NOT regexp_matches(lower(o_orderpriority), 'not specified'))
-    SELECT o_orderkey, o_custkey FROM k JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_mktsegment = 'BUILDING'""")
+    k AS (SELECT o_orderkey, o_custkey, c_nationkey FROM r JOIN customer ON o_custkey = c_custkey WHERE o_orderkey NOT IN (SELECT dup FROM r WHERE dup IS NOT NULL) AND NOT regexp_matches(lower(o_orderpriority), 'not specified') AND o_orderstatus = 'F' AND c_mktsegment = 'BUILDING')
+    SELECT 'order' AS kind, o_orderkey AS id FROM k UNION ALL SELECT 'customer', c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM k)
+    UNION ALL SELECT 'nation', n_nationkey FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM k) UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_nationkey IN (SELECT c_nationkey FROM k)""")
 def c1_metadata_filter(t):
     first = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.min("o_orderkey").alias("first"))
     rows = t.orders.join(first, ["o_custkey", "o_orderstatus"]).withColumn("dup", F.when(F.col("first") != F.col("o_orderkey"), F.col("first")))
-    kept, _ = metadata_filter(rows, t.customer.withColumnRenamed("c_custkey", "o_custkey"), "o_orderkey", "o_custkey", "dup", "o_orderpriority", "not specified", ("c_mktsegment", "BUILDING", "o_orderstatus", "F"))
-    return kept.select("o_orderkey", "o_custkey")
+    rows = rows.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("o_nation")), "o_custkey", "left")
+    dims = {"customer": (t.customer, "o_custkey", "c_custkey"), "nation": (t.nation, "o_nation", "n_nationkey"), "supplier": (t.supplier, "o_nation", "s_nationkey")}
+    kept, pruned = metadata_filter(rows, dims, "o_orderkey", "dup", "o_orderpriority", "not specified", ("c_mktsegment", "BUILDING", "o_orderstatus", "F"))
+    out = kept.select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"))
+    for name, key in (("customer", "c_custkey"), ("nation", "n_nationkey"), ("supplier", "s_suppkey")):
+        out = out.union(pruned[name].select(F.lit(name), F.col(key).cast("long")))
+    return out
 
 
 @query("""WITH r AS (SELECT d.doc_id, d.source, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text ORDER BY (l.quality IS NOT NULL) DESC, l.quality DESC NULLS LAST, n_chars DESC NULLS LAST, d.doc_id) AS k
@@ -161,24 +232,92 @@ def c3_chromosomal_screen(t):
     return chromosomal_screen(t.events, "user_id", "event_type", {"value": (">=", 10)}, 2, near, t.events, {"value": (">", 100)})
 
 
-@query()
+@query("""WITH b AS (SELECT item_id, text, substr(text, 1, 2) AS g, length(text) AS n FROM benchmark), k AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(text) - 18), lambda i: substr(text, i, 20))) AS m FROM b), s AS (SELECT item_id, count(*) AS n FROM k GROUP BY 1),
+    p AS (SELECT x.item_id AS q, y.item_id AS s FROM b x JOIN b y ON x.g = y.g AND (x.n < y.n OR (x.n = y.n AND x.item_id < y.item_id))), c AS (SELECT p.q, p.s, count(*) / any_value(s.n) AS c FROM p JOIN k x ON x.item_id = p.q JOIN k y ON y.item_id = p.s AND y.m = x.m JOIN s ON s.item_id = p.q GROUP BY 1, 2)
+    SELECT item_id FROM benchmark WHERE item_id NOT IN (SELECT q FROM c WHERE c >= 0.5)""")
 def c4_artifact_filter(t):
     rows = t.benchmark.withColumn("group", F.substring("text", 1, 2)).withColumn("n", F.length("text"))
     return artifact_filter(rows, ["group"], "item_id", "n", "text", 20, 0.5)[0].select("item_id")
 
 
-@query()
+@query("""WITH h AS (SELECT DISTINCT l_suppkey AS record, l_partkey AS start, l_partkey + CAST(l_quantity AS BIGINT) AS stop, l_linestatus AS strand, lower(l_returnflag) AS symbol2, CASE WHEN l_returnflag = 'R' THEN 'amr' ELSE 'rgi' END AS source, l_orderkey AS o, l_linenumber AS l FROM lineitem),
+    d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record, symbol2, strand, start, stop ORDER BY source, o, l) AS k FROM h) WHERE k = 1), u AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY record, symbol2, strand) AS c FROM d) WHERE c > 1),
+    x AS (SELECT a.record, a.start, a.stop, a.symbol2, a.strand FROM u a WHERE EXISTS (SELECT 1 FROM u b WHERE a.record = b.record AND abs(a.start - b.start) <= 10 AND abs(a.stop - b.stop) <= 10 AND (b.source, b.o, b.l, b.start, b.stop, b.symbol2, b.strand) < (a.source, a.o, a.l, a.start, a.stop, a.symbol2, a.strand)))
+    SELECT record, start, stop, symbol2, strand, source FROM d ANTI JOIN x USING (record, start, stop, symbol2, strand)""")
 def c5_merge_reports(t):
-    lines = t.lineitem.select(F.monotonically_increasing_id().alias("line"), "l_suppkey", "l_partkey", (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("stop"), "l_shipdate", "l_returnflag")
-    names = {"l_suppkey": "record", "l_partkey": "start", "l_returnflag": "gene"}
+    lines = t.lineitem.select("l_suppkey", "l_partkey", (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("stop"), "l_linestatus", "l_returnflag", "l_orderkey", "l_linenumber").distinct()
+    lines = lines.withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey", "stop", F.lower("l_returnflag").alias("flag"), "l_linestatus", "l_suppkey")).drop("l_orderkey", "l_linenumber")
+    names = {"l_suppkey": "record", "l_partkey": "start", "l_returnflag": "gene", "l_linestatus": "strand"}
     parts = {"amr": (lines.where("l_returnflag = 'R'"), names, {}), "rgi": (lines.where("l_returnflag <> 'R'"), names, {})}
-    return merge_reports(parts, "gene", "amr", "rgi", "bla", ["record"], "start", "stop", 10, "line").select("record", "start", "stop", "symbol2", "source")
+    return merge_reports(parts, "gene", "amr", "rgi", "bla", ["record"], "strand", "start", "stop", 10, "line").select("record", "start", "stop", "symbol2", "strand", "source")
+
+
+_CURATED = """WITH s AS (SELECT user_id || '|' || event_type AS contig, round(max(value) / 400, 4) AS max_score, count(*) % 5 AS hallmark FROM events WHERE event_type <> 'click' GROUP BY 1), c AS (SELECT user_id || '|' || event_type AS contig, min(event_id) % 3 % 2 AS viral_genes, max(event_id) % 4 AS host_genes FROM events WHERE event_type <> 'view' GROUP BY 1),
+    r AS (SELECT coalesce(s.contig, c.contig) AS contig, CASE WHEN viral_genes > 0 THEN 'likely_viral_1' WHEN viral_genes = 0 AND (host_genes = 0 OR hallmark > 2 OR max_score > 0.95) THEN 'likely_viral_2' WHEN viral_genes = 0 AND host_genes >= 2 THEN 'mostly_non-viral' WHEN viral_genes = 0 AND host_genes = 1 THEN 'mostly_mge' ELSE 'undefined' END AS category FROM s FULL JOIN c ON s.contig = c.contig),
+    x AS (SELECT *, split_part(contig, '|', 1) AS record FROM r), f AS (SELECT record FROM x WHERE category = 'likely_viral_2' AND record IN (SELECT user_id::VARCHAR FROM events WHERE event_id % 197 = 0)), k AS (SELECT * FROM x WHERE record NOT IN (SELECT record FROM f))"""
+
+
+def _curated(t):
+    name = lambda sep, *c: F.concat_ws(sep, *(F.col(x).cast("string") for x in c))
+    rows = t.events.withColumn("contig", name("|", "user_id", "event_type"))
+    scores = rows.where("event_type <> 'click'").groupBy("contig").agg(F.round(F.max("value") / 400, 4).alias("max_score"), (F.count("*") % 5).alias("hallmark"))
+    counts = rows.where("event_type <> 'view'").groupBy("contig").agg((F.min("event_id") % 3 % 2).alias("viral_genes"), (F.max("event_id") % 4).alias("host_genes"))
+    genes = rows.select(name("__", "user_id", "event_id").alias("gene"), F.when(F.col("event_id") % 197 == 0, "Endonuclease").otherwise(F.col("event_type")).alias("gene_description"), F.lit(None).cast("string").alias("module"))
+    return viral_curation(scores, counts, genes, "contig", ["endonuclease"])
+
+
+@query(f"{_CURATED} SELECT contig, category, category LIKE '%likely_viral%' AS putative FROM k")
+def c6_viral_contigs(t):
+    return _curated(t)[0].select("contig", "category", "putative")
+
+
+@query(f"{_CURATED}, g AS (SELECT record, string_agg(DISTINCT category, ',' ORDER BY category) AS s FROM k GROUP BY 1), n AS (SELECT record, CASE WHEN s NOT LIKE '%,%' THEN s WHEN s = 'likely_viral_1,likely_viral_2' THEN 'likely_viral_1-2' ELSE 'undefined' END AS category FROM g) SELECT record, category, category LIKE '%likely_viral%' AS putative FROM n")
+def c6_viral_records(t):
+    return _curated(t)[1]
+
+
+@query("""WITH k AS (SELECT DISTINCT user_id, event_type, lower(event_type) || ':ST' || (user_id % 7) AS st FROM events), l AS (SELECT user_id, string_agg(DISTINCT st, ';' ORDER BY st) AS pmlst FROM k GROUP BY 1), u AS (SELECT user_id, CASE WHEN min(event_type) <> 'click' THEN min(event_type) END AS kind FROM events GROUP BY 1) SELECT u.user_id, kind, pmlst FROM u JOIN l ON u.user_id = l.user_id""")
+def c7_typing_table(t):
+    types = t.events.groupBy("user_id").agg(F.min("event_type").alias("kind")).withColumn("kind", F.when(F.col("kind") == "click", "-").otherwise(F.col("kind")))
+    mlst = t.events.select("user_id", F.lower("event_type").alias("scheme"), (F.col("user_id") % 7).alias("sequence_type"))
+    return typing_table(types, mlst, "user_id")
+
 
+_LINES = """f AS (SELECT l_orderkey AS id, CASE WHEN l_linestatus = 'F' THEN 'CDS' ELSE 'gap' END AS type, CASE WHEN l_linenumber = 1 THEN '' ELSE 'g' || l_linenumber END AS gene, CASE WHEN l_returnflag = 'R' THEN 'hypothetical protein' ELSE 'p' || l_returnflag END AS product, 't' || l_partkey AS locus_tag, l_partkey AS a, l_suppkey AS b, CASE WHEN l_tax > 0.05 THEN repeat('M', l_linenumber) END AS translation, l_discount FROM lineitem),
+    o AS (SELECT * REPLACE (upper(gene) AS gene) FROM f WHERE l_discount > 0.09), m AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.id = f.id AND lower(o.gene) = lower(f.gene)) UNION ALL SELECT * FROM o)"""
 
-@query("""WITH f AS (SELECT l_orderkey AS id, l_partkey, l_linenumber, least(l_partkey, l_suppkey) AS lo, greatest(l_partkey, l_suppkey) AS hi, lower(l_returnflag) AS gene FROM lineitem) SELECT DISTINCT id, lo, hi, gene FROM f WHERE id % 2 = 0""")
+
+def _feature_tables(t):
+    rows = t.lineitem.select(
+        F.col("l_orderkey").alias("id"), F.when(F.col("l_linestatus") == "F", "CDS").otherwise("gap").alias("type"),
+        F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat(F.lit("g"), F.col("l_linenumber").cast("string"))).alias("gene"),
+        F.when(F.col("l_returnflag") == "R", "hypothetical protein").otherwise(F.concat(F.lit("p"), "l_returnflag")).alias("product"),
+        F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("locus_tag"), F.col("l_partkey").alias("start"), F.col("l_suppkey").alias("end"),
+        F.concat_ws(".", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")).alias("protein_id"),
+        F.when(F.col("l_tax") > 0.05, F.expr("repeat('M', l_linenumber)")).alias("translation"), "l_discount",
+    )
+    return feature_tables(rows, rows.where("l_discount > 0.09").withColumn("gene", F.upper("gene")), t.documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("seq")))
+
+
+@query(f"WITH {_LINES} SELECT id, least(a, b) AS start, greatest(a, b) AS \"end\", gene, CASE WHEN type <> 'CDS' THEN '' WHEN gene <> '' THEN gene WHEN product <> 'hypothetical protein' THEN product ELSE locus_tag END AS name FROM m")
+def c8_feature_tables(t):
+    return _feature_tables(t)[0].select("id", "start", "end", "gene", "name")
+
+
+@query(f"WITH {_LINES} SELECT id || '.' || a AS id, id AS description, translation AS seq FROM m WHERE translation IS NOT NULL")
+def c8_proteins(t):
+    return _feature_tables(t)[2]
+
+
+@query("""WITH u AS (SELECT doc_id AS id, coalesce(text, '') AS t FROM documents), n AS (SELECT id, length(t) AS length, length(t) - length(regexp_replace(t, '[GCS]', '', 'gi')) AS gc, length(t) - length(regexp_replace(t, '[GCSATWU]', '', 'gi')) AS n FROM u) SELECT id, round(CASE WHEN n = 0 THEN 0 ELSE gc / n END, 6) AS gc, length FROM n""")
+def c8_record_table(t):
+    return _feature_tables(t)[1]
+
+
+@query("""WITH f AS (SELECT l_orderkey AS id, least(l_partkey, l_suppkey) AS lo, greatest(l_partkey, l_suppkey) AS hi, lower(l_returnflag) AS gene FROM lineitem) SELECT DISTINCT id, lo, hi, gene FROM f""")
 def c8_feature_ranges(t):
     lo, hi = tx.ordered_range(F.col("l_partkey"), F.col("l_suppkey"))
-    return t.lineitem.where("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("id"), lo.alias("lo"), hi.alias("hi"), F.lower("l_returnflag").alias("gene")).distinct()
+    return t.lineitem.select(F.col("l_orderkey").alias("id"), lo.alias("lo"), hi.alias("hi"), F.lower("l_returnflag").alias("gene")).distinct()
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey WHEN c_nationkey % 2 = 0 THEN 'n' || c_nationkey END AS ids, c_custkey % 10 <> 0 AND c_nationkey % 2 <> 0 AS "check" FROM customer""")
@@ -193,17 +332,17 @@ def c9_annotate_terms(t):
 
 @query("SELECT o_orderkey, o_custkey, coalesce(c_nationkey, -1) AS nation_id, CASE WHEN c_custkey IS NULL THEN 'orphan' ELSE 'public' END AS status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def c10_final_table(t):
-    joined = jo.validated_join(t.orders, t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_id"), F.lit("public").alias("status")), ["o_custkey"], validate="m:1")
-    ag.assert_unique(t.orders, ["o_orderkey"])
-    return co.cast_matching(joined, "nation_id", "int", -1).na.fill({"status": "orphan"}).select("o_orderkey", "o_custkey", "nation_id", "status")
+    dim = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_id"), F.lit("public").alias("status"))
+    return final_table(t.orders, dim, "o_orderkey", "o_custkey", "nation_id", "status", "orphan").select("o_orderkey", "o_custkey", "nation_id", "status")
 
 
-@query("""WITH q AS (SELECT quantile_cont(log10(n_chars), 0.25) AS q1, quantile_cont(log10(n_chars), 0.75) AS q3 FROM documents), s AS (
-    SELECT d.doc_id, 'outlier without evidence' AS status FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id, q WHERE (log10(n_chars) < q1 - (q3 - q1) OR log10(n_chars) > q3 + (q3 - q1)) AND quality IS NULL AND toxic IS NULL
-    UNION SELECT doc_id, 'out of range' FROM documents WHERE n_chars < 50 OR n_chars > 15000 UNION SELECT doc_id, 'listed' FROM documents WHERE doc_id % 97 = 0) SELECT doc_id, string_agg(status, '; ' ORDER BY status) AS status FROM s GROUP BY 1""")
+@query("""WITH d AS (SELECT doc_id, n_chars, (length(text) - length(replace(text, 'e', ''))) / n_chars::DOUBLE AS share FROM documents), q AS (SELECT quantile_cont(log10(n_chars), 0.25) AS a1, quantile_cont(log10(n_chars), 0.75) AS a3, quantile_cont(share, 0.25) AS b1, quantile_cont(share, 0.75) AS b3 FROM d),
+    s AS (SELECT d.doc_id, CASE WHEN (log10(n_chars) < a1 - (a3 - a1) OR log10(n_chars) > a3 + (a3 - a1) OR share < b1 - (b3 - b1) OR share > b3 + (b3 - b1)) AND quality IS NULL AND toxic IS NULL THEN 'outlier without evidence' WHEN n_chars < 50 OR n_chars > 15000 THEN 'out of range' WHEN d.doc_id % 97 = 0 THEN 'listed' END AS status FROM d LEFT JOIN labels l ON d.doc_id = l.doc_id, q)
+    SELECT doc_id, status FROM s WHERE status IS NOT NULL""")
 def c11_outlier_status(t):
-    rows = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id", "left")
-    return outlier_status(rows, "doc_id", "n_chars", 1.0, ["quality", "toxic"], (50, 15000), t.documents.where("doc_id % 97 = 0"))
+    share = (F.length("text") - F.length(F.replace("text", F.lit("e")))) / F.col("n_chars").cast("double")
+    rows = t.documents.select("doc_id", "n_chars", share.alias("share")).join(t.labels, "doc_id", "left")
+    return outlier_status(rows, "doc_id", {"n_chars": True, "share": False}, 1.0, ["quality", "toxic"], ("n_chars", 50, 15000), t.documents.where("doc_id % 97 = 0"))
 
 
 @query("SELECT 'orders' AS name, count(*) AS total, count_if(o_orderstatus = 'F')::BIGINT AS finished, count_if(o_totalprice > 100000)::BIGINT AS large FROM orders")
@@ -211,22 +350,48 @@ def c12_summary(t):
     return ag.coverage_report(t.orders, {"finished": F.col("o_orderstatus") == "F", "large": F.col("o_totalprice") > 100000}).select(F.lit("orders").alias("name"), "*")
 
 
+@query("""WITH n AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 0), o AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 <> 0),
+    d AS (SELECT CASE WHEN o.o_orderkey IS NULL THEN 'Added' WHEN n.o_orderkey IS NULL THEN 'Removed' WHEN n.o_totalprice IS DISTINCT FROM o.o_totalprice THEN 'Changed' END AS s FROM n FULL JOIN o ON n.o_orderkey = o.o_orderkey)
+    SELECT 'diff' AS part, s AS name, count(*)::DOUBLE AS value FROM d WHERE s IS NOT NULL GROUP BY 2 UNION ALL SELECT 'columns', 'o_orderpriority added', 1 UNION ALL SELECT 'taxa', 'o_orderstatus', count(DISTINCT o_orderstatus) FROM n UNION ALL SELECT 'taxa', 'o_orderpriority', count(DISTINCT o_orderpriority) FROM n
+    UNION ALL SELECT 'numbers', 'o_totalprice', round(quantile_cont(o_totalprice, 0.5), 4) FROM n UNION ALL SELECT 'coverage', 'finished', count_if(o_orderstatus = 'F') FROM n""")
+def c12_release_report(t):
+    base = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    new = base.where("o_orderkey % 10 <> 0").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    found = release_report(new, base.where("o_orderkey % 11 <> 0").drop("o_orderpriority"), "o_orderkey", ["o_orderstatus", "o_orderpriority"], ["o_totalprice"], {"finished": F.col("o_orderstatus") == "F"})
+    part = lambda name, df, label, value: df.select(F.lit(name).alias("part"), label.alias("name"), value.cast("double").alias("value"))
+    out = part("diff", found["diff"].groupBy("status").count(), F.col("status"), F.col("count"))
+    out = out.union(part("columns", found["columns"].where("status <> 'same'"), F.concat_ws(" ", "column", "status"), F.lit(1)))
+    out = out.union(part("taxa", found["taxa"], F.col("level"), F.col("n_distinct")))
+    return out.union(part("numbers", found["numbers"], F.col("column"), F.round("median", 4))).union(part("coverage", found["coverage"], F.lit("finished"), F.col("finished")))
+
+
 @query("""WITH c AS (SELECT p_brand, count(DISTINCT p_size % 3) AS a FROM part GROUP BY 1), e AS (SELECT p_brand, p_type, count(DISTINCT p_size % 3) AS b FROM part GROUP BY 1, 2), r AS (SELECT p_brand, min(p_type) AS representative FROM e JOIN c USING (p_brand) WHERE a = b GROUP BY 1),
     m AS (SELECT p_brand, string_agg('GCF_' || lpad(p_partkey::VARCHAR, 8, '0'), ',' ORDER BY p_partkey) AS members FROM part WHERE p_brand NOT LIKE 'Brand#5%' GROUP BY 1) SELECT m.p_brand, members, representative FROM m LEFT JOIN r ON m.p_brand = r.p_brand""")
-def c13_family_summary(t):
+def c13_family_members(t):
     rows = fi.exclude_prefix(t.part, "p_brand", ["Brand#5"]).withColumn("acc", tx.pad_id(F.col("p_partkey"), "GCF_", 8))
     lists = jo.family_members(rows, "p_brand", "acc", {"members": "GCF_"})
     best = ag.common_member(t.part.withColumn("cls", F.col("p_size") % 3), "p_brand", "cls", "p_type")
     return lists.join(best, "p_brand", "left")
 
 
+@query("""WITH b AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN 'REF' ELSE 'B' END || p_partkey AS item, p_partkey % 97 AS family, p_partkey % 97 // 10 * 10 AS clan, p_size % 2 AS odd, p_partkey < 60 AS rep FROM part), x AS (SELECT item, 0 AS cls, family, clan, rep FROM b UNION ALL SELECT item, 1, family, clan, rep FROM b WHERE odd = 1),
+    c AS (SELECT family, count(DISTINCT cls) AS a FROM x GROUP BY 1), e AS (SELECT family, item, count(DISTINCT cls) AS b FROM x GROUP BY 1, 2), m AS (SELECT family, min(item) AS r FROM e JOIN c USING (family) WHERE a = b GROUP BY 1), h AS (SELECT family, min(item) AS r FROM x WHERE rep GROUP BY 1),
+    f AS (SELECT coalesce(m.family, h.family) AS family, coalesce(h.r, m.r) AS representative_family FROM m FULL JOIN h ON m.family = h.family), l AS (SELECT family, coalesce(string_agg(CASE WHEN item LIKE 'REF%' THEN item END, ',' ORDER BY item), '') AS refs FROM x GROUP BY 1),
+    g AS (SELECT DISTINCT x.clan, representative_family AS representative_clan FROM x JOIN f ON x.family = f.family WHERE x.family = x.clan)
+    SELECT item, cls, 'GCC_' || lpad(x.clan::VARCHAR, 7, '0') AS clan_id, 'GCF_' || lpad(x.family::VARCHAR, 8, '0') AS family_id, refs, representative_family, representative_clan FROM x LEFT JOIN l ON x.family = l.family LEFT JOIN f ON x.family = f.family LEFT JOIN g ON x.clan = g.clan WHERE item NOT LIKE 'REF%'""")
+def c13_family_summary(t):
+    family = F.col("p_partkey") % 97
+    rows = t.part.select(F.concat(F.when(F.col("p_partkey") % 10 == 0, "REF").otherwise("B"), F.col("p_partkey").cast("string")).alias("item"), F.explode(F.when(F.col("p_size") % 2 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("cls"), family.alias("family"), (F.floor(family / 10) * 10).alias("clan"), (F.col("p_partkey") < 60).alias("rep"))
+    return family_summary(rows, "item", "cls", "family", "clan", "rep", {"refs": "REF"})
+
+
 @query("""SELECT r_regionkey, CASE r_name WHEN 'AFRICA' THEN 'AF' WHEN 'AMERICA' THEN 'AM' WHEN 'ASIA' THEN 'AS' WHEN 'EUROPE' THEN 'EU' WHEN 'MIDDLE EAST' THEN 'ME' END AS r_name, string_agg(n_name, ',' ORDER BY n_name) AS members FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_regionkey, r_name""")
 def c14_information_table(t):
     codes = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
     return information_table(t.region, t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), "r_regionkey", "n_name", codes, "r_name")
 
 
-@query()
+@query(NEAR_PAIRS)
 def c15_similarity_database(t):
     pairs = similarity_database(t.documents, "doc_id", "text", 21, 200, 0.00123693)[1]
     return pairs.withColumn("dist", F.round("dist", 8))
@@ -238,10 +403,9 @@ def c16_review_queue(t):
     return review_queue(rows, "check", ["source", "lang"])
 
 
-@query("""WITH k AS (SELECT user_id, event_type, min(value) AS v, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, count(*) AS n_features, sum(n)::BIGINT AS n_plots FROM k GROUP BY 1""")
+@query("""WITH f AS (SELECT user_id, list({'event_type': event_type} ORDER BY event_type) AS features FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 1), p AS (SELECT user_id, list({'event_id': event_id, 'kind': event_type} ORDER BY event_id) AS plots FROM events GROUP BY 1)
+    SELECT f.user_id, to_json({'features': features, 'plots': plots})::VARCHAR AS json FROM f JOIN p ON f.user_id = p.user_id""")
 def k4_feature_json(t):
     from florilege.sources.writers import to_feature_json
 
-    features = t.events.select("user_id", "event_type").distinct()
-    out = to_feature_json(features, t.events.select("user_id", "event_id", "value"), "user_id")
-    return out.select("user_id", F.json_array_length(F.get_json_object("json", "$.features")).cast("long").alias("n_features"), F.json_array_length(F.get_json_object("json", "$.plots")).cast("long").alias("n_plots"))
+    return to_feature_json(t.events.select("user_id", "event_type").distinct(), t.events.select("user_id", "event_id", F.col("event_type").alias("kind")), "user_id")

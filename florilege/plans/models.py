@@ -11,6 +11,7 @@ from florilege.operators import joins as jo
 from florilege.operators import ontology as on
 from florilege.operators import statistics as stt
 from florilege.operators import windows as wi
+from florilege.operators.lineage import checkpointed
 from florilege.plans.catalogue import query
 
 K, SIZE = 21, 200
@@ -39,9 +40,12 @@ def x24_sketch_distance(t):
 MAX_DIST = 0.00123693
 
 
-@query(f"""WITH k AS (SELECT doc_id AS item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM documents WHERE length(text) >= {K}),
+NEAR_PAIRS = f"""WITH k AS (SELECT doc_id AS item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM documents WHERE length(text) >= {K}),
     m AS (SELECT item_id, unnest(s) AS h FROM k), c AS (SELECT x.item_id AS a, y.item_id AS b FROM m x JOIN m y ON x.h = y.h AND x.item_id < y.item_id GROUP BY 1, 2 HAVING count(*) >= 0.5 * (SELECT min(len(s)) FROM k)),
-    p AS (SELECT a, b, x.s AS sa, y.s AS sb FROM c JOIN k x ON a = x.item_id JOIN k y ON b = y.item_id), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d WHERE dist <= {MAX_DIST}""")
+    p AS (SELECT a, b, x.s AS sa, y.s AS sb FROM c JOIN k x ON a = x.item_id JOIN k y ON b = y.item_id), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d WHERE dist <= {MAX_DIST}"""
+
+
+@query(NEAR_PAIRS)
 def j12_similarity_join(t):
     s = t.documents.where(F.length("text") >= K).select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
     return jo.similarity_join(s, "doc_id", "s", K, MAX_DIST, SIZE).withColumn("dist", F.round("dist", 8))
@@ -64,11 +68,11 @@ def g1_ancestors(t):
     return on.ancestors(edges(t))
 
 
-@query(f"""WITH {_EDGES}, h AS (SELECT id, max(depth) AS h FROM cl GROUP BY 1), u AS (SELECT DISTINCT o_orderpriority AS key, 'c' || o_custkey AS id FROM orders WHERE o_orderkey % 5 = 0),
+@query(f"""WITH {_EDGES}, h AS (SELECT id, max(depth) AS h FROM cl GROUP BY 1), u AS (SELECT DISTINCT o_orderpriority AS key, 'c' || o_custkey AS id FROM orders),
     x AS (SELECT u.key, cl.ancestor, h.h FROM u JOIN cl ON u.id = cl.id JOIN h ON cl.ancestor = h.id)
     SELECT key, coalesce(string_agg(DISTINCT CASE WHEN h = 1 THEN ancestor END, ',' ORDER BY CASE WHEN h = 1 THEN ancestor END), '') AS level1, coalesce(string_agg(DISTINCT CASE WHEN h = 2 THEN ancestor END, ',' ORDER BY CASE WHEN h = 2 THEN ancestor END), '') AS level2 FROM x GROUP BY 1""")
 def g2_ancestor_levels(t):
-    ids = t.orders.where("o_orderkey % 5 = 0").select(F.col("o_orderpriority").alias("key"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("term"))
+    ids = t.orders.select(F.col("o_orderpriority").alias("key"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("term"))
     return on.ancestor_levels(ids, "key", "term", on.ancestors(edges(t)), [1, 2])
 
 
@@ -107,7 +111,7 @@ def j17_reduce_to_leaves(t):
 @query()
 def j16_fuzzy_cascade(t):
     queries = t.part.select(F.lower("p_name").alias("q"))
-    vocab = t.part.where("p_partkey % 10 = 0").select("p_name")
+    vocab = t.part.select("p_name")
     types = t.part.select("p_type").distinct()
     out = jo.fuzzy_cascade(queries, "q", [(vocab, "p_name", levenshtein_ratio, 90.0), (vocab, "p_name", wratio, 85.0), (types, "p_type", token_set_ratio, 80.0)])
     return out.withColumn("score", F.round("score", 6))
@@ -134,22 +138,28 @@ def _market(t):
 
 
 _FEATURES = """WITH s AS (SELECT o_custkey AS id, count(*)::DOUBLE AS n, avg(o_totalprice) AS m FROM orders GROUP BY 1),
-    v AS (SELECT c_custkey AS id, c_mktsegment AS label, c_nationkey, c_acctbal / 1000 AS x, n AS y, m / 10000 AS z FROM customer JOIN s ON c_custkey = s.id WHERE c_nationkey < 5)"""
+    v AS (SELECT c_custkey AS id, c_mktsegment AS label, c_nationkey, c_acctbal / 1000 AS x, n AS y, m / 10000 AS z FROM customer JOIN s ON c_custkey = s.id)"""
+
 
+_CELLS = """WITH v AS (SELECT c_nationkey || '|' || c_mktsegment AS id, c_mktsegment AS label, avg(c_acctbal) / 1000 AS x, count(*)::DOUBLE AS y, avg(p) / 10000 AS z FROM customer JOIN (SELECT o_custkey, avg(o_totalprice) AS p FROM orders GROUP BY 1) ON c_custkey = o_custkey GROUP BY 1, 2)"""
 
-#: The queries on _FEATURES cover the five nations of their SQL; those on _ALL_FEATURES cover all.
-_ALL_FEATURES = _FEATURES.replace(" WHERE c_nationkey < 5", "")
 
+def _cells(t):
+    """Feature vectors of the markets of nations: a table of bounded size from all customers and orders."""
+    prices = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.avg("o_totalprice").alias("p"))
+    sums = t.customer.join(prices, "c_custkey").groupBy("c_nationkey", "c_mktsegment").agg((F.avg("c_acctbal") / 1000).alias("x"), F.count("*").cast("double").alias("y"), (F.avg("p") / 10000).alias("z"))
+    return sums.select(F.concat_ws("|", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("id"), F.col("c_mktsegment").alias("label"), F.array("x", "y", "z").alias("vec"))
 
-@query(f"""{_FEATURES}, d AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2 FROM v a JOIN v b ON a.id < b.id),
+
+@query(f"""{_CELLS}, d AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2 FROM v a JOIN v b ON a.id < b.id),
     c AS (SELECT label, count(*) AS m FROM v GROUP BY 1), w AS (SELECT sum(d2) / (SELECT count(*) FROM v) AS st, sum(CASE WHEN la = lb THEN d2 / m ELSE 0 END) AS sw FROM d JOIN c ON d.la = c.label)
     SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")
 def t2_permanova(t):
-    rows = _market(t).where("c_nationkey < 5")
+    rows = checkpointed(_cells(t))
     return stt.permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label")).select(F.round("f", 6).alias("f"), F.round("r2", 6).alias("r2"))
 
 
-@query(f"""{_ALL_FEATURES}, c AS (SELECT label, count(*) AS m, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), g AS (SELECT avg(x) AS gx, avg(y) AS gy, avg(z) AS gz FROM v),
+@query(f"""{_FEATURES}, c AS (SELECT label, count(*) AS m, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), g AS (SELECT avg(x) AS gx, avg(y) AS gy, avg(z) AS gz FROM v),
     w AS (SELECT sum(pow(x - gx, 2) + pow(y - gy, 2) + pow(z - gz, 2)) AS st, sum(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS sw FROM v JOIN c ON v.label = c.label, g)
     SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")
 def t2_permanova_all(t):
@@ -161,6 +171,13 @@ def t2_permanova_p(t):
     return stt.permanova_of_vectors(_market(t), "id", "vec", "label")
 
 
+@query(f"""{_FEATURES}, p AS (SELECT a.label AS group1, b.label AS group2 FROM (SELECT DISTINCT label FROM v) a JOIN (SELECT DISTINCT label FROM v) b ON a.label < b.label), r AS (SELECT group1, group2, v.* FROM v JOIN p ON label = group1 OR label = group2),
+    g AS (SELECT group1, group2, label, count(*) AS m, var_pop(x) * count(*) + var_pop(y) * count(*) + var_pop(z) * count(*) AS w FROM r GROUP BY 1, 2, 3), t AS (SELECT group1, group2, count(*) AS n, (var_pop(x) + var_pop(y) + var_pop(z)) * count(*) AS st FROM r GROUP BY 1, 2), ws AS (SELECT group1, group2, sum(w) AS sw FROM g GROUP BY 1, 2)
+    SELECT group1, group2, round((st - sw) / (sw / (n - 2)), 5) AS f, round((st - sw) / st, 8) AS r2 FROM t JOIN ws USING (group1, group2)""")
+def t3_pairwise_permanova_f(t):
+    return stt.pairwise_permanova_of_vectors(_market(t), "id", "vec", "label", n_perm=0).select("group1", "group2", F.round("f", 5).alias("f"), F.round("r2", 8).alias("r2"))
+
+
 @query()
 def t3_pairwise_permanova(t):
     return stt.pairwise_permanova_of_vectors(_market(t), "id", "vec", "label")
@@ -168,22 +185,22 @@ def t3_pairwise_permanova(t):
 
 @query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
 def t4_dispersion(t):
-    return stt.dispersion(_market(t).where("c_nationkey < 5"), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
+    return stt.dispersion(_market(t), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
 
 
 @query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
     p AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) AS v FROM d GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS mean FROM p)
     SELECT round((sum(p.n * pow(p.m - t.mean, 2)) / (any_value(t.k) - 1)) / (sum(p.n * p.v) / (any_value(t.n) - any_value(t.k))), 5) AS f FROM p, t""")
 def t4_dispersion_f(t):
-    return stt.dispersion(_market(t).where("c_nationkey < 5"), "label", "id", "vec")[1].withColumn("f", F.round("f", 5))
+    return stt.dispersion(_market(t), "label", "id", "vec")[1].withColumn("f", F.round("f", 5))
 
 
-@query(f"""{_ALL_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
+@query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1) SELECT v.id, v.label, round(sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)), 6) AS dist FROM v JOIN c ON v.label = c.label""")
 def t4_dispersion_all(t):
     return stt.dispersion(_market(t), "label", "id", "vec")[0].withColumn("dist", F.round("dist", 6))
 
 
-@query(f"""{_ALL_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
+@query(f"""{_FEATURES}, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), d AS (SELECT v.label AS g, sqrt(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS d FROM v JOIN c ON v.label = c.label),
     p AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) AS v FROM d GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS mean FROM p)
     SELECT round((sum(p.n * pow(p.m - t.mean, 2)) / (any_value(t.k) - 1)) / (sum(p.n * p.v) / (any_value(t.n) - any_value(t.k))), 5) AS f FROM p, t""")
 def t4_dispersion_f_all(t):

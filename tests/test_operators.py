@@ -94,8 +94,26 @@ def test_similarity_join_equals_brute_force(spark):
 
 
 def test_chain_hits(spark):
-    hits = spark.createDataFrame([("q", 1, 10, 100.0), ("q", 11, 20, 90.0), ("q", 40, 45, 80.0), ("r", 5, 9, 50.0)], "q string, s int, e int, i double")
-    assert rows(ag.chain_hits(hits, ["q"], "s", "e", "i")) == [("q", 1, 20, 95.0, 20), ("r", 5, 9, 50.0, 5)]
+    hits = spark.createDataFrame([("q", 1, 10, 50, 10, 100.0), ("q", 11, 20, 50, 9, 90.0), ("q", 40, 45, 50, 6, 80.0), ("r", 5, 9, 10, 5, 50.0), ("r", 6, 9, 0, 6, 50.0)], "q string, s int, e int, n int, l int, i double")
+    assert rows(ag.chain_hits(hits, ["q"], "s", "e", "n", "l", "i")) == [("q", 0, 20, 20, 95.0, 38.0), ("r", 6, 9, 6, 50.0, None)]  # a chain from 1 on extends the empty one, which starts at 0
+
+
+def test_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(1)
+    table = [("a", float(v)) for v in rng.normal(size=501)] + [("b", float(v)) for v in rng.integers(0, 3, 200)] + [("c", 7.0), ("c", None), (None, 1.5)]
+    df = spark.createDataFrame(table, "g string, v double").repartition(5)
+    got = {r[0]: r[1:] for r in ag.quantiles(df, F.col("v"), {"q1": 0.25, "m": 0.5, "p99": 0.99}, [F.col("g")]).collect()}
+    for g in ("a", "b", "c", None):
+        assert np.allclose(got[g], np.quantile([v for k, v in table if k == g and v is not None], [0.25, 0.5, 0.99]))
+    whole = ag.quantiles(df, F.col("v"), {"m": 0.5}).first()
+    assert np.isclose(whole.m, np.median([v for _, v in table if v is not None]))
+    assert ag.quantiles(df.limit(0), F.col("v"), {"m": 0.5}).first().m is None
+
+
+def test_outliers_take_the_first_reason(spark):
+    df = spark.createDataFrame([(i, float(10 + i % 3), 5.0, None) for i in range(40)] + [(90, 5000.0, 5.0, None), (91, 5000.0, 5.0, "x"), (92, 11.0, 900.0, None), (93, 11.0, None, "x")], "id int, a double, b double, e string")
+    got = dict(rows(cp.outlier_status(df, "id", {"a": True, "b": False}, 1.5, ["e"], ("a", 0, 1000), df.where("id in (90, 93)"))))
+    assert got == {90: "outlier without evidence", 91: "out of range", 92: "outlier without evidence", 93: "listed"}
 
 
 def test_ancestors_stop_at_cycles(spark):
@@ -144,18 +162,28 @@ def test_typing_table(spark):
 
 
 def test_viral_curation(spark):
-    scores = spark.createDataFrame([("a", 0.99, 2), ("b", 0.2, 0)], "contig string, max_score double, hallmark long")
-    cont = spark.createDataFrame([("a", 3, 0), ("c", 0, 4)], "contig string, viral_genes long, host_genes long")
-    genes = spark.createDataFrame([("b__1", "Transposase")], "gene string, gene_description string")
-    assert rows(cp.viral_curation(scores, cont, genes, "contig", "transposase").select("contig", "category")) == [("a", "likely_viral_1"), ("b", "mge"), ("c", "non-viral")]
+    scores = spark.createDataFrame([("a|1", 0.99, 2), ("b|1", 0.96, 0), ("b|2", 0.1, 0), ("d|1", 0.5, 3), ("e|1", 0.1, 0), ("f|1", 0.1, 0)], "contig string, max_score double, hallmark long")
+    cont = spark.createDataFrame([("a|1", 3, 0), ("b|1", 0, 4), ("b|2", 1, 0), ("c|1", 0, 4), ("d|1", 0, 9), ("e|1", 0, 1)], "contig string, viral_genes long, host_genes long")
+    genes = spark.createDataFrame([("d__1", "Endonuclease", None), ("a__1", "endonuclease", None), ("b__1", None, "other")], "gene string, gene_description string, module string")
+    contigs, records = cp.viral_curation(scores, cont, genes, "contig", ["endonuclease"])
+    assert rows(contigs.select("contig", "category", "putative")) == [("a|1", "likely_viral_1", True), ("b|1", "likely_viral_2", True), ("b|2", "likely_viral_1", True), ("c|1", "mostly_non-viral", False), ("e|1", "mostly_mge", False), ("f|1", "undefined", False)]
+    assert ("b", "likely_viral_1-2", True) in rows(records) and records.count() == 5
+
+
+def test_merge_reports_removes_only_repeated_symbols(spark):
+    schema = "rec string, gene string, strand string, s int, e int, id int"
+    one = spark.createDataFrame([("r", "blaX", "+", 10, 20, 1), ("r", "other", "+", 12, 22, 2)], schema)
+    two = spark.createDataFrame([("r", "X", "+", 11, 21, 3), ("r", "X", "-", 11, 21, 4), ("r", "X", "+", 10, 20, 5)], schema)
+    got = cp.merge_reports({"a": (one, {}, {}), "b": (two, {}, {})}, "gene", "a", "b", "bla", ["rec"], "strand", "s", "e", 5, "id")
+    assert rows(got.select("id")) == [(1,), (2,), (4,)]
 
 
 def test_feature_tables(spark):
-    feats = spark.createDataFrame([("r", "CDS", "tetA", "", "t1", 9, 2), ("r", "gap", "x", "", "", 1, 1)], "id string, type string, gene string, product string, locus_tag string, start long, end long")
+    feats = spark.createDataFrame([("r", "CDS", "tetA", "", "t1", 9, 2, "p1", "MK"), ("r", "gap", "x", "", "", 1, 1, None, None)], "id string, type string, gene string, product string, locus_tag string, start long, end long, protein_id string, translation string")
     over = feats.where("gene = 'tetA'").withColumn("gene", F.lit("TETA")).withColumn("start", F.lit(3).cast("long"))
-    named, seqs = cp.feature_tables(feats, over, spark.createDataFrame([("r", "GGCC")], "id string, seq string"))
+    named, seqs, proteins = cp.feature_tables(feats, over, spark.createDataFrame([("r", "GGCC")], "id string, seq string"))
     assert rows(named.select("name", "start", "end")) == [("", 1, 1), ("TETA", 2, 3)]
-    assert rows(seqs) == [("r", 1.0, 4)]
+    assert rows(seqs) == [("r", 1.0, 4)] and rows(proteins) == [("p1", "r", "MK")]
 
 
 def test_permutations_of_slots_are_permutations():
