@@ -22,7 +22,7 @@ UNIT = 1.3
 #: deviations above the mean at the asked cosine (a chance of 3e-7) are not compared further.
 SIGN_BITS, DEVIATIONS = 128, 5
 #: Vectors of one component that meet in one block of the final count.
-BLOCK = 64
+BLOCK = 1024
 
 
 def _roots() -> np.ndarray:
@@ -54,7 +54,7 @@ def nearest_e8(y: np.ndarray) -> np.ndarray:
 
 
 def _unit_vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of the most frequent length as unit vectors in double precision, and which rows have one that counts."""
+    """Unit vectors in double precision, shorter ones filled up with zeros, and which rows have one that counts."""
     column = column if isinstance(column, pa.Array) else column.combine_chunks()
     lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     dim = int(lengths.max()) if len(lengths) else 0
@@ -115,8 +115,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
             bits = np.ascontiguousarray(x).view(np.uint64) if len(x) else np.zeros((0, 1), np.uint64)
             salt = mix64(np.arange(x.shape[1], dtype=np.uint64) + np.uint64(5))
-            d0 = mix64((mix64(bits + salt)).sum(1, dtype=np.uint64) + label)
-            d1 = mix64((mix64(bits ^ salt)).sum(1, dtype=np.uint64) ^ label)
+            set_ = bits << np.uint64(1) != 0  # zeros, and what a batch with longer vectors fills up, leave a digest as it is
+            d0 = mix64((mix64(bits + salt) * set_).sum(1, dtype=np.uint64) + label)
+            d1 = mix64((mix64(bits ^ salt) * set_).sum(1, dtype=np.uint64) ^ label)
             columns = [batch.column("id"), pa.array(d0.view(np.int64), mask=~good), pa.array(d1.view(np.int64), mask=~good), pa.array(signs[:, 0]), pa.array(signs[:, 1]), lists(home), lists(fine), lists(probes.reshape(len(x), -1)), batch.column("v")]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "d0", "d1", "s0", "s1", "home", "fine", "probes", "v"])
 
@@ -142,8 +143,9 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or id, are
     linked with nothing (a null id has a null component and is kept). Vectors are compared in double precision.
-    Rows that repeat an id are one node; each counts as another vector. Cells hash the label, so a large label is
-    spread over its cells.
+    Rows that repeat an id are one node; each counts as another vector. Of different vectors with one id that lead their
+    classes one stands for the id, so ids should be unique. Vectors of different lengths compare as if zeros followed.
+    An empty table gives no rows. Cells hash the label, so a large label is spread over its cells.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
     element = vectors.schema[vector_col].dataType.simpleString()

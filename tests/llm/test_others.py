@@ -124,6 +124,21 @@ def test_embeddings_equal_brute_force(spark):
     assert {i: got[i].n_links for i, *_ in good} == {i: int(n) for (i, *_), n in zip(good, near.sum(1), strict=True)}
     for i in (201, 202, 203, 204):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+    odd = spark.createDataFrame([(1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (None, [1.0, 2.0], 0), (2, [1.0, 2.0, 0.0], 0)], "vec_id long, embedding array<double>, label int").withColumn("id", F.lit(0))
+    assert sorted(((r.vec_id, r.n_links) for r in near_embeddings(odd).collect()), key=repr) == [(1, 2), (1, 2), (2, 2), (None, 0)]
+    assert near_embeddings(odd.limit(0)).count() == 0
+
+
+def test_recall_on_the_driver_table(spark):
+    """op4's query against brute force over all rows."""
+    from florilege.llm.queries import op4_lattice_near_dedup
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
+    got = {r.vec_id: r.n_links for r in op4_lattice_near_dedup(spark, "/root/testdata/sf0.01").collect()}
+    unit = np.array([np.array(r.embedding, float) / np.linalg.norm(r.embedding) for r in rows])
+    near = (unit @ unit.T >= 0.93) & np.equal.outer([r.label for r in rows], [r.label for r in rows])
+    np.fill_diagonal(near, False)
+    assert got == {r.vec_id: int(n) for r, n in zip(rows, near.sum(1), strict=True)}
 
 
 def test_url_rules(spark):

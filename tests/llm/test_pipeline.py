@@ -24,6 +24,14 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
 
 
+def test_stages_of_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+
+
 def test_entry_lists_one_query_an_operator():
     names = __spark_entry__.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
