@@ -27,18 +27,25 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model fitted to the labels does not call toxic."""
+    """Documents that a model fitted to the labels does not call toxic.
+
+    Null and empty texts score as the model's bias and long ones whole; repeated rows fare alike; without labels of both
+    classes all documents stay, and an empty table stays empty."""
     model = train_toxicity(docs, _labels(spark, sf_dir))
     return with_toxicity(docs, model, score_col="__toxicity").where(F.col("__toxicity") < TOXIC_FROM).drop("__toxicity")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest id, and one row of those that repeat an id.
+
+    Null ids and texts without words have no duplicates and stay; an empty table stays empty."""
     return drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with private data replaced by pseudonyms; ``n_chars`` follows the text."""
+    """All documents with private data replaced by pseudonyms; ``n_chars`` follows the text.
+
+    Rows change by themselves, whatever their ids; null and empty texts, and a null ``n_chars``, stay."""
     out = pseudonymise(docs, PII_KEY)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull() & F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
@@ -46,12 +53,15 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled at the rates that bring the label domains to their target weights."""
+    """Documents sampled at the rates that bring the label domains to their target weights.
+
+    Every row is drawn by itself, by a hash of its id and text, null ones included; without two labelled domains all
+    stay, and an empty table stays empty."""
     return mix_documents(docs, quality_domains(_labels(spark, sf_dir)), MIXTURE, keep_whole=KEEP_WHOLE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of power-of-two lengths."""
+    """Sequences of power-of-two lengths: rows of pieces, one for a null or empty text, none for an empty table."""
     return pack_documents(docs)
 
 
