@@ -13,7 +13,7 @@ from florilege.llm.components import connected_components
 from florilege.llm.durable import Scratch, durable
 from florilege.llm.expressions import all_of, named
 from florilege.llm.id_filter import filter_blocks, with_maybe
-from florilege.llm.shingles import chunks, mix64, shingle_sets, text_buffers
+from florilege.llm.shingles import chunks, mix64, shingle_sets, text_buffers, tidy
 
 COORDINATES = 640
 BANDS, ROWS = 25, 5
@@ -87,7 +87,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per document: id, set size, 128-bit digest of the set, low bits of its signature, band keys."""
     kind = docs.schema[id_col].dataType.simpleString()
     bits = ", ".join(f"s{j} long" for j in range(COORDINATES // 32))
-    return docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text")).mapInArrow(_describe, f"id {kind}, n_shingles long, d0 long, d1 long, {bits}, bands array<long>")
+    return docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text")).mapInArrow(lambda batches: tidy(_describe(batches)), f"id {kind}, n_shingles long, d0 long, d1 long, {bits}, bands array<long>")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             some = with_maybe(source, filter_blocks(ids, "id"), F.col("id")).where("__maybe").drop("__maybe")
             texts = tables.write(some.join(ids, "id", "left_semi"), "texts")
             a, b = (texts.select(F.col("id").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
-            compared = pairs.join(a, "a").join(b, "b").mapInArrow(_compare, f"a {kind}, b {kind}, shared long, total long")
+            compared = pairs.join(a, "a").join(b, "b").mapInArrow(lambda batches: tidy(_compare(batches)), f"a {kind}, b {kind}, shared long, total long")
             return tables.write(compared.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b"), "links")
 
         crowd = stand.select("id", "bands").join(members.where("n > 2").select("id").distinct(), "id", "left_semi")

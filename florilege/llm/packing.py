@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florilege.llm.shingles import tidy
 from florilege.llm.tokens import ended_documents, vocabulary
 
 SEQUENCE_TOKENS = 4096
@@ -62,7 +63,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    pieces = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema)
+    pieces = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda batches: tidy(cut(batches)), schema)
     return pieces.withColumnRenamed("id", id_col)
 
 

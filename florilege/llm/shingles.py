@@ -32,12 +32,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and the offsets of each text in them; null is the empty text."""
     column = column.cast(pa.large_string()) if isinstance(column, pa.Array) else column.combine_chunks().cast(pa.large_string())
-    column = pc.fill_null(column, "")
+    column = pc.fill_null(column, "") if column.null_count else column
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
 
 
+def tidy(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``made``, after which what Arrow holds for later goes back to the system: a worker waits between tasks without it."""
+    yield from made
+    pa.default_memory_pool().release_unused()
+
+
 def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts with about ``size`` bytes each; a longer text stands alone."""
     first, n = 0, len(offsets) - 1

@@ -12,7 +12,7 @@ from florilege.llm.shingles import mix64
 _BASE = 0x9E3779B97F4A7C15
 _OPEN, _CLOSE = ord("<"), ord(">")
 #: Bytes of text that are worked on at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 @lru_cache(1)
@@ -25,15 +25,19 @@ def _values() -> np.ndarray:
     return mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x1234567))
 
 
-@lru_cache(4)
-def _powers(n: int, up: bool) -> np.ndarray:
-    factors = np.full(n, _BASE if up else pow(_BASE, -1, 2**64), np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors, dtype=np.uint64)
+_held: dict[bool, np.ndarray] = {}
 
 
 def _powers_for(n: int, up: bool) -> np.ndarray:
-    return _powers(1 << max(16, (n - 1).bit_length()), up)[:n]
+    """Powers of the base or of its inverse; the longest array that was asked for is kept, but for very long texts."""
+    if len(_held.get(up, ())) < n:
+        factors = np.full(1 << max(16, (n - 1).bit_length()), _BASE if up else pow(_BASE, -1, 2**64), np.uint64)
+        factors[0] = 1
+        found = np.cumprod(factors, dtype=np.uint64)
+        if len(found) > 4 * CHUNK_BYTES:
+            return found[:n]
+        _held[up] = found
+    return _held[up][:n]
 
 
 def _blocks(texts: list[str | None]) -> Iterator[slice]:

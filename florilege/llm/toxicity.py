@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from florilege.llm.expressions import named
 from florilege.llm.sampling import existing, sample_of_classes
-from florilege.llm.shingles import chunks, text_buffers
+from florilege.llm.shingles import chunks, text_buffers, tidy
 from florilege.llm.subwords import CHUNK_BYTES, Words
 
 SIZES = (3, 4, 5)
@@ -227,7 +227,7 @@ def with_toxicity(docs: DataFrame, model: SubwordBag | None, text_col: str = "te
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], names=[*batch.schema.names, "score"])
 
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # mapInArrow takes no names with dots
-    scored = plain.mapInArrow(score, T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())]))
+    scored = plain.mapInArrow(lambda batches: tidy(score(batches)), T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())]))
     return scored.toDF(*docs.columns, score_col)
 
 
