@@ -22,10 +22,19 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
+#: K-mers that are cut from one block of a sequence, so that no k-mer is looked for from the start of a long one.
+BLOCK = 512
+
+
 def kmers(seq: Column, k: int) -> Column:
     """All substrings of length ``k``; none for shorter sequences."""
-    starts = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - (k - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(seq, i, F.lit(k)))
+    n = F.length(seq) - (k - 1)
+    blocks = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def cut(block: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(block) - (k - 1)), lambda i: F.substring(block, i, F.lit(k)))
+
+    return F.flatten(F.transform(F.transform(blocks, lambda b: F.substring(seq, b * BLOCK + 1, F.lit(BLOCK + k - 1))), cut))
 
 
 def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical: bool = True) -> Column:

@@ -158,6 +158,21 @@ def containment_join(df: DataFrame, pairs: DataFrame, id_col: str, seq: str, k:
     return out.select("query", "subject", (F.coalesce("shared", F.lit(0)) / F.col("n")).alias("containment"))
 
 
+def contained_in(queries: DataFrame, query: str, subjects: DataFrame, subject: str, seq: str, k: int, least: float) -> DataFrame:
+    """``(query, subject, containment)``: the share of each query's distinct k-mers that a subject has, from ``least`` on.
+
+    K-mers meet by a join, so only pairs that share one are ever made; they are counted within tasks before the shuffle. A
+    query without a k-mer is contained in nothing."""
+    from florilege.functions.sequence import kmers
+
+    asked = checkpointed(queries.select(F.col(query).alias("query"), F.explode(F.array_distinct(kmers(F.col(seq), k))).alias("m")))
+    sizes = asked.groupBy("query").agg(F.count("*").alias("n"))
+    each = subjects.select(F.col(subject).alias("subject"), F.explode(F.array_distinct(kmers(F.col(seq), k))).alias("m"))
+    shared = each.join(asked, "m").groupBy("query", "subject").agg(F.count("*").alias("shared"))
+    share = F.col("shared") / F.col("n")
+    return shared.join(sizes, "query").where(share >= least).select("query", "subject", share.alias("containment"))
+
+
 def fuzzy_cascade(queries: DataFrame, query: str, rungs: list[tuple[DataFrame, str, object, float]]) -> DataFrame:
     """Best match of each query on the first rung that has one. A rung: vocabulary, its term column, scorer of two string
     columns (0 to 100), and the least score. Only terms that share a token are scored."""

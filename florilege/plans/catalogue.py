@@ -271,13 +271,11 @@ def j14_find_contained(t):
     return jo.find_contained(hits, "q", "s", "cov", 97, "n")
 
 
-@query("""WITH k AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(text) - 18), lambda i: substr(text, i, 20))) AS m FROM benchmark),
-    s AS (SELECT item_id, count(*) AS n FROM k GROUP BY 1), p AS (SELECT item_id AS a, item_id + 1 AS b FROM benchmark WHERE item_id + 1 IN (SELECT item_id FROM benchmark))
-    SELECT p.a AS query, p.b AS subject, round(coalesce(count(y.m), 0) / any_value(s.n), 6) AS containment FROM p JOIN k x ON x.item_id = p.a JOIN s ON s.item_id = p.a LEFT JOIN k y ON y.item_id = p.b AND y.m = x.m GROUP BY 1, 2""")
+@query("""WITH k AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(text) - 18), lambda i: substr(text, i, 20))) AS m FROM benchmark), n AS (SELECT item_id, count(*) AS n FROM k GROUP BY 1),
+    d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, length(text) - 18), lambda i: substr(text, i, 20))) AS m FROM documents), c AS (SELECT item_id, doc_id, count(*) AS c FROM k JOIN d ON k.m = d.m GROUP BY 1, 2)
+    SELECT item_id AS query, doc_id AS subject, round(c / n, 6) AS containment FROM c JOIN n USING (item_id) WHERE c / n >= 0.2""")
 def j15_containment_join(t):
-    items = t.benchmark
-    pairs = items.select(F.col("item_id").alias("query"), (F.col("item_id") + 1).alias("subject")).join(items.select(F.col("item_id").alias("subject")), "subject", "left_semi").select("query", "subject")
-    return jo.containment_join(items, pairs, "item_id", "text", 20).withColumn("containment", F.round("containment", 6))
+    return jo.contained_in(t.benchmark, "item_id", t.documents, "doc_id", "text", 20, 0.2).withColumn("containment", F.round("containment", 6))
 
 
 @query("""WITH n AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 0),
@@ -479,12 +477,12 @@ def s11_flatten_json(t):
     return flatten_json(t.events.select("event_id", "props"), "props", "k bigint").drop("props")
 
 
-@query("SELECT DISTINCT * FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 3 = 0)")
+@query("SELECT DISTINCT * FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 2 <> 0)")
 def s3_read_batches(t):
-    """Two batch files of the documents' languages that overlap, written as delimited text and read back."""
+    """All documents' languages in two batch files that overlap, written as delimited text and read back."""
     rows, batches = t.documents.select("doc_id", "lang"), f"{shared_folder(t.spark)}/batches-{uuid.uuid4().hex}"
-    write_table(rows.where("doc_id % 2 = 0"), f"{batches}/0")
-    write_table(rows.where("doc_id % 3 = 0"), f"{batches}/1")
+    write_table(rows.where("doc_id % 2 = 0 or doc_id % 3 = 0"), f"{batches}/0")
+    write_table(rows.where("doc_id % 2 <> 0"), f"{batches}/1")
     return read_batches(t.spark, [f"{batches}/0", f"{batches}/1"], "doc_id long, lang string")
 
 

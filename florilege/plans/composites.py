@@ -19,7 +19,7 @@ from florilege.operators import sets as st
 from florilege.operators import windows as wi
 from florilege.operators.lineage import checkpointed
 from florilege.plans.catalogue import query
-from florilege.plans.models import NEAR_PAIRS, edges
+from florilege.plans.models import K, MAX_DIST, NEAR_PAIRS, SIZE, edges
 
 
 def metadata_filter(records: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], key: str, duplicate_of: str, description: str, regex: str, tags: tuple[str, str, str, str]) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -393,7 +393,7 @@ def c14_information_table(t):
 
 @query(NEAR_PAIRS)
 def c15_similarity_database(t):
-    pairs = similarity_database(t.documents, "doc_id", "text", 21, 200, 0.00123693)[1]
+    pairs = similarity_database(t.documents, "doc_id", "text", K, SIZE, MAX_DIST)[1]
     return pairs.withColumn("dist", F.round("dist", 8))
 
 

@@ -14,25 +14,32 @@ from florilege.operators import windows as wi
 from florilege.operators.lineage import checkpointed
 from florilege.plans.catalogue import query
 
-K, SIZE = 21, 200
+K, SIZE = 21, 1000
 
-_SKETCH = f"""SELECT item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM benchmark"""
+_SKETCH = f"""SELECT doc_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(coalesce(text, '')) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM documents"""
 
 
-@query(f"SELECT item_id, len(s) AS n, list_min(s) AS first, list_max(s) AS last FROM ({_SKETCH})")
+def _sketches(t):
+    return t.documents.select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
+
+
+@query(f"SELECT doc_id, len(s) AS n, list_min(s) AS first, list_max(s) AS last FROM ({_SKETCH})")
 def x23_sketch(t):
-    s = seq.sketch(F.col("text"), K, SIZE, canonical=False)
-    return t.benchmark.select("item_id", s.alias("s")).select("item_id", F.size("s").cast("long").alias("n"), F.array_min("s").alias("first"), F.array_max("s").alias("last"))
+    return _sketches(t).select("doc_id", F.size("s").cast("long").alias("n"), F.array_min("s").alias("first"), F.array_max("s").alias("last"))
 
 
 _DISTANCE = f"""j AS (SELECT a, b, len(list_intersect(u, list_intersect(sa, sb)))::DOUBLE / len(u) AS j FROM (SELECT a, b, sa, sb, list_slice(list_sort(list_distinct(list_concat(sa, sb))), 1, {SIZE}) AS u FROM p)),
     d AS (SELECT a, b, CASE WHEN j <= 0 THEN 1.0 ELSE abs(-ln(2 * j / (1 + j)) / {K}) END AS dist FROM j)"""
 
 
-@query(f"""WITH k AS ({_SKETCH}), p AS (SELECT x.item_id AS a, y.item_id AS b, x.s AS sa, y.s AS sb FROM k x JOIN k y ON y.item_id = x.item_id + 1), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d""")
+@query(f"""WITH k AS ({_SKETCH}), f AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s[1]) AS a FROM k WHERE len(s) > 0), p AS (SELECT f.a, f.doc_id AS b, k.s AS sa, f.s AS sb FROM f JOIN k ON f.a = k.doc_id WHERE f.a <> f.doc_id), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d""")
 def x24_sketch_distance(t):
-    s = t.benchmark.select("item_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
-    pairs = s.select(F.col("item_id").alias("a"), F.col("s").alias("sa")).join(s.select(F.col("item_id").alias("b"), F.col("s").alias("sb")), F.col("b") == F.col("a") + 1)
+    """Each document's distance to the first one that has the same smallest hash: a row a document, whatever a hash's number
+    of documents is."""
+    s = checkpointed(_sketches(t).where(F.size("s") > 0).withColumn("h", F.col("s")[0]))
+    first = s.groupBy("h").agg(F.min("doc_id").alias("a"))
+    pairs = s.join(first, "h").where("a <> doc_id").select("a", F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    pairs = pairs.join(s.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
     return pairs.select("a", "b", F.round(seq.sketch_distance(F.col("sa"), F.col("sb"), K, SIZE), 8).alias("dist"))
 
 
