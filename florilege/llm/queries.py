@@ -99,5 +99,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Components of ``links(a, b)`` among ``nodes(id)``: the smallest id that each one reaches.
+_COMPONENTS = """sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach(id, low) AS (SELECT id, id FROM nodes UNION SELECT b, low FROM reach JOIN sides ON reach.id = sides.a), top AS (SELECT id, min(low) AS component_id FROM reach GROUP BY 1)"""
+
+_OP1 = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END) AS h FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    links AS MATERIALIZED (SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)), nodes AS (SELECT doc_id AS id FROM documents), {_COMPONENTS}
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN top ON d.doc_id = top.id"""
+
+_OP4 = f"""WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id WHERE list_cosine_similarity(x.v, y.v) >= 0.93), nodes AS (SELECT vec_id AS id FROM embeddings), {_COMPONENTS}
+    SELECT vec_id, (SELECT count(*) FROM sides WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN top ON vec_id = id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the operators that it can express: op1 by all shared shingles, op4 by all pairs of a label. The others rest on
+    models, keyed permutations, fingerprints or a tokenizer, and are held against brute force in the tests."""
+    return {"op1_minhash_near_dedup": _OP1, "op4_lattice_near_dedup": _OP4}
