@@ -83,7 +83,9 @@ def bh_adjust(df: DataFrame, p: str, by: list[str], id_col: str) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each ``by`` group; a null p does not count and stays null.
 
     Rows are counted by p first, ranks are sums of these counts by ranges of p, and equal p-values share one result;
-    ``id_col`` is not needed for it."""
+    ``id_col`` is not needed for it. Without ``by`` all rows are one group."""
+    if not by:
+        return bh_adjust(df.withColumn("__all", F.lit(0)), p, ["__all"], id_col).drop("__all")
     counts = in_ranges(df.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("__t")), by, p)
     upto = running_total(counts, by, p, "__t", "__upto")
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]

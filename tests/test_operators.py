@@ -214,3 +214,48 @@ def test_tests_cover_all_nations_with_a_production_p(spark):
     assert len(rows) == 10 and all(abs(r.p * 10001 - round(r.p * 10001)) < 1e-6 for r in rows)
     orders, customers = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("orders", "customer"))
     assert q["t4_dispersion_all"](spark, "/root/testdata/sf0.001").count() == customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_semi").count()
+
+
+def test_every_term_within_the_edits_is_found(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abc"), rng.integers(0, 24))) for _ in range(120)]
+
+    def misspelt(w):
+        w = list(w)
+        for _ in range(rng.integers(0, 4)):
+            at = int(rng.integers(0, len(w) + 1))
+            w[at : at + int(rng.integers(0, 2))] = rng.choice(list("abcd"), rng.integers(0, 2)).tolist()
+        return "".join(w)
+
+    queries = spark.createDataFrame([(misspelt(w),) for w in words] + [("tuberculosys",), (None,)], "query string").distinct()
+    terms = spark.createDataFrame([(w,) for w in words] + [("tuberculosis",), (None,)], "term string").distinct()
+    score = tx.levenshtein_ratio(F.col("query"), F.col("term"))
+    for least in (80, 90):
+        want = rows(queries.na.drop().crossJoin(terms.na.drop()).where(score >= least))
+        assert rows(jo.within_edits(queries.na.drop(), terms.na.drop(), least).where(score >= least)) == want and len(want) > 60
+    found = rows(jo.fuzzy_cascade(queries, "query", [(terms, "term", tx.levenshtein_ratio, 90.0)]).select("query", "term"))
+    assert ("tuberculosys", "tuberculosis") in found
+
+
+def test_rank_statistics_with_ties_and_nulls(spark):
+    rng = np.random.default_rng(6)
+    data = [(int(rng.integers(0, 3)) or None, "ab"[int(rng.integers(0, 2))], float(rng.integers(0, 12)) if rng.random() > 0.1 else None, i) for i in range(400)]
+    df = spark.createDataFrame(data, "by int, g string, v double, id long").repartition(7)
+    for r in wi.rank_sum(df, "g", "v", ["by"], "a", "b").collect():
+        a, b = ([v for k, g, v, _ in data if k == r.by and g == side and v is not None] for side in "ab")
+        assert (r.n1, r.n2) == (len(a), len(b)) and r.u == sum((x > y) + (x == y) / 2 for x in a for y in b)
+    p = df.withColumn("p", F.col("v") / 12)
+    got = {r.id: r.p_adjusted for r in wi.bh_adjust(p, "p", ["by"], "id").collect()}
+    assert len(got) == 400
+    for k in {k for k, *_ in data}:
+        known = sorted((v / 12, i) for j, _, v, i in data if j == k and v is not None)
+        raw = [q * len(known) / n for n, (q, _) in enumerate(known, 1)]
+        assert all(abs(got[i] - min(1.0, *raw[n:], raw[-1])) < 1e-12 for n, (_, i) in enumerate(known))
+    assert all(got[i] is None for *_, v, i in data if v is None)
+    assert wi.bh_adjust(p.limit(0), "p", ["by"], "id").count() == wi.rank_sum(df.limit(0), "g", "v", ["by"], "a", "b").count() == 0
+
+
+def test_kmers_across_blocks(spark):
+    texts = ["", None, "abc", "é" * 3 + "".join(chr(97 + i * i % 26) for i in range(2 * seq.BLOCK + 5)), "x" * seq.BLOCK, "y" * (seq.BLOCK + 4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, s string").select("i", seq.kmers(F.col("s"), 5).alias("m"))
+    assert {r.i: r.m for r in df.collect()} == {i: [s[j : j + 5] for j in range(len(s) - 4)] if s else [] for i, s in enumerate(texts)}
