@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.components import connected_components
-from florilege.llm.durable import durable
+from florilege.llm.durable import Scratch, durable
 from florilege.llm.shingles import mix64
 
 TABLES, PROBES = 20, 8
@@ -146,53 +146,56 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Rows that repeat an id are one node; each counts as another vector. Of different vectors with one id that lead their
     classes one stands for the id, so ids should be unique. Vectors of different lengths compare as if zeros followed.
     An empty table gives no rows. Cells hash the label, so a large label is spread over its cells.
+    The result is a written table; the others are deleted.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
     element = vectors.schema[vector_col].dataType.simpleString()
     source = vectors.select(F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
     described = source.withColumn("label_hash", F.xxhash64("label")).mapInArrow(_describe, f"id {kind}, d0 long, d1 long, s0 long, s1 long, home array<long>, fine array<long>, probes array<long>, v {element}")
-    rows = durable(described, "described")
-    classes = durable(rows.where("d0 is not null").groupBy("d0", "d1").agg(F.min("id").alias("first"), F.count("*").alias("n")), "classes")
-    nodes = rows.select("id", "d0", "d1").join(classes, ["d0", "d1"], "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("node"), F.coalesce("n", F.lit(1)).alias("n"))
-    stand = durable(rows.join(classes, ["d0", "d1"]).where("id = first").dropDuplicates(["id"]).drop("d0", "d1", "first"), "classes")
-    p = float(np.arccos(cosine) / np.pi)
-    most = SIGN_BITS * p + DEVIATIONS * (SIGN_BITS * p * (1 - p)) ** 0.5
-
-    def differing(a: str, b: str) -> F.Column:
-        return F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))) + F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1")))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        a, b = stand.select(F.col("id").alias("a"), F.col("v").alias("va")), stand.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-        found = pairs.join(a, "a").join(b, "b").select("a", "b", "va", "vb").mapInArrow(_cosines, f"a {kind}, b {kind}, cosine double")
-        return found.where(F.col("cosine") >= cosine).select("a", "b")
-
-    fine = stand.select(F.explode("fine").alias("key"), "id")
-    first = durable(fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"), "leaders")
-    led = fine.join(first, "key").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    a, b = stand.select("id", "s0", "s1").alias("a"), stand.select("id", "s0", "s1").alias("b")
-    led = led.alias("p").join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id")).where(differing("a", "b") <= most).select("p.a", "p.b")
-    labels = connected_components(linked(led))
-    placed = durable(stand.select("id", "s0", "s1", "home", "probes").join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
-    homes = placed.select(F.explode("home").alias("key"), "id", "component", "s0", "s1").alias("a")
-    asked = placed.select(F.explode(F.concat("home", "probes")).alias("key"), "id", "component", "s0", "s1").alias("b")
-    apart = homes.join(asked, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (differing("a", "b") <= most))
-    apart = apart.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-    more = durable(linked(durable(apart, "candidates")), "links")
-    where = placed.select("id", "component")
-    more = more.join(where.select(F.col("id").alias("a"), F.col("component").alias("at_a")), "a").join(where.select(F.col("id").alias("b"), F.col("component").alias("at_b")), "b")
-    merged = connected_components(more.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")))
-    member = where.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("id", F.coalesce("top", "component").alias("component"))
-    member = durable(member, "members")
-    counts = _count_links(stand.select("id", "n", "v"), member, kind, element, cosine)
-    out = nodes.join(member.withColumnRenamed("id", "node"), "node", "left").join(counts.withColumnRenamed("id", "node"), "node", "left")
-    component = F.coalesce("component", "node")
-    links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
-    return out.select(F.col("id").alias(id_col), links.cast("long").alias("n_links"), component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
-
-
-def _count_links(stand: DataFrame, member: DataFrame, kind: str, element: str, cosine: float) -> DataFrame:
+    with Scratch(vectors.sparkSession) as tables:
+        rows = tables.write(described, "described")
+        classes = tables.write(rows.where("d0 is not null").groupBy("d0", "d1").agg(F.min("id").alias("first"), F.count("*").alias("n")), "classes")
+        nodes = rows.select("id", "d0", "d1").join(classes, ["d0", "d1"], "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("node"), F.coalesce("n", F.lit(1)).alias("n"))
+        stand = tables.write(rows.join(classes, ["d0", "d1"]).where("id = first").dropDuplicates(["id"]).drop("d0", "d1", "first"), "classes")
+        p = float(np.arccos(cosine) / np.pi)
+        most = SIGN_BITS * p + DEVIATIONS * (SIGN_BITS * p * (1 - p)) ** 0.5
+
+        def differing(a: str, b: str) -> F.Column:
+            return F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))) + F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1")))
+
+        def linked(pairs: DataFrame) -> DataFrame:
+            a, b = stand.select(F.col("id").alias("a"), F.col("v").alias("va")), stand.select(F.col("id").alias("b"), F.col("v").alias("vb"))
+            found = pairs.join(a, "a").join(b, "b").select("a", "b", "va", "vb").mapInArrow(_cosines, f"a {kind}, b {kind}, cosine double")
+            return found.where(F.col("cosine") >= cosine).select("a", "b")
+
+        fine = stand.select(F.explode("fine").alias("key"), "id")
+        first = tables.write(fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"), "leaders")
+        led = fine.join(first, "key").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+        a, b = stand.select("id", "s0", "s1").alias("a"), stand.select("id", "s0", "s1").alias("b")
+        led = led.alias("p").join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id")).where(differing("a", "b") <= most).select("p.a", "p.b")
+        labels = connected_components(linked(led), tables)
+        placed = tables.write(stand.select("id", "s0", "s1", "home", "probes").join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
+        homes = placed.select(F.explode("home").alias("key"), "id", "component", "s0", "s1").alias("a")
+        asked = placed.select(F.explode(F.concat("home", "probes")).alias("key"), "id", "component", "s0", "s1").alias("b")
+        apart = homes.join(asked, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (differing("a", "b") <= most))
+        apart = apart.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+        more = tables.write(linked(tables.write(apart, "candidates")), "links")
+        where = placed.select("id", "component")
+        more = more.join(where.select(F.col("id").alias("a"), F.col("component").alias("at_a")), "a").join(where.select(F.col("id").alias("b"), F.col("component").alias("at_b")), "b")
+        merged = connected_components(more.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")), tables)
+        member = where.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+        member = tables.write(member, "members")
+        counts = _count_links(stand.select("id", "n", "v"), member, kind, element, cosine, tables)
+        out = nodes.join(member.withColumnRenamed("id", "node"), "node", "left").join(counts.withColumnRenamed("id", "node"), "node", "left")
+        component = F.coalesce("component", "node")
+        links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
+        out = out.select(F.col("id").alias(id_col), links.cast("long").alias("n_links"), component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
+        return durable(out, "near-embeddings")
+
+
+def _count_links(stand: DataFrame, member: DataFrame, kind: str, element: str, cosine: float, tables: Scratch) -> DataFrame:
     """``(id, links)``: for each class the vectors of other classes of its component that it is linked with."""
-    sizes = durable(member.groupBy("component").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    sizes = tables.write(member.groupBy("component").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
     many = F.ceil(F.col("m") / BLOCK).cast("int")
     dealt = member.join(sizes, "component").join(stand, "id").withColumn("of", many).withColumn("own", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
     blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))

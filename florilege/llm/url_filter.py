@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from florilege.llm.durable import durable
+from florilege.llm.durable import Scratch, durable
 
 #: Levels of the tree; the segments below are one segment of the last level.
 DEPTH = 4
@@ -48,26 +48,27 @@ def _variable(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))
 
 
-def path_templates(urls: DataFrame) -> DataFrame:
+def path_templates(urls: DataFrame, tables: Scratch | None = None) -> DataFrame:
     """``urls(host, path, ...)`` with ``p1`` to ``pN``, the segments of their path template (null below its end).
 
     Level by level, the segments of each node of each host are counted; those that few of its URLs share become a
     wildcard. Counts are pre-aggregated, and only segments frequent enough to stay, a bounded number a node, are joined
-    back from a written table.
+    back from a written table, one of ``tables`` if they are given.
     """
+    write = tables.write if tables else durable
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
     deep = F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH - 1), F.array(F.array_join(F.slice(parts, F.lit(DEPTH), F.size(parts)), "/")))).otherwise(parts)
     rows = urls.withColumn("__parts", deep)
     above = ["host"]
     for d in range(1, DEPTH + 1):
         rows = rows.withColumn("__s", F.get("__parts", d - 1))
-        rows = durable(rows, "urls") if d > 1 else rows
+        rows = write(rows, "urls") if d > 1 else rows
         counts = rows.groupBy(*above, "__s").agg(F.count("*").alias("__n"))
         totals = rows.groupBy(*above).agg(F.count("*").alias("__total"))
         often = counts.where(F.col("__s").isNotNull() & (F.col("__n") >= LEAST_URLS) & ~F.col("__s").rlike("^[0-9]+$"))
         same = [F.col(f"often.{c}").eqNullSafe(F.col(f"totals.{c}")) for c in above]
         kept = often.alias("often").join(totals.alias("totals"), same).where(F.col("__n") >= F.col("__total") * LEAST_SHARE)
-        kept = durable(kept.select(*(F.col(f"often.{c}").alias(f"__{c}") for c in above), F.col("__s").alias("__kept")), "segments")
+        kept = write(kept.select(*(F.col(f"often.{c}").alias(f"__{c}") for c in above), F.col("__s").alias("__kept")), "segments")
         same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in above] + [F.col("__s") == F.col("__kept")]
         rows = rows.join(kept, same, "left")
         rows = rows.withColumn(f"p{d}", F.when(F.col("__s").isNotNull(), F.coalesce("__kept", _variable(F.col("__s"))))).drop(*(f"__{c}" for c in above), "__kept", "__s")
@@ -109,15 +110,17 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id"
 
     Null urls and those without ``://`` have an empty host and path, no rule, and are judged by the template of the empty
     path. Rows that repeat are judged row by row; an empty table gives no rows.
+    The result is a written table; the others are deleted.
     """
     host, path = split_url(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col).alias("__id"), host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
-    urls = durable(urls.select("*", rule.alias("rule"), verdict.alias("__verdict")).withColumn("blocked", F.col("__verdict") == "block"), "urls")
-    urls = durable(path_templates(urls), "templates")
-    judged = durable(judge_templates(urls), "judged")
-    levels = [f"p{d}" for d in range(1, DEPTH + 1)]
-    same = [F.col(f"u.{c}").eqNullSafe(F.col(f"j.{c}")) for c in ["host", *levels]]
-    out = urls.alias("u").join(judged.alias("j"), same, "left")
-    verdict = F.coalesce("u.__verdict", F.when(F.col("j.rejected"), "block").otherwise("allow"))
-    return out.select(F.col("u.__id").alias(id_col), "u.host", "u.path", "u.rule", verdict.alias("verdict"), "j.template")
+    with Scratch(pages.sparkSession) as tables:
+        urls = tables.write(urls.select("*", rule.alias("rule"), verdict.alias("__verdict")).withColumn("blocked", F.col("__verdict") == "block"), "urls")
+        urls = tables.write(path_templates(urls, tables), "templates")
+        judged = tables.write(judge_templates(urls), "judged")
+        levels = [f"p{d}" for d in range(1, DEPTH + 1)]
+        same = [F.col(f"u.{c}").eqNullSafe(F.col(f"j.{c}")) for c in ["host", *levels]]
+        out = urls.alias("u").join(judged.alias("j"), same, "left")
+        verdict = F.coalesce("u.__verdict", F.when(F.col("j.rejected"), "block").otherwise("allow"))
+        return durable(out.select(F.col("u.__id").alias(id_col), "u.host", "u.path", "u.rule", verdict.alias("verdict"), "j.template"), "judged-urls")
