@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +40,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tidy(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``made``, after which what Arrow holds for later goes back to the system: a worker waits between tasks without it."""
+    """``made``, after which what Arrow and the C library hold for later goes back to the system: a worker waits between
+    tasks without it."""
     yield from made
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
 
 
 def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
