@@ -29,6 +29,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
 
 
+def readable(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI that tasks can open with ``pyarrow.fs``."""
+    found = qualified(spark, path)
+    return found.replace("file:/", "file:///", 1) if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def remove(spark: SparkSession, path: str) -> None:
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
@@ -56,8 +62,12 @@ class Scratch:
     def __exit__(self, *_) -> None:
         remove(self.spark, self.folder)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str) -> str:
+        """The path of ``df``, written."""
         self.n += 1
         path = f"{self.folder}/{self.n:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return path
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return self.spark.read.schema(df.schema).parquet(self.put(df, name))
