@@ -129,7 +129,7 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((a[:, :n] * b[:, :n]).sum(1))], names=["a", "b", "cosine"])
 
 
-def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.93) -> DataFrame:
+def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.93, deviations: float | None = DEVIATIONS) -> DataFrame:
     """The ids of ``vectors`` with ``n_links``, ``component_id`` and ``kept``; linked are vectors of one label whose cosine
     is at least ``cosine``.
 
@@ -143,8 +143,8 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or id, are
     linked with nothing (a null id has a null component and is kept). Vectors are compared in double precision.
-    Rows that repeat an id are one node; each counts as another vector. Of different vectors with one id that lead their
-    classes one stands for the id, so ids should be unique. Vectors of different lengths compare as if zeros followed.
+    Rows that repeat an id are vectors of their own, each linked by what it holds, and show the same id. Vectors of
+    different lengths compare as if zeros followed. With ``deviations`` None no pair is left out by its sign bits.
     An empty table gives no rows. Cells hash the label, so a large label is spread over its cells.
     The result is a written table; the others are deleted.
     """
@@ -155,10 +155,15 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     with Scratch(vectors.sparkSession) as tables:
         rows = tables.write(described, "described")
         classes = tables.write(rows.where("d0 is not null").groupBy("d0", "d1").agg(F.min("id").alias("first"), F.count("*").alias("n")), "classes")
-        nodes = rows.select("id", "d0", "d1").join(classes, ["d0", "d1"], "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("node"), F.coalesce("n", F.lit(1)).alias("n"))
-        stand = tables.write(rows.join(classes, ["d0", "d1"]).where("id = first").dropDuplicates(["id"]).drop("d0", "d1", "first"), "classes")
+        # a class is known by its smallest id, where different vectors share that by its digest too
+        shared = not classes.groupBy("first").count().where("count > 1").isEmpty()
+        key = (lambda c: F.struct(c.alias("id"), F.col("d0").alias("d"))) if shared else (lambda c: c)
+        kind = f"struct<id:{kind},d:bigint>" if shared else kind
+        nodes = rows.select("id", "d0", "d1").join(classes, ["d0", "d1"], "left").select("id", F.when(F.col("id").isNotNull(), key(F.coalesce("first", "id"))).alias("node"), F.coalesce("n", F.lit(1)).alias("n"))
+        stand = rows.join(classes, ["d0", "d1"]).where("id = first").dropDuplicates(["d0", "d1"]).withColumn("id", key(F.col("id")))
+        stand = tables.write(stand.drop("d0", "d1", "first"), "classes")
         p = float(np.arccos(cosine) / np.pi)
-        most = SIGN_BITS * p + DEVIATIONS * (SIGN_BITS * p * (1 - p)) ** 0.5
+        most = SIGN_BITS if deviations is None else SIGN_BITS * p + deviations * (SIGN_BITS * p * (1 - p)) ** 0.5
 
         def differing(a: str, b: str) -> F.Column:
             return F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))) + F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1")))
@@ -188,6 +193,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         counts = _count_links(stand.select("id", "n", "v"), member, kind, element, cosine, tables)
         out = nodes.join(member.withColumnRenamed("id", "node"), "node", "left").join(counts.withColumnRenamed("id", "node"), "node", "left")
         component = F.coalesce("component", "node")
+        component = component["id"] if shared else component
         links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
         out = out.select(F.col("id").alias(id_col), links.cast("long").alias("n_links"), component.alias("component_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
         return durable(out, "near-embeddings")

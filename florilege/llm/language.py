@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.expressions import named
-from florilege.llm.sampling import sample_of_classes
+from florilege.llm.sampling import first_of_classes, sample_of_classes
 from florilege.llm.shingles import chunks, text_buffers
 from florilege.llm.subwords import CHUNK_BYTES, Words
 from florilege.llm.toxicity import excerpt
@@ -147,7 +147,7 @@ def train_language(docs: DataFrame, usable: Column | None = None, id_col: str =
     """Fit on a bounded sample of the documents with a language that satisfy ``usable`` (a condition on ``id``).
 
     Every language of a usable document is learnt, however many there are and however long its documents. Null languages,
-    ids and texts teach nothing, repeated rows are drawn together; None without any usable document.
+    ids and texts teach nothing; repeated rows are drawn together, but no more rows than asked for; None without any usable document.
     """
     texts = docs.select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), named(text_col).cast("string").alias("text"))
     texts = texts.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull())
@@ -157,8 +157,9 @@ def train_language(docs: DataFrame, usable: Column | None = None, id_col: str =
     languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # a row a language
     if not languages:
         return None
-    picked = sample_of_classes(known, "lang", min(per_language, max(FEW, MOST_DOCUMENTS // len(languages))))
-    fit = texts.join(F.broadcast(picked), ["id", "lang"]).select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "lang")  # a bounded sample
+    most = min(per_language, max(FEW, MOST_DOCUMENTS // len(languages)))
+    picked = sample_of_classes(known, "lang", most)
+    fit = first_of_classes(texts.join(F.broadcast(picked), ["id", "lang"]), "lang", most, "id", "text").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "lang")  # a bounded sample
     rows = sorted((r.hash, r.text, r.lang) for r in fit.collect())
     return Tree(languages).fit([r[1] for r in rows], np.array([r[2] for r in rows]))
 

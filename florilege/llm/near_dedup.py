@@ -205,14 +205,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return durable(out, "near-duplicates")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, deviations: float | None = DEVIATIONS) -> DataFrame:
     """``docs`` with one document of each group that ``near_duplicates`` finds: the one with the smallest id.
 
     Of rows that repeat an id one stays, that with the smallest hash of its text (of equal texts the first by all
     columns); rows with a null id stay, as do those with a null or empty text. An empty table stays empty. Rows that a
     filter of at most 8 MB shows to be untouched are not shuffled.
     """
-    found = near_duplicates(docs, id_col, text_col, percent).where(named(id_col).isNotNull())
+    found = near_duplicates(docs, id_col, text_col, percent, deviations).where(named(id_col).isNotNull())
     touched = found.groupBy(named(id_col).alias("__id")).agg(F.min("kept").alias("__kept"), F.count("*").alias("__n")).where("not __kept or __n > 1")
     touched = durable(touched, "touched")
     flagged = with_maybe(docs, filter_blocks(touched, "__id"), named(id_col))

@@ -9,7 +9,9 @@ from florilege.llm.expressions import let
 
 ROUNDS = 10
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
+#: Up to the 127 labels that a name of 253 characters may hold; a longer run is no address and stays. All repeated groups
+#: are possessive, since Java matches others by one call a repetition and its stack is bounded.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,126}+(?!\.[A-Za-z0-9-])"
 KEY_ID = r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)"
 #: The value of a secret runs to its closing quote in the line, without one to white space, whatever its length.
 _IN = {q: rf"(?:[^{q}\r\n]|(?<=\\){q})" for q in (r"\x22", "'")}
@@ -273,7 +275,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", kinds_col: s
     """``docs`` with the private data of ``text_col`` replaced; ``kinds_col`` names a column for the kinds replaced, in
     order of their place in the text.
 
-    A row changes by itself, so no rows move. Numbers that fail their check (Luhn, mod 97, ranges, calendar) and dates
+    A row changes by itself, so no rows move; texts are read whole, however long they or their finds are. Numbers that fail their check (Luhn, mod 97, ranges, calendar) and dates
     outside 1800 to 2199 stay. Null stays null, and an empty text or an empty table stays empty; all other columns
     pass unchanged, whatever their names.
     """

@@ -29,3 +29,10 @@ def sample_of_classes(labelled: DataFrame, class_col: str, per_class: int) -> Da
 def existing(labelled: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
     """Rows of ``labelled(id, ..)`` whose document is there, so that a sample is not filled with ids without one."""
     return labelled.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+
+
+def first_of_classes(rows: DataFrame, class_col: str, per_class: int, *key: str) -> DataFrame:
+    """At most ``per_class`` of ``rows`` for each class, those of the smallest hashes of ``key``: a bound on rows, however
+    often an id or a row repeats. Spark keeps no more of a task before the shuffle."""
+    rank = F.row_number().over(W.partitionBy(class_col).orderBy(F.xxhash64(*key), *key))
+    return rows.withColumn("__rank", rank).where(F.col("__rank") <= per_class).drop("__rank")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from florilege.llm.expressions import named
-from florilege.llm.sampling import existing, sample_of_classes
+from florilege.llm.sampling import existing, first_of_classes, sample_of_classes
 from florilege.llm.shingles import chunks, text_buffers, tidy
 from florilege.llm.subwords import CHUNK_BYTES, Words
 
@@ -182,7 +182,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
 
     The sample is drawn from documents that are there and have a text, of any length; of very long ones ``excerpt`` is
     read. A document with several labels is toxic if one of them says so; null labels and ids say nothing; rows that
-    repeat an id are several documents of its label. None if a class has no document: there is then nothing to learn.
+    repeat an id are several documents of its label, and ``per_class`` bounds the rows. None if a class has no document: there is then nothing to learn.
     """
     known = labels.where(named(label_col).isNotNull() & named(id_col).isNotNull()).groupBy(named(id_col).alias("id")).agg((F.max(named(label_col)) > 0).cast("int").alias("toxic"))
     if usable is not None:
@@ -190,7 +190,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     texts = docs.where(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     known = existing(known, texts, "id")
     picked = sample_of_classes(known, "toxic", per_class)
-    fit = texts.join(F.broadcast(picked), "id").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "toxic")  # a bounded sample
+    fit = first_of_classes(texts.join(F.broadcast(picked), "id"), "toxic", per_class, "id", "text").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "toxic")  # a bounded sample
     rows = sorted((r.hash, r.text, r.toxic) for r in fit.collect())
     toxic = np.array([r[2] for r in rows], int)
     if not len(rows) or toxic.min() == toxic.max():

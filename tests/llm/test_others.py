@@ -289,3 +289,39 @@ def test_membership_equals_brute_force(spark):
         logits = [sum(float(t[bucket[x]]) for x in w) * min(len(w), 60) / len(w) + np.log(p) for t, p in zip(model.tables, model.prior, strict=True)]
         e = np.exp(np.array(logits) - max(logits))
         assert r.m.n == len(w) and np.allclose(r.m.p, e / e.sum())
+
+
+def test_pii_of_very_long_finds(spark):
+    """Runs that no address may have stay; their rows and those beside them are still cleaned."""
+    texts = {
+        1: "a@" + "b." * 100_000 + "com and me@x.org", 2: "me@x.org " * 20_000, 3: "@." * 100_000, 4: "token=" + "x" * 1_000_000 + " me@x.org",
+        5: 'password="' + '\\"' * 50_000 + '" me@x.org', 6: "1." * 100_000 + " me@x.org", 7: "a@" + "b." * 125 + "com.", 8: "a@" + "b." * 127 + "com", 9: "+1" + "-23" * 100_000, 10: "4 " * 100_000,
+    }
+    got = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1), "k").collect()}
+    assert got[1].startswith("a@" + "b." * 100_000 + "com and u") and "me@x.org" not in got[1] + got[2] + got[4] + got[5] + got[6]
+    assert got[3] == texts[3] and got[8] == texts[8] and "b.b" not in got[7] and got[7].endswith(".example.")
+    assert "xxx" not in got[4] and len(got) == len(texts)
+
+
+def test_pii_of_empty_tables_and_clashing_names(spark):
+    df = spark.createDataFrame([("x.y", "mail a@b.org", 1), (None, None, 2), ("x.y", "mail a@b.org", 1)], "`a.b` string, text string, kinds int")
+    assert pii.pseudonymise(df.limit(0), "k").collect() == []
+    got = sorted(map(tuple, pii.pseudonymise(df, "k").collect()), key=str)
+    assert got[2] == (None, None, 2) and got[0] == got[1] and "a@b.org" not in got[0][1]
+
+
+def test_embeddings_that_share_an_id(spark):
+    """Different vectors with one id keep their own links; equal ones are one class of copies."""
+    x, y = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, 0, x), (1, 0, y), (2, 0, [1.0, 0.1, 0.0, 0.0]), (3, 0, [0.1, 1.0, 0.0, 0.0]), (4, 0, [0.0, 0.0, 1.0, 0.0]), (4, 0, [0.0, 0.0, 1.0, 0.0]), (5, 1, x), (None, 0, x), (6, None, x)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    for deviations in (5, None):
+        got = sorted((tuple(r) for r in near_embeddings(table, deviations=deviations).collect()), key=str)
+        assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True), (4, 1, 4, True), (5, 0, 5, True), (None, 0, None, True), (6, 0, 6, True)], key=str)
+
+
+def test_samples_are_bounded_in_rows(spark):
+    from florilege.llm.sampling import first_of_classes
+
+    rows = spark.createDataFrame([(1, f"t{k % 3}", 0) for k in range(900)] + [(k, "x", 1) for k in range(5)], "id long, text string, toxic int")
+    assert {r.toxic: r["count"] for r in first_of_classes(rows, "toxic", 100, "id", "text").groupBy("toxic").count().collect()} == {0: 100, 1: 5}
