@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florilege.functions.text import levenshtein_ratio, normalize_term
+from florilege.functions.text import normalize_term
 from florilege.operators.aggregates import assert_unique
 from florilege.operators.lineage import checkpointed
+from florilege.operators.strings import SCORERS, similar_pairs
 
 
 def validated_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", validate: str = "m:1", distinct: bool = False) -> DataFrame:
@@ -173,48 +174,25 @@ def contained_in(queries: DataFrame, query: str, subjects: DataFrame, subject: s
     return shared.join(sizes, "query").where(share >= least).select("query", "subject", share.alias("containment"))
 
 
-def within_edits(queries: DataFrame, terms: DataFrame, least: float) -> DataFrame:
-    """Candidates ``(query, term)`` for a Levenshtein ratio of ``least`` (above 50) or more; none that reaches it is missing.
-
-    A term is cut into one segment more than it may have edits, so one segment is left whole: strings meet on a segment at
-    a place that edits can have moved it to. A query has some hundred such places at 90, whatever the vocabulary's size."""
-    share = (100 - least) / least
-
-    def segments(n: Column) -> Column:
-        edits = F.floor(n * share + 1e-9).cast("int")
-        return F.transform(F.sequence(F.lit(0), edits), lambda i: F.struct(n.alias("n"), i.alias("i"), edits.alias("e"), F.floor(i * n / (edits + 1)).cast("int").alias("at"), F.floor((i + 1) * n / (edits + 1)).cast("int").alias("to")))
-
-    def cut(text: Column, s: Column, move: Column) -> Column:
-        return F.struct(s["n"].alias("n"), s["i"].alias("i"), F.substring(text, s["at"] + move + 1, s["to"] - s["at"]).alias("part"))
-
-    def moved(s: Column) -> Column:
-        first, last = F.greatest(-s["e"], -s["at"]), F.least(s["e"], F.length("query") - s["to"])
-        moves = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(moves, lambda m: cut(F.col("query"), s, m))
-
-    lengths = F.sequence(F.ceil(F.length("query") * least / 100 - 1e-9).cast("int"), F.floor(F.length("query") * 100 / least + 1e-9).cast("int"))
-    asked = queries.select("query", F.explode(F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(lengths, segments)), moved)))).alias("k"))
-    known = terms.select("term", F.explode(F.transform(segments(F.length("term")), lambda s: cut(F.col("term"), s, F.lit(0)))).alias("k"))
-    return asked.join(known, "k").select("query", "term").distinct()
-
-
 def fuzzy_cascade(queries: DataFrame, query: str, rungs: list[tuple[DataFrame, str, object, float]]) -> DataFrame:
     """Best match of each query on the first rung that has one. A rung: vocabulary, its term column, scorer of two string
-    columns (0 to 100), and the least score.
+    columns (0 to 100), and the least score; of equal scores the smallest term.
 
-    A rung scored by ``levenshtein_ratio`` misses no match, wherever a term is misspelt; on other rungs only terms that share
-    a token are scored."""
+    A rung scored by ``levenshtein_ratio``, ``ratio``, ``token_set_ratio`` or ``wratio`` misses no match, wherever a term is
+    misspelt. Of a scorer of the caller's own nothing is known, so only terms that share a token with the query are scored.
+    Null queries and terms match nothing."""
     left, out = queries.select(F.col(query).alias("query")).where("query is not null").distinct(), None
     tokens = lambda c: F.explode(F.array_distinct(F.split(normalize_term(F.col(c)), " ")))
     for k, (vocab, term, scorer, least) in enumerate(rungs):
         terms = vocab.select(F.col(term).alias("term")).where("term is not null").distinct()
-        if scorer is levenshtein_ratio and least > 50:
-            pairs = within_edits(left, terms, least)
+        left = checkpointed(left)
+        if scorer in SCORERS:
+            hits = similar_pairs(left, checkpointed(terms), scorer, least)
         else:
             pairs = left.select("query", tokens("query").alias("t")).join(terms.select("term", tokens("term").alias("t")), "t").select("query", "term").distinct()
-        hits = pairs.withColumn("score", scorer(F.col("query"), F.col("term"))).where(F.col("score") >= least)
+            hits = pairs.withColumn("score", scorer(F.col("query"), F.col("term"))).where(F.col("score") >= least)
         best = hits.groupBy("query").agg(F.min(F.struct((-F.col("score")).alias("s"), "term")).alias("m"))
-        best = best.select("query", F.col("m.term").alias("term"), (-F.col("m.s")).alias("score"), F.lit(k + 1).cast("long").alias("rung"))
+        best = checkpointed(best.select("query", F.col("m.term").alias("term"), (-F.col("m.s")).alias("score"), F.lit(k + 1).cast("long").alias("rung")))
         out = best if out is None else out.unionByName(best)
         left = left.join(best.select("query"), "query", "left_anti")
     return out

@@ -113,9 +113,38 @@ def j17_reduce_to_leaves(t):
     return jo.reduce_to_leaves(ids, on.ancestors(edges(t)), "key", "term")
 
 
+def _lcs_sql(a: str, b: str) -> str:
+    """Length of the longest common subsequence: a bit a character of ``a`` is cleared once it is matched."""
+    chars, full = f"string_split({a}, '')", f"((1::HUGEINT << length({a})) - 1)"
+    masks = f"list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN {chars}[i] = c THEN 1::HUGEINT << (i - 1) ELSE 0 END))::HUGEINT)"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({a}) - bit_count(list_reduce({masks}, lambda v, x: ((v + (v & x)) | (v - (v & x))) & {full}, {full})) END"
 
 
-@query()
+def _ratio_sql(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = {b} THEN 100.0 ELSE 200.0 * ({_lcs_sql(a, b)}) / (length({a}) + length({b})) END"
+
+
+#: From ``pairs(q, t)`` of strings: their scores by the longest common subsequence.
+_SCORES = f"""tokens AS (SELECT q, t, lower(q) AS a, lower(t) AS b, list_sort(string_split(lower(q), ' ')) AS x, list_sort(string_split(lower(t), ' ')) AS y FROM pairs),
+    sides AS (SELECT q, t, a, b, array_to_string(x, ' ') AS sa, array_to_string(y, ' ') AS sb, array_to_string(list_sort(list_intersect(x, y)), ' ') AS c, array_to_string(list_sort(list_distinct(list_filter(x, lambda z: NOT list_contains(y, z)))), ' ') AS p, array_to_string(list_sort(list_distinct(list_filter(y, lambda z: NOT list_contains(x, z)))), ' ') AS r FROM tokens),
+    whole AS (SELECT *, trim(c || ' ' || p) AS le, trim(c || ' ' || r) AS ri FROM sides),
+    parts AS MATERIALIZED (SELECT q, t, {_ratio_sql("a", "b")} AS plain, {_ratio_sql("sa", "sb")} AS sorted, CASE WHEN c <> '' AND (p = '' OR r = '') THEN 100.0 ELSE greatest({_ratio_sql("le", "ri")}, CASE WHEN c = '' THEN 0 ELSE 200.0 * length(c) / (length(c) + least(length(le), length(ri))) END) END AS token_set FROM whole),
+    scores AS MATERIALIZED (SELECT q, t, token_set, greatest(plain, 0.95 * sorted, 0.95 * token_set) AS wratio, CASE WHEN q = t THEN 100.0 ELSE 100.0 * (1 - levenshtein(q, t) / greatest(length(q), length(t))) END AS edits FROM parts JOIN pairs USING (q, t))"""
+
+
+def _cascade_sql(queries: str, rungs: list[tuple[str, str, float]]) -> str:
+    """``rungs``: the vocabulary's SELECT of ``t``, the score's name, the least score."""
+    terms = " UNION ALL ".join(f"SELECT {k} AS rung, t FROM ({v})" for k, (v, _, _) in enumerate(rungs, 1))
+    score = "CASE rung " + " ".join(f"WHEN {k} THEN CASE WHEN {s} >= {least} THEN {s} END" for k, (_, s, least) in enumerate(rungs, 1)) + " END"
+    return f"""WITH queries AS (SELECT DISTINCT q FROM ({queries})), vocab AS (SELECT DISTINCT rung, t FROM ({terms})), pairs AS MATERIALIZED (SELECT q, t FROM queries, (SELECT DISTINCT t FROM vocab)), {_SCORES},
+    hits AS (SELECT q, rung, t, {score} AS score FROM scores JOIN vocab USING (t))
+    SELECT q AS query, t AS term, round(score, 6) AS score, rung::BIGINT AS rung FROM hits WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q ORDER BY rung, score DESC, t) = 1"""
+
+
+_NAMES, _TYPES = "SELECT p_name AS t FROM part", "SELECT p_type AS t FROM part"
+
+
+@query(_cascade_sql("SELECT lower(p_name) AS q FROM part", [(_NAMES, "edits", 90), (_NAMES, "wratio", 85), (_TYPES, "token_set", 80)]))
 def j16_fuzzy_cascade(t):
     queries = t.part.select(F.lower("p_name").alias("q"))
     vocab = t.part.select("p_name")
@@ -124,6 +153,19 @@ def j16_fuzzy_cascade(t):
     return out.withColumn("score", F.round("score", 6))
 
 
+_KINDS, _BRANDS = "SELECT p_name || ' ' || p_type AS t FROM part", "SELECT p_brand || ' ' || p_type AS t FROM part"
+
+
+@query(_cascade_sql("SELECT replace(lower(p_name || ' ' || p_type), 'e', '') AS q FROM part", [(_KINDS, "wratio", 92), (_BRANDS, "wratio", 88), (_KINDS, "token_set", 84), (_BRANDS, "token_set", 60)]))
+def j16_fuzzy_terms(t):
+    """Descriptions that lost a letter throughout, so that words match in part, against two vocabularies by two scores each."""
+    both = lambda a, b: F.concat_ws(" ", a, b)
+    queries = t.part.select(F.replace(F.lower(both("p_name", "p_type")), F.lit("e"), F.lit("")).alias("q"))
+    kinds, brands = t.part.select(both("p_name", "p_type").alias("t")), t.part.select(both("p_brand", "p_type").alias("t"))
+    out = jo.fuzzy_cascade(queries, "q", [(kinds, "t", wratio, 92.0), (brands, "t", wratio, 88.0), (kinds, "t", token_set_ratio, 84.0), (brands, "t", token_set_ratio, 60.0)])
+    return out.withColumn("score", F.round("score", 6))
+
+
 _SQ = "list_sum(list_transform(range(1, len(x.embedding) + 1), lambda i: pow(x.embedding[i]::DOUBLE - y.embedding[i]::DOUBLE, 2)))"
 
 

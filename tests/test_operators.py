@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from florilege.functions import sequence as seq
 from florilege.functions import text as tx
-from florilege.functions.similarity import _token_set, _wratio, ratio
+from florilege.functions.similarity import ratio, token_set_ratio, wratio
 from florilege.operators import aggregates as ag
 from florilege.operators import columns as co
 from florilege.operators import filters as fi
@@ -16,6 +16,7 @@ from florilege.operators import ontology as on
 from florilege.operators import sets as st
 from florilege.operators import statistics as stt
 from florilege.operators import windows as wi
+from florilege.operators.strings import similar_pairs
 from florilege.plans import catalogue
 from florilege.plans import composites as cp
 
@@ -140,17 +141,18 @@ def test_scalars(spark):
     assert row[0] == 53.5 and row[1] == 10 and row[2] == 1.0 and row[3] == "NNggc" and row[4] == 0 and round(row[5], 9) == 5
 
 
-def test_scorers():
-    assert ratio("", "") == 100 and ratio("abc", "abc") == 100 and ratio("a", "b") == 0
-    assert _token_set("new york", "york new city") == 100
-    assert _wratio("b a", "a b") >= 95
+def test_scorers(spark):
+    pairs = [("", ""), ("abc", "abc"), ("a", "b"), ("new york", "york new city"), ("b a", "a b")]
+    df = spark.createDataFrame(list(zip(range(5), *zip(*pairs), strict=False)), "i int, a string, b string")
+    got = df.select(*(f(F.col("a"), F.col("b")) for f in (ratio, token_set_ratio, wratio))).collect()
+    assert [r[0] for r in got[:3]] == [100, 100, 0]
+    assert got[3][1] == 100
+    assert got[4][2] >= 95
 
 
 def test_fuzzy_cascade_takes_the_first_rung(spark):
     queries = spark.createDataFrame([("lung disease",), ("disease of lungs",), ("nothing",)], "q string")
     vocab = spark.createDataFrame([("Lung Disease",), ("heart disease",)], "t string")
-    from florilege.functions.similarity import token_set_ratio
-
     out = rows(jo.fuzzy_cascade(queries, "q", [(vocab, "t", lambda a, b: tx.levenshtein_ratio(F.lower(a), F.lower(b)), 90.0), (vocab, "t", token_set_ratio, 60.0)]).select("query", "term", "rung"))
     assert out == [("disease of lungs", "Lung Disease", 2), ("lung disease", "Lung Disease", 1)]
 
@@ -232,7 +234,7 @@ def test_every_term_within_the_edits_is_found(spark):
     score = tx.levenshtein_ratio(F.col("query"), F.col("term"))
     for least in (80, 90):
         want = rows(queries.na.drop().crossJoin(terms.na.drop()).where(score >= least))
-        assert rows(jo.within_edits(queries.na.drop(), terms.na.drop(), least).where(score >= least)) == want and len(want) > 60
+        assert rows(similar_pairs(queries.na.drop(), terms.na.drop(), tx.levenshtein_ratio, least).select("query", "term")) == want and len(want) > 60
     found = rows(jo.fuzzy_cascade(queries, "query", [(terms, "term", tx.levenshtein_ratio, 90.0)]).select("query", "term"))
     assert ("tuberculosys", "tuberculosis") in found
 
