@@ -12,6 +12,7 @@ from florilege.operators import ontology as on
 from florilege.operators import statistics as stt
 from florilege.operators import windows as wi
 from florilege.operators.lineage import checkpointed
+from florilege.operators.neighbours import knn_of_vectors
 from florilege.plans.catalogue import query
 
 K, SIZE = 21, 1000
@@ -177,7 +178,13 @@ def t1_pair_distances(t):
 @query(f"""WITH p AS (SELECT x.vec_id AS a, y.vec_id AS b, sqrt({_SQ}) AS dist FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id < y.vec_id),
     r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS rank FROM (SELECT a, b, dist FROM p UNION ALL SELECT b, a, dist FROM p)) SELECT a, b, rank FROM r WHERE rank <= 3""")
 def w8_knn(t):
-    return wi.knn(stt.pair_distances(t.embeddings, "vec_id", "embedding", "label"), 3).select("a", "b", "rank")
+    return knn_of_vectors(t.embeddings, "vec_id", "embedding", 3, "label").select("a", "b", "rank")
+
+
+@query(f"""WITH p AS (SELECT x.vec_id AS a, y.vec_id AS b, sqrt({_SQ}) AS dist FROM embeddings x JOIN embeddings y ON x.vec_id <> y.vec_id)
+    SELECT a, b, round(dist, 5) AS dist, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS rank FROM p QUALIFY rank <= 5""")
+def w8_knn_all(t):
+    return knn_of_vectors(t.embeddings, "vec_id", "embedding", 5).withColumn("dist", F.round("dist", 5))
 
 
 def _market(t):
