@@ -37,14 +37,25 @@ def kmers(seq: Column, k: int) -> Column:
     return F.flatten(F.transform(F.transform(blocks, lambda b: F.substring(seq, b * BLOCK + 1, F.lit(BLOCK + k - 1))), cut))
 
 
-def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical: bool = True) -> Column:
+def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical: bool = True, numbers: bool = False) -> Column:
     """The ``s`` smallest distinct hashes of the k-mers, sorted; ``canonical`` takes the smaller of a k-mer and its reverse
-    complement."""
+    complement. With ``numbers`` the hashes' first 60 bits, in the same order.
+
+    Of a long sequence only hashes below a bound that half as many again as asked for are expected to keep are made
+    distinct and sorted; if too few are distinct, all are."""
 
     def hashed(m: Column) -> Column:
-        return F.md5(F.concat(F.lit(f"{seed}:"), F.least(m, reverse_complement(m)) if canonical else m))
+        text = F.md5(F.concat(F.lit(f"{seed}:"), F.least(m, reverse_complement(m)) if canonical else m))
+        return F.conv(F.substring(text, 1, 15), 16, 10).cast("long") if numbers else text
+
+    def smallest(h: Column) -> Column:
+        below = F.least((F.lit(1.5 * s + 50)) / F.size(h), F.lit(1.0)) * (1 << 32)
+        bound = below.cast("long") * (1 << 28) if numbers else F.lpad(F.lower(F.hex(below.cast("long"))), 8, "0")
+        some = lambda d: F.when(F.size(d) >= s, d).otherwise(F.array_distinct(h))
+        few = F.transform(F.array(F.array_distinct(F.filter(h, lambda x: x < bound))), some)[0]
+        return F.slice(F.sort_array(F.when(F.size(h) > 2 * s, few).otherwise(F.array_distinct(h))), 1, s)
 
-    return F.slice(F.sort_array(F.array_distinct(F.transform(kmers(seq, k), hashed))), 1, s)
+    return F.transform(F.array(F.transform(kmers(seq, k), hashed)), smallest)[0]
 
 
 def sketch_jaccard(a: Column, b: Column, s: int) -> Column:

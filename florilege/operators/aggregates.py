@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from florilege.operators.lineage import checkpointed
+from florilege.operators.windows import in_ranges, running_total
 
 
 def group_count(df: DataFrame, key: list[str], name: str = "n") -> DataFrame:
@@ -85,42 +86,27 @@ def argmax_by(df: DataFrame, key: list[str], value: str, payload: list[str]) ->
     return top.groupBy(*key, value).agg(F.min(F.struct(*payload)).alias("__p")).select(*key, value, "__p.*")
 
 
-#: Rows of a range of values that are ranked together, and ranges that are made at least.
-RANGE_ROWS, LEAST_RANGES = 1_000_000, 64
-
-
 def quantiles(df: DataFrame, value: Column, probabilities: dict[str, float], by: list[Column] | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``value`` by ``by``, a column each; nulls don't count.
 
-    Values are dealt to ranges, whose bounds are approximate percentiles. Their counts tell in which range of which group a
-    wanted rank lies, and only the rows of such ranges are ranked, each range by itself: no task sees a whole group, and
-    no map of all values is kept. Without ``by`` one row, of nulls for an empty table."""
+    Rows are counted by value first, so a value of most rows is one row from there on. The counted values are numbered by
+    ranges: a value covers the ranks of its rows, and a wanted rank is looked up among them. No task sees a whole group.
+    Without ``by`` one row, of nulls for an empty table."""
     keys = [f"__k{i}" for i in range(len(by or []))]
-    rows = df.select(*(c.alias(k) for c, k in zip(by or [], keys, strict=True)), value.cast("double").alias("v")).where("v is not null")
-    n = max(LEAST_RANGES, -(-rows.count() // RANGE_ROWS))
-    bounds = rows.agg(F.percentile_approx("v", [k / n for k in range(1, n)], 10 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    step = max(1, round(len(bounds) ** 0.5))
-    array = lambda b: F.array(*map(F.lit, b)) if b else F.array().cast("array<double>")
-    below = lambda some: F.size(F.filter(some, lambda b: b < F.col("v")))
-    rows = rows.withColumn("c", below(array(bounds[::step])))  # every so many bounds, then those between two of them
-    rows = rows.withColumn("r", F.when(F.col("c") == 0, 0).otherwise((F.col("c") - 1) * step + below(F.slice(array(bounds), (F.col("c") - 1) * step + 1, F.lit(step))))).drop("c")
-    counts = checkpointed(rows.groupBy(*keys, "r").agg(F.count("*").alias("m")))  # a row a group and range
-    before = W.partitionBy(*(keys or [F.lit(0)])).orderBy("r").rowsBetween(W.unboundedPreceding, -1)
-    total = F.sum("m").over(W.partitionBy(*(keys or [F.lit(0)])))
-    placed = counts.withColumns({"before": F.coalesce(F.sum("m").over(before), F.lit(0)), "n": total})
-    at = {p: (F.col("n") - 1) * F.lit(p) for p in probabilities.values()}
-    asked = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(x), F.ceil(x)) for x in at.values()))))
-    asked = F.filter(asked, lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("m")))
-    wanted = placed.withColumn("asked", asked).where(F.size("asked") > 0)
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys] + [F.col("l.r") == F.col("w.r")]
-    ranked = rows.alias("l").join(wanted.alias("w"), same).select("l.*", "before", "asked", "n")
-    rank = F.row_number().over(W.partitionBy(*keys, "r").orderBy("v")) - 1 + F.col("before")
-    found = ranked.withColumn("k", rank).where(F.array_contains("asked", F.col("k")))
-    value_at = lambda k: F.max(F.when(F.col("k") == k, F.col("v")))
-    low_high = [x for i, p in enumerate(probabilities.values()) for x in (value_at(F.floor(at[p])).alias(f"lo{i}"), value_at(F.ceil(at[p])).alias(f"hi{i}"))]
-    out = found.groupBy(*keys).agg(F.max("n").alias("n"), *low_high)
-    share = [at[p] - F.floor(at[p]) for p in probabilities.values()]
+    rows = df.select(*(c.alias(k) for c, k in zip(by or [], keys, strict=True)), value.cast("double").alias("v"), F.lit(0).alias("__all")).where("v is not null")
+    group = keys or ["__all"]
+    upto = running_total(in_ranges(rows.groupBy(*group, "v").agg(F.count("*").alias("m")), group, "v"), group, "v", "m", "upto")
+    upto = checkpointed(upto.select(*group, "v", "m", "upto"))
+    total = upto.groupBy(*group).agg(F.max("upto").alias("n"))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in group]
+    placed = upto.alias("l").join(total.alias("r"), same).select("l.*", "n")
+    at = [(F.col("n") - 1) * F.lit(p) for p in probabilities.values()]
+    holds = lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("m"))
+    ends = [end for x in at for end in (F.floor(x), F.ceil(x))]
+    found = placed.where(F.exists(F.array(*ends), holds))
+    value_at = [x for i, (lo, hi) in enumerate(zip(ends[::2], ends[1::2], strict=True)) for x in (F.max(F.when(holds(lo), F.col("v"))).alias(f"lo{i}"), F.max(F.when(holds(hi), F.col("v"))).alias(f"hi{i}"))]
+    out = found.groupBy(*keys).agg(F.max("n").alias("n"), *value_at)
+    share = [x - F.floor(x) for x in at]
     return out.select(*keys, *((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * x).alias(name) for i, (name, x) in enumerate(zip(probabilities, share, strict=True))))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from florilege.functions.text import normalize_term
 from florilege.operators.aggregates import assert_unique
 from florilege.operators.lineage import checkpointed
+from florilege.operators.neighbours import pairs_within
 from florilege.operators.strings import SCORERS, similar_pairs
 
 
@@ -88,10 +89,10 @@ def carry_forward(df: DataFrame, prev: DataFrame, key: str, cols: list[str], fla
 def group_pairs(df: DataFrame, keys: list[str], id_col: str, size: str) -> DataFrame:
     """Unordered pairs of rows that share a value of one of ``keys``: ``query`` is the smaller, ``subject`` the larger.
 
-    The pairs are the output, so groups should be small; null keys make no group."""
-    long = df.select(id_col, size, F.explode(F.array(*(F.struct(F.lit(k).alias("by"), F.col(k).cast("string").alias("value")) for k in keys))).alias("g")).where("g.value is not null")
-    a, b = (long.select("g", F.struct(F.col(size), F.col(id_col)).alias(n)) for n in ("x", "y"))
-    pairs = a.join(b, "g").where("x < y")
+    The pairs are the output, so groups should be small; a large one is dealt to blocks of pairs, see ``pairs_within``. Null
+    keys make no group."""
+    long = df.select(F.struct(F.col(size), F.col(id_col)).alias("row"), F.explode(F.array(*(F.struct(F.lit(k).alias("by"), F.col(k).cast("string").alias("value")) for k in keys))).alias("g")).where("g.value is not null")
+    pairs = pairs_within(long.select("g.by", "g.value", "row").distinct(), ["by", "value"], "row")
     return pairs.select(F.col(f"x.{id_col}").alias("query"), F.col(f"y.{id_col}").alias("subject")).distinct()
 
 
@@ -111,23 +112,38 @@ def proximity_dedup(df: DataFrame, part: list[str], start: str, stop: str, tol:
 
 
 def similarity_join(sketches: DataFrame, id_col: str, sketch: str, k: int, max_dist: float, s: int) -> DataFrame:
-    """Pairs ``(a, b, dist)`` of sorted hash arrays within ``max_dist``.
+    """Pairs ``(a, b, dist)`` of sorted arrays of distinct hashes within ``max_dist``.
 
-    At a cutoff with Jaccard t, two sketches share one of the first ``n - ceil(t n) + 1`` of the hashes of their union's
-    order, so only those prefixes are joined; the exact distance is then computed on the candidates."""
+    1. Equal sketches are one class, for which its smallest id stands: copies meet nobody twice.
+    2. At a cutoff with Jaccard t, two sketches share ``ceil(t n)`` of the ``n`` hashes of each, so they share one of any
+       ``n - ceil(t n) + 1`` of them. Those are the rarest: hashes of one sketch alone come first and meet nothing, and a
+       hash of very many sketches is used only where a sketch has no rarer ones left.
+    3. Sketches meet by these hashes, a hot one in blocks of pairs; the exact distance is computed for each pair once.
+
+    The result lists all pairs, those of copies too. Null ids and empty sketches are in no pair."""
     from math import exp
 
     from florilege.functions.sequence import sketch_distance
 
     t = exp(-k * max_dist) / (2 - exp(-k * max_dist))
-    sketches = checkpointed(sketches.select(id_col, sketch))  # read three times
-    n = F.size(sketch)
-    prefix = F.slice(sketch, F.lit(1), F.greatest(n - F.ceil(t * n).cast("int") + 1, F.lit(1)))
-    short = sketches.where(n > 0).select(F.col(id_col).alias("id"), F.explode(prefix).alias("h"))
-    pairs = short.alias("x").join(short.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    whole = sketches.select(F.col(id_col).alias("id"), F.col(sketch).alias("s"))
+    rows = sketches.select(F.col(id_col).alias("id"), F.col(sketch).alias("s")).where((F.size("s") > 0) & F.col("id").isNotNull())
+    rows = checkpointed(rows.withColumn("digest", F.md5(F.array_join(F.col("s").cast("array<string>"), ","))))  # read four times
+    members = checkpointed(rows.select("id", "digest").join(rows.groupBy("digest").agg(F.min("id").alias("first")), "digest").select("id", "first"))
+    whole = checkpointed(rows.join(members.where("id = first").select("id"), "id", "left_semi").select("id", "s"))
+    hashes = whole.select("id", F.explode("s").alias("h"))
+    counts = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    shared = hashes.join(counts, "h").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("shared"))  # at most s of a sketch
+    n = F.size("s")
+    keep = n - F.ceil(t * n - 1e-9).cast("int") + 1 - (n - F.size("shared"))
+    rare = whole.join(shared, "id").select("id", F.slice("shared", F.lit(1), F.greatest(keep, F.lit(0))).alias("rare"))
+    met = checkpointed(rare.select("id", F.explode("rare.h").alias("h")))
+    pairs = pairs_within(met, ["h"], "id").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     both = pairs.join(whole.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(whole.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", sketch_distance(F.col("sa"), F.col("sb"), k, s).alias("dist")).where(F.col("dist") <= max_dist)
+    near = both.select("a", "b", sketch_distance(F.col("sa"), F.col("sb"), k, s).alias("dist")).where(F.col("dist") <= max_dist)
+    left, right = members.select(F.col("first").alias("a"), F.col("id").alias("ia")), members.select(F.col("first").alias("b"), F.col("id").alias("ib"))
+    apart = near.join(left, "a").join(right, "b").select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "dist")
+    copies = pairs_within(members, ["first"], "id").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(0.0).alias("dist"))
+    return apart.union(copies)
 
 
 def canonical_pairs(pairs: DataFrame, a: str = "a", b: str = "b", payload: str = "dist") -> DataFrame:

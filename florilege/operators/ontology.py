@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 from florilege.operators.lineage import checkpointed
 
 
-def ancestors(edges: DataFrame, max_depth: int = 32) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """``(id, ancestor, depth)`` from ``edges(id, parent)``: every pair of a term and a term above it with the shortest
-    distance, and each term with itself at 0.
-
-    One join a level, at most ``max_depth``; a level's new pairs are kept in a checkpoint, so plans stay short and a
-    lost executor costs no earlier level. A cycle ends the search, since its pairs are known."""
-    up = edges.where("id is not null and parent is not null").select("id", "parent").distinct()
-    known = up.select("id").union(up.select("parent")).distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
-    new = up.select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    for d in range(2, max_depth + 2):
-        new = checkpointed(new.join(known, ["id", "ancestor"], "left_anti"))
-        if new.isEmpty():
-            break
-        known = known.union(new)
-        new = new.join(up.withColumnsRenamed({"id": "ancestor", "parent": "next"}), "ancestor").select("id", F.col("next").alias("ancestor"), F.lit(d).alias("depth")).distinct()
-    return known
+    distance, and each term with itself at 0. A cycle raises.
+
+    Pointers are doubled: once all pairs up to a distance m are known, those at m joined with all from 1 to m give the
+    pairs up to 2m, since each shortest way passes a term at distance m. So rounds grow with the logarithm of the depth,
+    which has no limit. Each round's pairs are a written table; a term that meets itself is on a cycle."""
+    up = edges.where("id is not null and parent is not null").select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
+    known, far = checkpointed(up), 1
+    ends = known.select("id").union(known.select("ancestor")).distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
+    while True:
+        if (loop := known.where("id = ancestor").first()) is not None:
+            raise ValueError(f"{loop.id} is its own ancestor")
+        last = known.where(F.col("depth") == far)
+        if last.isEmpty():
+            return known.union(ends)
+        steps = known.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("depth").alias("more"))
+        found = last.select("id", "ancestor").join(steps, "ancestor").groupBy("id", F.col("next").alias("ancestor")).agg((F.min("more") + far).alias("depth"))
+        new = checkpointed(found.join(known, ["id", "ancestor"], "left_anti"))
+        known, far = known.union(new), 2 * far
 
 
 def ancestor_levels(ids: DataFrame, key: str, id_col: str, closure: DataFrame, levels: list[int], sep: str = ",") -> DataFrame:

@@ -55,7 +55,7 @@ NEAR_PAIRS = f"""WITH k AS (SELECT doc_id AS item_id, list_slice(list_sort(list_
 
 @query(NEAR_PAIRS)
 def j12_similarity_join(t):
-    s = t.documents.where(F.length("text") >= K).select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False).alias("s"))
+    s = t.documents.where(F.length("text") >= K).select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False, numbers=True).alias("s"))
     return jo.similarity_join(s, "doc_id", "s", K, MAX_DIST, SIZE).withColumn("dist", F.round("dist", 8))
 
 
