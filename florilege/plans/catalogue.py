@@ -48,7 +48,7 @@ def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], C
 
 
 def queries() -> dict[str, Query]:
-    from florilege.plans import composites, models  # noqa: F401  (they register their queries)
+    from florilege.plans import composites, exchange, models  # noqa: F401  (they register their queries)
 
     return dict(_QUERIES)
 

@@ -215,6 +215,13 @@ def t2_permanova(t):
     return stt.permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label")).select(F.round("f", 6).alias("f"), F.round("r2", 6).alias("r2"))
 
 
+@query()
+def t2_permanova_given(t):
+    """The test of ``t2_permanova`` by a given table of distances, with its p from 10,000 permutations."""
+    rows = checkpointed(_cells(t))
+    return stt.permanova(stt.pair_distances(rows, "id", "vec"), rows.select("id", "label"), n_perm=10000)
+
+
 @query(f"""{_FEATURES}, c AS (SELECT label, count(*) AS m, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v GROUP BY 1), g AS (SELECT avg(x) AS gx, avg(y) AS gy, avg(z) AS gz FROM v),
     w AS (SELECT sum(pow(x - gx, 2) + pow(y - gy, 2) + pow(z - gz, 2)) AS st, sum(pow(x - cx, 2) + pow(y - cy, 2) + pow(z - cz, 2)) AS sw FROM v JOIN c ON v.label = c.label, g)
     SELECT round(((st - sw) / ((SELECT count(*) FROM c) - 1)) / (sw / ((SELECT count(*) FROM v) - (SELECT count(*) FROM c))), 6) AS f, round((st - sw) / st, 6) AS r2 FROM w""")

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.operators.columns import NULL_TOKENS, normalize_nulls
@@ -36,39 +32,47 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.trim(F.regexp_extract(head, r"^\S+\s*(.*?)\r?$", 1)).alias("description"), body.alias("seq")).where("id <> ''")
 
 
-def _location(text: str) -> tuple[int, int, int]:
-    numbers = [int(n) for n in re.findall(r"\d+", text)]
-    return (min(numbers, default=0), max(numbers, default=0), -1 if "complement" in text else 1)
+def _features(table: Column) -> Column:
+    """The feature table's lines as structs; qualifiers that repeat keep all their values."""
 
+    def feature(block: Column) -> Column:
+        parts = F.split(F.trim(block), r"\n\s+/")
+        kind = F.split_part(parts[0], F.lit(" "), F.lit(1))
+        place = F.regexp_replace(F.substring(parts[0], F.length(kind) + 1, F.length(parts[0])), r"\s", "")
+        numbers = F.transform(F.regexp_extract_all(place, F.lit(r"\d+"), F.lit(0)), lambda n: n.cast("long"))
 
-def _record(text: str) -> dict | None:
-    if not (m := re.search(r"^LOCUS\s+(\S+)", text, re.M)):
-        return None
-    accession = re.search(r"^VERSION\s+(\S+)", text, re.M)
-    definition = re.search(r"^DEFINITION\s+(.*(?:\n {12}.*)*)", text, re.M)
-    origin = re.search(r"^ORIGIN.*\n((?:.|\n)*)", text, re.M)
-    features, table = [], re.search(r"^FEATURES.*\n((?: .*\n?)*)", text, re.M)
-    for block in re.split(r"\n(?= {5}\S)", table[1].rstrip("\n")) if table else []:
-        kind, _, rest = block.strip().partition(" ")
-        parts = re.split(r"\n\s+/", rest.strip())
-        start, end, strand = _location(re.sub(r"\s", "", parts[0]))
-        qualifiers: dict[str, list[str]] = {}
-        for q in parts[1:]:
-            name, _, value = q.partition("=")
-            qualifiers.setdefault(name.strip(), []).append(re.sub(r"\s*\n\s*", " " if name != "translation" else "", value).strip('"'))
-        features.append({"type": kind, "start": start, "end": end, "strand": strand, "qualifiers": qualifiers})
-    return {"id": accession[1] if accession else m[1], "description": re.sub(r"\s*\n\s*", " ", definition[1]).rstrip(".") if definition else None, "seq": re.sub(r"[^A-Za-z]", "", origin[1]).upper() if origin else "", "features": features}
+        def qualifier(q: Column) -> Column:
+            name = F.split_part(q, F.lit("="), F.lit(1))
+            value = F.regexp_replace(F.substring(q, F.length(name) + 2, F.length(q)), r"[^\S\n]*+\n\s*+", "\n")
+            value = F.when(F.trim(name) == "translation", F.replace(value, F.lit("\n"), F.lit(""))).otherwise(F.replace(value, F.lit("\n"), F.lit(" ")))
+            return F.struct(F.trim(name).alias("name"), F.btrim(value, F.lit('"')).alias("value"))
 
+        pairs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), qualifier)
+        names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
+        values = F.transform(names, lambda n: F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]))
+        return F.struct(
+            kind.alias("type"), F.coalesce(F.array_min(numbers), F.lit(0)).cast("long").alias("start"), F.coalesce(F.array_max(numbers), F.lit(0)).cast("long").alias("end"),
+            F.when(place.contains("complement"), -1).otherwise(1).alias("strand"), F.map_from_arrays(names, values).alias("qualifiers"),
+        )
 
-def read_annotated(spark: SparkSession, path: str) -> DataFrame:
-    """Flat-file records ended by ``//``: ``(id, description, seq, features)``, features with multimaps of qualifiers."""
+    return F.when(F.trim(table) == "", F.array().cast(FEATURES)).otherwise(F.transform(F.split(F.regexp_replace(table, r"\n++$", ""), r"\n(?= {5}\S)"), feature))
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [r for r in map(_record, batch["value"]) if r]
-            yield pd.DataFrame(rows, columns=["id", "description", "seq", "features"])
 
-    return spark.read.option("lineSep", "\n//\n").text(path).mapInPandas(parse, f"id string, description string, seq string, features {FEATURES}")
+def read_annotated(spark: SparkSession, path: str) -> DataFrame:
+    """Flat-file records ended by ``//``: ``(id, description, seq, features)``, features with multimaps of qualifiers.
+
+    Spark splits files at records by ranges of bytes, so one large file is read by many tasks. Columns are expressions:
+    what is not asked for is not parsed, and a filter on the id is applied before the rest. Text without a LOCUS is left out."""
+    text = spark.read.option("lineSep", "\n//\n").text(path)
+    locus, version = (F.regexp_extract("value", rf"(?m)^{word}\s++(\S++)", 1) for word in ("LOCUS", "VERSION"))
+    title = F.regexp_extract("value", r"(?m)^DEFINITION\s++(.*+(?:\n {12}.*+)*+)", 1)
+    table = F.regexp_extract("value", r"(?m)^FEATURES.*+\n((?: .*+\n?+)*+)", 1)
+    origin = F.regexp_instr("value", F.lit(r"(?m)^ORIGIN"))
+    letters = F.regexp_replace(F.regexp_replace(F.substring("value", origin, F.length("value")), r"^[^\n]*+", ""), "[^A-Za-z]", "")
+    return text.where(locus != "").select(
+        F.coalesce(F.nullif(version, F.lit("")), locus).alias("id"), F.regexp_replace(F.regexp_replace(F.nullif(title, F.lit("")), r"[^\S\n]*+\n\s*+", " "), r"\.+$", "").alias("description"),
+        F.when(origin > 0, F.upper(letters)).otherwise("").alias("seq"), _features(table).alias("features"),
+    )
 
 
 def feature_rows(records: DataFrame) -> DataFrame:
@@ -99,3 +103,9 @@ def read_ontology(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 def flatten_json(df: DataFrame, col: str, schema: str) -> DataFrame:
     """``df`` with the fields of a JSON column; null where the text is no such object."""
     return df.withColumn("__json", F.from_json(col, schema)).select(*df.columns, "__json.*")
+
+
+def read_published(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of the release that ``publish`` made current last."""
+    pointer = spark.read.text(f"{path}/CURRENT").first()  # one line
+    return spark.read.parquet(f"{path}/releases/{pointer.value}/{name}")

@@ -1,5 +1,8 @@
 """Sources, sinks and incremental ingest."""
 
+import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
 from florilege.sources import readers as rd
@@ -69,7 +72,49 @@ def test_sinks(spark, tmp_path):
     js = wr.to_feature_json(df.select("k", "n"), df.select("k", F.lit(1).alias("p")), "k").where("k = 'k2'").first().json
     assert js == '{"features":[{"n":3}],"plots":[{"p":1}]}'
     wr.publish(spark, {"x": df}, f"{tmp_path}/cat")
-    assert spark.read.parquet(f"{tmp_path}/cat/x").count() == 2
+    assert rd.read_published(spark, f"{tmp_path}/cat", "x").count() == 2
+
+
+def test_a_failed_release_leaves_the_one_before(spark, tmp_path):
+    path, good = f"{tmp_path}/cat", spark.createDataFrame([(1, 1), (2, None)], "k int, up int")
+    first = wr.publish(spark, {"x": good, "y": good.select("k")}, path, {"x": ["k"]}, [("x", "up", "y", "k")])
+    broken = good.withColumn("k", F.when(F.col("k") > 0, F.raise_error(F.lit("broken"))).otherwise(F.col("k")))
+    repeated, orphan = good.union(good), spark.createDataFrame([(1, 7)], "k int, up int")
+    for bad, says in ((broken, "broken"), (repeated, "x unique by k: 2"), (orphan, "x.up in y.k: 1"), (spark.createDataFrame([(None, 1)], "k int, up int"), "x unique by k: 1")):
+        with pytest.raises(Exception, match=says):
+            wr.publish(spark, {"y": good.select("k"), "x": bad}, path, {"x": ["k"]}, [("x", "up", "y", "k")])
+        assert sorted(map(tuple, rd.read_published(spark, path, "x").collect()), key=str) == [(1, 1), (2, None)]
+        assert [p.name for p in (tmp_path / "cat" / "releases").iterdir()] == [first]
+    for k in range(3):  # from the release that is replaced
+        last = wr.publish(spark, {"x": rd.read_published(spark, path, "x").withColumn("k", F.col("k") + 1)}, path)
+    assert sorted(r.k for r in rd.read_published(spark, path, "x").collect()) == [4, 5]
+    assert len(list((tmp_path / "cat" / "releases").iterdir())) == 2 and (tmp_path / "cat" / "CURRENT").read_text() == last
+
+
+def test_one_file_of_many_records_is_read_by_several_tasks(spark, tmp_path):
+    (tmp_path / "many.gb").write_text("".join(RECORD.replace("AB01", f"R{k}") for k in range(300)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        df = rd.read_annotated(spark, f"{tmp_path}/many.gb")
+        assert df.rdd.getNumPartitions() > 3
+        assert sorted(r.id for r in df.collect()) == sorted(f"R{k}.1" for k in range(300))
+        plan = df.where("id = 'R7.1'").select("description")._jdf.queryExecution().optimizedPlan().toString()
+        assert "ORIGIN" not in plan and "complement" not in plan and plan.index("Filter") > plan.index("Project")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_annotated_records_with_odd_parts(spark, tmp_path):
+    many = "".join(f"            line {k}\n" for k in range(3000))
+    long_ = f"LOCUS       L1 9 bp\nDEFINITION  start\n{many}VERSION     L1.1\nFEATURES             Location/Qualifiers\n" + "".join(f"     gene            {k}..{k + 1}\n                     /locus_tag=\"t{k}\"\n                     /pseudo\n" for k in range(2000)) + "ORIGIN\n        1 acgt\n//\n"
+    cds = 'LOCUS       T1\nFEATURES             Location/Qualifiers\n     CDS             join(5..9,\n                     20..30)\n                     /translation="MK\n                     LV"\n                     /note="two\n                     lines"\n//\n'
+    (tmp_path / "odd.gb").write_text(long_ + "no record\n//\n" + cds)
+    got = {r.id: r for r in rd.read_annotated(spark, f"{tmp_path}/odd.gb").collect()}
+    assert got.keys() == {"L1.1", "T1"}
+    assert len(got["L1.1"].features) == 2000 and got["L1.1"].description.endswith("line 2999") and got["L1.1"].features[5].qualifiers == {"locus_tag": ["t5"], "pseudo": [""]}
+    f = got["T1"].features[0]
+    assert (f.type, f.start, f.end, f.strand, f.qualifiers) == ("CDS", 5, 30, 1, {"translation": ["MKLV"], "note": ["two lines"]}) and got["T1"].seq == "" and got["T1"].description is None
 
 
 def test_ingest_skips_known_keys(spark, tmp_path):
@@ -80,3 +125,37 @@ def test_ingest_skips_known_keys(spark, tmp_path):
     assert ingest_batches(spark, *args) == 2
     spark.createDataFrame([(2, "b"), (3, "c")], "k int, v string").write.mode("append").parquet(f"{tmp_path}/in/b0")
     assert ingest_batches(spark, *args) == 3
+
+
+def test_ingest_of_repeated_and_broken_batches(spark, tmp_path):
+    import shutil
+
+    put = lambda rows, k: spark.createDataFrame(rows, "k int, v string, at timestamp").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    day = lambda d: datetime.datetime(2024, 1, d)
+    args = (spark, f"{tmp_path}/in/*", "k int, v string, at timestamp", ["k"], f"{tmp_path}/out", f"{tmp_path}/cp")
+    out = lambda: sorted(((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/out").collect()), key=str)
+    put([(1, "a", day(1)), (1, "b", day(1)), (None, "n", day(1)), (None, "m", day(1))], 0)
+    assert ingest_batches(*args) == 2 and out() == [(1, "a"), (None, "m")]
+    assert ingest_batches(*args) == 2
+    put([(1, "z", day(2)), (2, "c", day(2)), (None, "q", day(2))], 1)
+    assert ingest_batches(*args) == 3
+    # a run that broke after its rows were written and before it was committed
+    (tmp_path / "cp" / "commits" / "1").unlink()
+    for crc in (tmp_path / "cp" / "commits").glob(".1.crc"):
+        crc.unlink()
+    assert ingest_batches(*args) == 3 and out() == [(1, "a"), (2, "c"), (None, "m")]
+    # a lost checkpoint of the stream: all files come again
+    for part in ("commits", "offsets", "sources", "metadata"):
+        path = tmp_path / "cp" / part
+        shutil.rmtree(path) if path.is_dir() else path.unlink()
+    for crc in (tmp_path / "cp").glob(".metadata.crc"):
+        crc.unlink()
+    assert ingest_batches(*args) == 3 and len(out()) == 3
+
+
+def test_ingest_forgets_old_keys(spark, tmp_path):
+    args = (spark, f"{tmp_path}/in/*", "k int, at timestamp", ["k"], f"{tmp_path}/out", f"{tmp_path}/cp", "at", "2 days")
+    for n, (k, d) in enumerate([(1, 1), (1, 2), (2, 9), (1, 9)]):
+        spark.createDataFrame([(k, datetime.datetime(2024, 1, d))], "k int, at timestamp").write.parquet(f"{tmp_path}/in/{n}")
+        total = ingest_batches(*args)
+    assert total == 3  # on day 9 key 1 is new again

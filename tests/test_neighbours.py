@@ -99,3 +99,25 @@ def test_ancestors_by_several_ways_and_on_a_cycle(spark):
         with pytest.raises(ValueError, match="ancestor"):
             on.ancestors(spark.createDataFrame(edges + loop, "id string, parent string"))
     assert on.ancestors(spark.createDataFrame([], "id string, parent string")).count() == 0
+
+
+def test_permutations_of_a_given_distance_table(spark):
+    """10,000 permutations on the cells of markets: p as in the vector form, F as in SQL's sums."""
+    from florilege.operators import statistics as stt
+    from florilege.plans import models
+    from florilege.plans.catalogue import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    given = models.t2_permanova_given(t).first()
+    rows = models._cells(t).cache()
+    vectors = stt.permanova_of_vectors(rows, "id", "vec", "label", n_perm=10000).first()
+    assert abs(given.f - vectors.f) < 1e-9 and abs(given.r2 - vectors.r2) < 1e-9 and abs(given.p - vectors.p) < 0.02
+    # groups that lie apart, and equal ones
+    df = spark.createDataFrame([(i, "ab"[i % 2], [float(i % 2), i * 0.001]) for i in range(16)], "id int, label string, vec array<double>")
+    pairs = stt.pair_distances(df, "id", "vec")
+    far = stt.permanova(pairs, df.select("id", "label"), n_perm=2000).first()
+    assert far.p < 0.01
+    flat = stt.permanova(pairs, df.select("id", F.when(F.col("id") < 8, "a").otherwise("b").alias("label")), n_perm=2000).first()
+    assert flat.p > 0.5
+    several = {(r.group1, r.group2): r for r in stt.pairwise_permanova(pairs, df.select("id", F.concat("label", (F.col("id") % 4).cast("string")).alias("label")), n_perm=500).collect()}
+    assert len(several) == 6 and several[("a0", "b1")].p < 0.1 < several[("a0", "a2")].p
