@@ -146,6 +146,19 @@ def similarity_join(sketches: DataFrame, id_col: str, sketch: str, k: int, max_d
     return apart.union(copies)
 
 
+def all_distances(sketches: DataFrame, id_col: str, sketch: str, k: int, s: int) -> DataFrame:
+    """``(a, b, dist)`` of all pairs of sketches that share a hash, each once; all others are at distance 1.
+
+    Its rows may be as many as all pairs, so it is for collections of bounded size; a hash of many sketches is dealt to
+    blocks. Null ids are in no pair."""
+    from florilege.functions.sequence import sketch_distance
+
+    rows = checkpointed(sketches.select(F.col(id_col).alias("id"), F.col(sketch).alias("s")).where(F.col("id").isNotNull()))
+    pairs = pairs_within(rows.select("id", F.explode("s").alias("h")), ["h"], "id").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    both = pairs.join(rows.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(rows.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    return both.select("a", "b", sketch_distance(F.col("sa"), F.col("sb"), k, s).alias("dist"))
+
+
 def canonical_pairs(pairs: DataFrame, a: str = "a", b: str = "b", payload: str = "dist") -> DataFrame:
     """One row an unordered pair, self pairs dropped; of several values the smallest."""
     return pairs.where(F.col(a) != F.col(b)).groupBy(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).agg(F.min(payload).alias(payload))

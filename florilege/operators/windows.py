@@ -31,9 +31,9 @@ def tie_count(df: DataFrame, group: list[str], criteria: list[str], tiebreak: st
 
 
 def cumulative_share(df: DataFrame, part: list[str], order: list[Column], value: str) -> DataFrame:
-    """Running total of ``value`` and its percentage of the partition's total."""
+    """Running total of ``value`` and its percentage of the partition's total, null where that is 0."""
     w = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn("running", F.sum(value).over(w)).withColumn("cum_percent", 100 * F.col("running") / F.sum(value).over(W.partitionBy(*part)))
+    return df.withColumn("running", F.sum(value).over(w)).withColumn("cum_percent", F.try_divide(100 * F.col("running"), F.sum(value).over(W.partitionBy(*part))))
 
 
 def dedup_keep_first(df: DataFrame, cols: list[str], order: list[str | Column]) -> DataFrame:

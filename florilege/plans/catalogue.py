@@ -506,9 +506,9 @@ def w2_tie_count(t):
     return wi.tie_count(t.orders, ["o_custkey"], ["o_orderpriority"], "o_orderkey").select("o_custkey", "o_orderkey", "tied")
 
 
-@query("""SELECT conv_id, turn, sum(length(text)) OVER w::BIGINT AS running, round(100.0 * sum(length(text)) OVER w / sum(length(text)) OVER (PARTITION BY conv_id), 6) AS cum_percent FROM conversations WHERE length(text) > 0 WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)""")
+@query("""WITH c AS (SELECT *, coalesce(length(text), 0) AS n FROM conversations) SELECT conv_id, turn, sum(n) OVER w::BIGINT AS running, round(100.0 * sum(n) OVER w / nullif(sum(n) OVER (PARTITION BY conv_id), 0), 6) AS cum_percent FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING)""")
 def w3_cumulative_share(t):
-    rows = t.conversations.where("length(text) > 0").withColumn("n", F.length("text"))
+    rows = t.conversations.withColumn("n", F.coalesce(F.length("text"), F.lit(0)))
     out = wi.cumulative_share(rows, ["conv_id"], [F.col("turn"), F.col("role"), F.col("text")], "n")
     return out.select("conv_id", "turn", "running", F.round("cum_percent", 6).alias("cum_percent"))
 

@@ -19,7 +19,7 @@ from florilege.operators import sets as st
 from florilege.operators import windows as wi
 from florilege.operators.lineage import checkpointed
 from florilege.plans.catalogue import query
-from florilege.plans.models import K, MAX_DIST, NEAR_PAIRS, SIZE, edges
+from florilege.plans.models import K, MAX_DIST, NEAR_ALL, NEAR_PAIRS, SIZE, edges
 
 
 def metadata_filter(records: DataFrame, dims: dict[str, tuple[DataFrame, str, str]], key: str, duplicate_of: str, description: str, regex: str, tags: tuple[str, str, str, str]) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -114,7 +114,13 @@ def feature_tables(features: DataFrame, overlay: DataFrame, records: DataFrame,
     name = tx.resolve_name(F.col("type"), F.col("gene"), F.col("product"), F.col("locus_tag"), ("hypothetical protein",), ())
     named = merged.withColumn("name", F.when(F.col("type").isin(*kinds), name).otherwise(""))
     proteins = merged.where(F.col("translation").isNotNull()).select(F.col("protein_id").alias("id"), F.col("id").alias("description"), F.col("translation").alias("seq"))
-    return named, records.select("id", F.round(seq.gc_fraction(F.col("seq")), 6).alias("gc"), F.length("seq").cast("long").alias("length")), proteins
+    return named, record_table(records), proteins
+
+
+def record_table(records: DataFrame) -> DataFrame:
+    """GC content and length of each record, and its topology where the records have one."""
+    shape = ["topology"] if "topology" in records.columns else []
+    return records.select("id", F.round(seq.gc_fraction(F.col("seq")), 6).alias("gc"), F.length("seq").cast("long").alias("length"), *shape)
 
 
 def annotate_terms(rows: DataFrame, key: str, cols: list[str], mapping: DataFrame, query: str, value: str, prev: DataFrame, closure: DataFrame) -> DataFrame:
@@ -128,6 +134,20 @@ def annotate_terms(rows: DataFrame, key: str, cols: list[str], mapping: DataFram
     return jo.carry_forward(out, prev, key, ["ids"], "check")
 
 
+def annotate_locations(rows: DataFrame, key: str, sources: list[tuple[str, str]], lat: str, query_col: str, corrections: DataFrame, before: str, after: str, tag: str = "location") -> DataFrame:
+    """C9, locations: rows without a place whose tags say that a query names one. ``sources`` are the pairs (tags, query) to
+    look in, the first one that has ``tag`` counts; ``check`` marks the row for review, its query becomes ``query_col``, in
+    its curated form where there is one. Rows that have a place, or no such tag, keep their query."""
+    flags = [f"__tag{k}" for k in range(len(sources))]
+    out = ag.assert_unique(rows, [key])
+    for name, (tags, _) in zip(flags, sources, strict=True):
+        out = fi.flag_tag(out, tags, tag, name)
+    check = F.col(lat).isNull() & F.greatest(*(F.col(f) for f in flags), F.lit(False))
+    found = F.coalesce(*(F.when(F.col(f), F.struct(F.col(q).alias("q"))) for f, (_, q) in zip(flags, sources, strict=True)))
+    out = out.withColumn("check", check).withColumn(query_col, F.when(F.col("check"), found["q"]).otherwise(F.col(query_col))).drop(*flags)
+    return jo.apply_corrections(out, query_col, corrections, before, after)
+
+
 def final_table(records: DataFrame, dim: DataFrame, key: str, on: str, number: str, status: str, absent: str) -> DataFrame:
     """Records, unique by ``key``, with a dimension's columns; a missing ``number`` is -1, a missing ``status`` is ``absent``."""
     joined = jo.validated_join(ag.assert_unique(records, [key]), dim, [on], validate="m:1")
@@ -331,6 +351,19 @@ def c9_annotate_terms(t):
     return annotate_terms(named, "c_custkey", ["region", "nation"], mapping, "q", "term_id", prev, on.ancestors(edges(t)))
 
 
+@query("""WITH u AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags, max(value) AS top FROM events GROUP BY 1), r AS (SELECT user_id, tags LIKE '%error%' AS a, tags LIKE '%view%' AS b, CASE WHEN top > 90 THEN top END AS lat, n1.n_name AS q1, lower(n2.n_name) AS q2 FROM u JOIN nation n1 ON n1.n_nationkey = user_id % 25 JOIN nation n2 ON n2.n_nationkey = user_id % 23),
+    c AS (SELECT user_id, lat IS NULL AND (a OR b) AS "check", CASE WHEN lat IS NULL AND a THEN q1 WHEN lat IS NULL AND b THEN q2 ELSE 'known' END AS q FROM r) SELECT user_id, coalesce(r_name, q) AS location_query, "check" FROM c LEFT JOIN (SELECT n_name, any_value(r_name) AS r_name FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1) ON q = n_name""")
+def c9_annotate_locations(t):
+    """Users without a place: the tags of their events tell whether one of two names is looked up."""
+    tags = ag.distinct_list(t.events, "user_id", "event_type").select("user_id", F.replace(F.replace("items", F.lit("error"), F.lit("location")), F.lit("view"), F.lit("other")).alias("eco"), F.replace("items", F.lit("view"), F.lit("location")).alias("dis"))
+    top = t.events.groupBy("user_id").agg(F.max("value").alias("top"))
+    name = lambda k, as_: t.nation.select(F.col("n_nationkey").alias(f"k{k}"), as_.alias(f"q{k}"))
+    rows = tags.join(top, "user_id").withColumn("lat", F.when(F.col("top") > 90, F.col("top"))).join(name(1, F.col("n_name")), F.col("user_id") % 25 == F.col("k1")).join(name(2, F.lower("n_name")), F.col("user_id") % 23 == F.col("k2"))
+    curated = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    out = annotate_locations(rows.withColumn("location_query", F.lit("known")), "user_id", [("eco", "q1"), ("dis", "q2")], "lat", "location_query", curated, "n_name", "r_name")
+    return out.select("user_id", "location_query", "check")
+
+
 @query("SELECT o_orderkey, o_custkey, coalesce(c_nationkey, -1) AS nation_id, CASE WHEN c_custkey IS NULL THEN 'orphan' ELSE 'public' END AS status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def c10_final_table(t):
     dim = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_id"), F.lit("public").alias("status"))
@@ -398,6 +431,15 @@ def c15_similarity_database(t):
     return pairs.withColumn("dist", F.round("dist", 8))
 
 
+@query(NEAR_ALL)
+def c15_all_distances(t):
+    """The long form: the distances of all conversations that share a k-mer's hash."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    texts = t.conversations.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda x: x["text"]), " ").alias("text"))
+    s = texts.where(F.length("text") >= K).select("conv_id", seq.sketch(F.col("text"), K, SIZE, canonical=False, numbers=True).alias("s"))
+    return jo.all_distances(s, "conv_id", "s", K, SIZE).withColumn("dist", F.round("dist", 8))
+
+
 @query("SELECT DISTINCT d.source, d.lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL")
 def c16_review_queue(t):
     rows = t.documents.join(t.labels, "doc_id", "left").withColumn("check", F.col("quality").isNull())

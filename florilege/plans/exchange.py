@@ -51,6 +51,25 @@ def s5_feature_rows(t):
     return rows.select("id", "type", "start", "end", "strand", F.col("qualifiers")["gene"][0].alias("gene"), F.array_join(F.col("qualifiers")["note"], "|").alias("notes"))
 
 
+@query("""SELECT 'o' || l_orderkey AS id, l_returnflag AS gene, NULL::VARCHAR AS product, NULL::VARCHAR AS locus_tag, strftime(l_shipdate, '%Y-%m-%d') AS note, least(l_partkey, l_suppkey)::BIGINT AS start, greatest(l_partkey, l_suppkey)::BIGINT AS "end", CASE WHEN l_partkey > l_suppkey THEN -1 ELSE 1 END AS strand FROM lineitem""")
+def c8_qualifiers(t):
+    """The qualifiers of all line items, read from annotated records."""
+    wr.write_annotated(_records(t), path := _folder(t, "flat"))
+    return rd.qualifier_table(rd.read_annotated(t.spark, path), ("gene", "product", "locus_tag", "note"))
+
+
+@query("""WITH o AS (SELECT 'o' || o_orderkey AS id, upper(regexp_replace(o_orderpriority, '[^A-Za-z]', '', 'g')) AS s, CASE o_orderstatus WHEN 'F' THEN 'circular' WHEN 'O' THEN 'linear' END AS topology FROM orders),
+    n AS (SELECT *, length(regexp_replace(s, '[^GCS]', '', 'g')) AS gc, length(regexp_replace(s, '[^GCSATWU]', '', 'g')) AS n FROM o) SELECT id, round(CASE WHEN n = 0 THEN 0 ELSE gc / n END, 6) AS gc, length(s) AS length, topology FROM n""")
+def c8_topology(t):
+    """GC content, length and topology of all orders' records."""
+    from florilege.plans.composites import record_table
+
+    shape = F.when(F.col("o_orderstatus") == "F", "circular").when(F.col("o_orderstatus") == "O", "linear")
+    rows = _records(t).join(t.orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), shape.alias("topology")), "id")
+    wr.write_annotated(rows, path := _folder(t, "flat"))
+    return record_table(rd.read_annotated(t.spark, path))
+
+
 @query("SELECT l_orderkey AS query, l_partkey AS subject, l_extendedprice AS score FROM lineitem")
 def s6_read_hits(t):
     path = _folder(t, "hits")

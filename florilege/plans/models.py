@@ -53,6 +53,10 @@ NEAR_PAIRS = f"""WITH k AS (SELECT doc_id AS item_id, list_slice(list_sort(list_
     p AS (SELECT a, b, x.s AS sa, y.s AS sb FROM c JOIN k x ON a = x.item_id JOIN k y ON b = y.item_id), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d WHERE dist <= {MAX_DIST}"""
 
 
+NEAR_ALL = f"""WITH c AS (SELECT conv_id AS item_id, string_agg(text, ' ' ORDER BY turn, role, text) AS text FROM conversations GROUP BY 1), k AS (SELECT item_id, list_slice(list_sort(list_distinct(list_transform(range(1, length(text) - {K - 2}), lambda i: md5('123:' || substr(text, i, {K}))))), 1, {SIZE}) AS s FROM c WHERE length(text) >= {K}),
+    p AS (SELECT x.item_id AS a, y.item_id AS b, x.s AS sa, y.s AS sb FROM k x JOIN k y ON x.item_id < y.item_id AND list_has_any(x.s, y.s)), {_DISTANCE} SELECT a, b, round(dist, 8) AS dist FROM d"""
+
+
 @query(NEAR_PAIRS)
 def j12_similarity_join(t):
     s = t.documents.where(F.length("text") >= K).select("doc_id", seq.sketch(F.col("text"), K, SIZE, canonical=False, numbers=True).alias("s"))
@@ -106,12 +110,12 @@ def g5_lineage_table(t):
     return on.lineage_table(ids, "id", on.ancestors(edges(t)), terms, ["nation", "region"])
 
 
-@query(f"""WITH {_EDGES}, i AS (SELECT c_mktsegment AS key, 'c' || c_custkey AS term FROM customer WHERE c_custkey % 3 = 0 UNION SELECT c_mktsegment, 'n' || c_nationkey FROM customer WHERE c_nationkey < 12)
+@query(f"""WITH {_EDGES}, i AS (SELECT DISTINCT c_mktsegment AS key, CASE WHEN c_acctbal >= 0 THEN 'c' || c_custkey ELSE 'n' || c_nationkey END AS term FROM customer)
     SELECT key, term FROM i WHERE NOT EXISTS (SELECT 1 FROM i j JOIN cl ON j.term = cl.id AND cl.id <> cl.ancestor WHERE j.key = i.key AND cl.ancestor = i.term)""")
 def j17_reduce_to_leaves(t):
-    ids = t.customer.where("c_custkey % 3 = 0").select(F.col("c_mktsegment").alias("key"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("term"))
-    ids = ids.union(t.customer.where("c_nationkey < 12").select("c_mktsegment", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))))
-    return jo.reduce_to_leaves(ids, on.ancestors(edges(t)), "key", "term")
+    """Customers stand for themselves, those in debt for their nation, which stays where it is no other one's."""
+    term = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).otherwise(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    return jo.reduce_to_leaves(t.customer.select(F.col("c_mktsegment").alias("key"), term.alias("term")), on.ancestors(edges(t)), "key", "term")
 
 
 def _lcs_sql(a: str, b: str) -> str:

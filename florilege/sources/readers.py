@@ -59,7 +59,7 @@ def _features(table: Column) -> Column:
 
 
 def read_annotated(spark: SparkSession, path: str) -> DataFrame:
-    """Flat-file records ended by ``//``: ``(id, description, seq, features)``, features with multimaps of qualifiers.
+    """Flat-file records ended by ``//``: ``(id, description, seq, features, topology)``, features with multimaps of qualifiers.
 
     Spark splits files at records by ranges of bytes, so one large file is read by many tasks. Columns are expressions:
     what is not asked for is not parsed, and a filter on the id is applied before the rest. Text without a LOCUS is left out."""
@@ -72,6 +72,7 @@ def read_annotated(spark: SparkSession, path: str) -> DataFrame:
     return text.where(locus != "").select(
         F.coalesce(F.nullif(version, F.lit("")), locus).alias("id"), F.regexp_replace(F.regexp_replace(F.nullif(title, F.lit("")), r"[^\S\n]*+\n\s*+", " "), r"\.+$", "").alias("description"),
         F.when(origin > 0, F.upper(letters)).otherwise("").alias("seq"), _features(table).alias("features"),
+        F.nullif(F.lower(F.regexp_extract("value", r"(?mi)^LOCUS\s.*?\b(circular|linear)\b", 1)), F.lit("")).alias("topology"),
     )
 
 
@@ -80,6 +81,16 @@ def feature_rows(records: DataFrame) -> DataFrame:
     return records.select("id", F.explode("features").alias("f")).select("id", "f.*")
 
 
+#: Qualifiers of a feature that get a column of their own.
+QUALIFIERS = ("gene", "product", "locus_tag", "protein_id", "codon_start", "transl_table", "GO_process")
+
+
+def qualifier_table(records: DataFrame, names: tuple[str, ...] = QUALIFIERS) -> DataFrame:
+    """A row per feature: the first value of each of ``names``, null where it has none, and start, end and strand."""
+    rows = feature_rows(records)
+    return rows.select("id", *(F.get(F.try_element_at("qualifiers", F.lit(n)), 0).alias(n) for n in names), "start", "end", "strand")
+
+
 def read_hits(spark: SparkSession, path: str, header: list[tuple[str, str]]) -> DataFrame:
     """Alignment rows without a header line; ``header``: (name, type)."""
     return spark.read.schema(", ".join(f"`{n}` {t}" for n, t in header)).csv(path, sep="\t")

@@ -38,7 +38,9 @@ def to_feature_json(features: DataFrame, plots: DataFrame, key: str) -> DataFram
 
 
 def write_annotated(df: DataFrame, path: str) -> None:
-    """Flat-file records of ``(id, description, seq, features)``, as ``read_annotated`` gives them, each ended by ``//``."""
+    """Flat-file records of ``(id, description, seq, features)`` and, if there, ``topology``, as ``read_annotated`` gives them,
+    each ended by ``//``."""
+    shape = F.concat_ws(" ", F.lit(""), F.concat(F.length(F.coalesce("seq", F.lit(""))).cast("string"), F.lit(" bp    DNA")), F.col("topology") if "topology" in df.columns else F.lit(None))
     quoted = lambda q: F.transform(F.map_entries(q), lambda e: F.transform(e["value"], lambda v: F.concat(F.lit(" " * 21 + "/"), e["key"], F.lit('="'), v, F.lit('"'))))
 
     def block(f: Column) -> Column:
@@ -48,7 +50,7 @@ def write_annotated(df: DataFrame, path: str) -> None:
 
     seq = F.regexp_replace(F.coalesce("seq", F.lit("")), "(.{60})", "$1\n")
     lines = F.array(
-        F.concat(F.lit("LOCUS       "), F.col("id")), F.concat(F.lit("DEFINITION  "), F.col("description")), F.concat(F.lit("VERSION     "), F.col("id")), F.lit("FEATURES             Location/Qualifiers"),
+        F.concat(F.lit("LOCUS       "), F.col("id"), shape), F.concat(F.lit("DEFINITION  "), F.col("description")), F.concat(F.lit("VERSION     "), F.col("id")), F.lit("FEATURES             Location/Qualifiers"),
         F.nullif(F.array_join(F.transform("features", block), "\n"), F.lit("")), F.lit("ORIGIN"), F.nullif(seq, F.lit("")), F.lit("//"),
     )
     df.select(F.array_join(F.array_compact(lines), "\n").alias("value")).write.text(path)
