@@ -8,8 +8,10 @@ from pyspark.sql.window import Window as W
 
 from florilege.llm.durable import Scratch, durable
 
-#: Levels of the tree; the segments below are one segment of the last level.
+#: Levels that every path is followed to; below, only nodes whose labels disagree are split further, as deep as they go.
 DEPTH = 4
+#: The segments below a node that is not split.
+REST = "**"
 #: A segment stays as it is if so many of its parent's URLs have it and they are at least this share; others are variable.
 LEAST_URLS, LEAST_SHARE = 5, 0.02
 #: Branches are similar if the share of blocked labels in each differs from its siblings' by less than so many deviations.
@@ -49,31 +51,46 @@ def _variable(segment: Column) -> Column:
 
 
 def path_templates(urls: DataFrame, tables: Scratch | None = None) -> DataFrame:
-    """``urls(host, path, ...)`` with ``p1`` to ``pN``, the segments of their path template (null below its end).
+    """``urls(host, path, blocked, ...)`` with ``p1`` to ``pN``, the segments of their path template (null below its end).
 
     Level by level, the segments of each node of each host are counted; those that few of its URLs share become a
     wildcard. Counts are pre-aggregated, and only segments frequent enough to stay, a bounded number a node, are joined
-    back from a written table, one of ``tables`` if they are given.
+    back from a written table, one of ``tables`` if they are given. From level ``DEPTH`` on a node is split only while its
+    URLs have labels of both kinds, so branches that differ at any depth are told apart; what lies below another node is
+    ``REST``. The number of levels is that of the longest path down to which labels disagree.
     """
     write = tables.write if tables else durable
-    parts = F.filter(F.split("path", "/"), lambda s: s != "")
-    deep = F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH - 1), F.array(F.array_join(F.slice(parts, F.lit(DEPTH), F.size(parts)), "/")))).otherwise(parts)
-    rows = urls.withColumn("__parts", deep)
-    above = ["host"]
-    for d in range(1, DEPTH + 1):
-        rows = rows.withColumn("__s", F.get("__parts", d - 1))
-        rows = write(rows, "urls") if d > 1 else rows
-        counts = rows.groupBy(*above, "__s").agg(F.count("*").alias("__n"))
+    rows = write(urls.withColumn("__parts", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("__open", F.lit(True)), "urls")
+    longest, above, d = rows.agg(F.coalesce(F.max(F.size("__parts")), F.lit(0))).first()[0], ["host"], 0
+    while d < max(longest, 1):
+        d += 1
+        rows = rows.withColumn("__s", F.when(F.col("__open"), F.get("__parts", d - 1)))
+        counts = rows.where(F.col("__s").isNotNull()).groupBy(*above, "__s").agg(F.count("*").alias("__n"))
         totals = rows.groupBy(*above).agg(F.count("*").alias("__total"))
-        often = counts.where(F.col("__s").isNotNull() & (F.col("__n") >= LEAST_URLS) & ~F.col("__s").rlike("^[0-9]+$"))
+        often = counts.where((F.col("__n") >= LEAST_URLS) & ~F.col("__s").rlike("^[0-9]+$"))
         same = [F.col(f"often.{c}").eqNullSafe(F.col(f"totals.{c}")) for c in above]
         kept = often.alias("often").join(totals.alias("totals"), same).where(F.col("__n") >= F.col("__total") * LEAST_SHARE)
         kept = write(kept.select(*(F.col(f"often.{c}").alias(f"__{c}") for c in above), F.col("__s").alias("__kept")), "segments")
         same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in above] + [F.col("__s") == F.col("__kept")]
         rows = rows.join(kept, same, "left")
-        rows = rows.withColumn(f"p{d}", F.when(F.col("__s").isNotNull(), F.coalesce("__kept", _variable(F.col("__s"))))).drop(*(f"__{c}" for c in above), "__kept", "__s")
+        rest = ~F.col("__open") & (F.size("__parts") >= d) & (F.lit(d > DEPTH) & (F.col(above[-1]) != REST))
+        segment = F.when(F.col("__s").isNotNull(), F.coalesce("__kept", _variable(F.col("__s")))).when(rest, REST)
+        rows = rows.withColumn(f"p{d}", segment).drop(*(f"__{c}" for c in above), "__kept", "__s")
         above.append(f"p{d}")
-    return rows.drop("__parts")
+        if d >= DEPTH and d < longest:
+            mixed = rows.where("__open").groupBy(*above).agg(F.min("blocked").alias("__least"), F.max("blocked").alias("__most")).where("__least <> __most")
+            mixed = write(mixed.select(*(F.col(c).alias(f"__{c}") for c in above), F.lit(True).alias("__mixed")), "mixed")
+            rows = rows.join(mixed, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in above], "left")
+            rows = rows.withColumn("__open", F.col("__open") & F.col("__mixed").isNotNull() & (F.size("__parts") > d)).drop(*(f"__{c}" for c in above), "__mixed")
+        rows = write(rows, "urls")
+        if d > DEPTH and rows.where("__open").isEmpty():
+            break
+    return rows.drop("__parts", "__open")
+
+
+def _levels(urls: DataFrame) -> list[str]:
+    found = {int(c[1:]) for c in urls.columns if c[0] == "p" and c[1:].isdigit()}
+    return [f"p{d}" for d in sorted(found)]
 
 
 def judge_templates(urls: DataFrame) -> DataFrame:
@@ -83,10 +100,10 @@ def judge_templates(urls: DataFrame) -> DataFrame:
     does not differ significantly from that of its labelled siblings is merged with the others like it. Rows here are
     templates, of which a node has a bounded number.
     """
-    levels = [f"p{d}" for d in range(1, DEPTH + 1)]
+    levels = _levels(urls)
     leaves = urls.groupBy("host", *levels).agg(F.count("blocked").alias("labelled"), F.coalesce(F.sum(F.col("blocked").cast("long")), F.lit(0)).alias("bad"))
     tree = leaves.select("*", *(F.col(c).alias(f"q{c}") for c in levels))
-    for d in range(DEPTH, 0, -1):
+    for d in range(len(levels), 0, -1):
         upper = ["host", *(f"q{c}" for c in levels[: d - 1])]
         own, all_ = W.partitionBy(*upper, f"q{levels[d - 1]}"), W.partitionBy(*upper)
         n, k = F.sum("labelled").over(own), F.sum("bad").over(own)
@@ -109,7 +126,8 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id"
     longest rule that fits, else ``block`` if the template tree, labelled by the rules' verdicts, rejects its template.
 
     Null urls and those without ``://`` have an empty host and path, no rule, and are judged by the template of the empty
-    path. Rows that repeat are judged row by row; an empty table gives no rows.
+    path. Rows that repeat are judged row by row, and long urls whole; an empty table gives no rows; other columns are
+    ignored, whatever their names.
     The result is a written table; the others are deleted.
     """
     host, path = split_url(F.col(url_col).cast("string"))
@@ -117,9 +135,9 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id"
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     with Scratch(pages.sparkSession) as tables:
         urls = tables.write(urls.select("*", rule.alias("rule"), verdict.alias("__verdict")).withColumn("blocked", F.col("__verdict") == "block"), "urls")
-        urls = tables.write(path_templates(urls, tables), "templates")
+        urls = path_templates(urls, tables)
         judged = tables.write(judge_templates(urls), "judged")
-        levels = [f"p{d}" for d in range(1, DEPTH + 1)]
+        levels = _levels(judged)
         same = [F.col(f"u.{c}").eqNullSafe(F.col(f"j.{c}")) for c in ["host", *levels]]
         out = urls.alias("u").join(judged.alias("j"), same, "left")
         verdict = F.coalesce("u.__verdict", F.when(F.col("j.rejected"), "block").otherwise("allow"))

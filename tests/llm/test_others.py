@@ -155,6 +155,42 @@ def test_template_of_mostly_blocked_labels_is_rejected(spark):
     assert {(r.p1, r.p2): r.rejected for r in judged} == {("bad", "*.html"): True, ("good", "*"): False}
 
 
+def test_branches_that_differ_far_below(spark):
+    """Labels that disagree only at the fourth, sixth and twelfth segment; a host without labels keeps four levels."""
+    rows = []
+    for deep in (3, 5, 11):
+        stem = "/".join(f"s{k}" for k in range(deep))
+        rows += [(f"h{deep}", f"/{stem}/{kind}/{k}", kind == "bad" if k % 10 else None) for kind in ("bad", "good") for k in range(60)]
+    rows += [("free", f"/a/b/c/d/{k}/x", None) for k in range(30)] + [("short", "", None), ("short", "/", True)]
+    urls = url_filter.path_templates(spark.createDataFrame(rows, "host string, path string, blocked boolean"))
+    judged = url_filter.judge_templates(urls).collect()
+    for deep in (3, 5, 11):
+        own = {r[f"p{deep + 1}"]: r.rejected for r in judged if r.host == f"h{deep}"}
+        assert own == {"bad": True, "good": False}
+    (free,) = [r for r in judged if r.host == "free"]
+    assert [free[f"p{k}"] for k in (1, 4, 5, 6)] == ["a", "d", "**", None]
+    assert urls.count() == len(rows)
+
+
+def test_url_filter_of_odd_tables(spark):
+    rows = [(1, "http://net/" + "a/" * 5000, "x"), (1, "http://h.org/" + "b" * 200_000, "y"), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string").withColumn("p1", F.lit(1)).withColumn("__parts", F.lit(1))
+    rules = {"net/": "block"}
+    got = sorted(((r.page_id, r.host, r.verdict) for r in url_filter.filter_urls(df, rules).collect()), key=str)
+    assert got == [(1, "h.org", "allow"), (1, "net", "block"), (None, "", "allow")]
+    assert url_filter.filter_urls(df.limit(0), rules).collect() == []
+
+
+def test_fingerprints_need_numbers(spark):
+    with pytest.raises(ValueError, match="numbers"):
+        fingerprints.edited_fingerprints(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
+def test_families_do_not_depend_on_the_number_of_languages():
+    few, many = language.Tree(["xa", "xb", "en"]), language.Tree(["xa", "xb", "en", *(f"y{k:02d}" for k in range(30))])
+    assert few.families["others x"] == many.families["others x"] == ["xa", "xb"] and few.families["germanic"] == ["en"]
+
+
 def test_pseudonyms(spark):
     texts = ["card 4337166598464399, 4337-1665-9846-4399; not 4337166598464398", "mail a.b@c.example.com +1 (456) 555-2186", None, "", "ip 74.42.69.78 v 3.0 999.1.1.1 on 2024-02-29 not 2023-02-29", "ssn 123-45-6789 000-12-3456 DE89370400440532013000 password=1e738d199cb6c4db8d"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("kind", F.lit("kept"))
