@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 
 from florilege.llm.expressions import let, named
 
-BINS, BIN_BITS = 128, 7
+BINS, BIN_BITS = 256, 8
 WIDTH = 5
 #: Low-order bits kept of each bin, two hexadecimal digits of the fingerprint.
 BITS, DIGITS = 8, 2
@@ -150,8 +150,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and ``near_next``. Null text
     is the empty text; very long texts count whole. Repeated ids are ordered by a hash of their texts, null ids come
-    last; a single document is its own next one; an empty table gives no rows. Text is shuffled once.
+    last; a single document is its own next one; an empty table gives no rows. Text is shuffled once. ``id_col`` must hold
+    numbers, since documents follow each other by it.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.NumericType):
+        raise ValueError("ids must be numbers")
     rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
     rows = with_next(rows, "id", "text", {"fingerprint": fingerprint(F.col("text"))})
     n = F.length("text")
