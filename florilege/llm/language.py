@@ -14,17 +14,15 @@ from florilege.llm.expressions import named
 from florilege.llm.sampling import first_of_classes, sample_of_classes
 from florilege.llm.shingles import chunks, text_buffers
 from florilege.llm.subwords import CHUNK_BYTES, Words
-from florilege.llm.toxicity import excerpt
+from florilege.llm.toxicity import whole_or_excerpt
 
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-#: The training sample: at most so many documents of each language; of a longer one an excerpt of so many characters.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 200, 6_000
+#: The training sample: at most so many documents of each language, read whole.
+SAMPLE_DOCUMENTS = 200
 #: And at most so many documents in all, as long as each language has ``FEW``.
 MOST_DOCUMENTS, FEW = 2_000, 5
-#: Languages without a family that are put together.
-TOGETHER = 8
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc"),
@@ -90,18 +88,13 @@ def _machine(doc: np.ndarray, at: np.ndarray, value: np.ndarray, y: np.ndarray,
 
 class Tree:
     """Two levels of machines: among families, and among the languages of each family. Languages that stand in no family
-    are one each where they are few, else put together, ``TOGETHER`` to a family, so that pairs grow with their number."""
+    are put together by their first letter, however many there are."""
 
     def __init__(self, languages: list[str], families: dict[str, tuple[str, ...]] | None = None):
         of = {lang: name for name, some in (families or FAMILIES).items() for lang in some}
         self.families: dict[str, list[str]] = {}
-        others = sorted(lang for lang in languages if lang not in of)
         for lang in sorted(languages):
-            if lang in of:
-                self.families.setdefault(of[lang], []).append(lang)
-        size = 1 if len(others) <= TOGETHER else TOGETHER
-        for k in range(0, len(others), size):
-            self.families[f"others {k // size:06d}"] = others[k : k + size]
+            self.families.setdefault(of.get(lang) or f"others {lang[:1]}", []).append(lang)
 
     def fit(self, texts: list[str], languages: np.ndarray) -> Tree:
         words = Words(texts)
@@ -143,10 +136,11 @@ class Tree:
         return out, score
 
 
-def train_language(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> Tree | None:
+def train_language(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCUMENTS, characters: int | None = None) -> Tree | None:
     """Fit on a bounded sample of the documents with a language that satisfy ``usable`` (a condition on ``id``).
 
-    Every language of a usable document is learnt, however many there are and however long its documents. Null languages,
+    Every language of a usable document is learnt, however many there are and however long its documents, which are read
+    whole; where they may be too long for the driver, ``characters`` bounds each by an excerpt. Null languages,
     ids and texts teach nothing; repeated rows are drawn together, but no more rows than asked for; None without any usable document.
     """
     texts = docs.select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), named(text_col).cast("string").alias("text"))
@@ -159,7 +153,7 @@ def train_language(docs: DataFrame, usable: Column | None = None, id_col: str =
         return None
     most = min(per_language, max(FEW, MOST_DOCUMENTS // len(languages)))
     picked = sample_of_classes(known, "lang", most)
-    fit = first_of_classes(texts.join(F.broadcast(picked), ["id", "lang"]), "lang", most, "id", "text").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "lang")  # a bounded sample
+    fit = first_of_classes(texts.join(F.broadcast(picked), ["id", "lang"]), "lang", most, "id", "text").select(F.xxhash64("id").alias("hash"), whole_or_excerpt(F.col("text"), characters).alias("text"), "lang")  # a bounded sample
     rows = sorted((r.hash, r.text, r.lang) for r in fit.collect())
     return Tree(languages).fit([r[1] for r in rows], np.array([r[2] for r in rows]))
 
