@@ -18,9 +18,9 @@ from florilege.llm.subwords import CHUNK_BYTES, Words
 SIZES = (3, 4, 5)
 BUCKETS, DIMENSIONS = 1 << 17, 8
 PASSAGE_WORDS = 20
-#: The training sample: at most so many documents of each class; of one longer than so many characters as many windows,
-#: spread evenly over its whole text, as make up that length.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, WINDOWS = 1500, 8_000, 16
+#: The training sample: at most so many documents of each class, read whole. Where a bound on characters is asked for, a
+#: longer one gives as many windows, spread evenly over its whole text, as make up that length.
+SAMPLE_DOCUMENTS, WINDOWS = 1500, 16
 EPOCHS = 16
 TRUNC = 30.0
 #: N-grams of fewer words, counted once in each text of the sample, keep a zero vector.
@@ -177,11 +177,15 @@ def excerpt(text: Column, characters: int, windows: int = WINDOWS) -> Column:
     return F.when(F.length(text) > characters, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), stretch), " ")).otherwise(text)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> SubwordBag | None:
+def whole_or_excerpt(text: Column, characters: int | None) -> Column:
+    return text if characters is None else excerpt(text, characters)
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_DOCUMENTS, characters: int | None = None) -> SubwordBag | None:
     """Fit on a bounded sample of labelled documents that satisfy ``usable`` (a condition on the id).
 
-    The sample is drawn from documents that are there and have a text, of any length; of very long ones ``excerpt`` is
-    read. A document with several labels is toxic if one of them says so; null labels and ids say nothing; rows that
+    The sample is drawn from documents that are there and have a text, of any length, and read whole; ``characters``
+    bounds each by an excerpt where they may be too long for the driver. A document with several labels is toxic if one of them says so; null labels and ids say nothing; rows that
     repeat an id are several documents of its label, and ``per_class`` bounds the rows. None if a class has no document: there is then nothing to learn.
     """
     known = labels.where(named(label_col).isNotNull() & named(id_col).isNotNull()).groupBy(named(id_col).alias("id")).agg((F.max(named(label_col)) > 0).cast("int").alias("toxic"))
@@ -190,7 +194,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     texts = docs.where(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     known = existing(known, texts, "id")
     picked = sample_of_classes(known, "toxic", per_class)
-    fit = first_of_classes(texts.join(F.broadcast(picked), "id"), "toxic", per_class, "id", "text").select(F.xxhash64("id").alias("hash"), excerpt(F.col("text"), characters).alias("text"), "toxic")  # a bounded sample
+    fit = first_of_classes(texts.join(F.broadcast(picked), "id"), "toxic", per_class, "id", "text").select(F.xxhash64("id").alias("hash"), whole_or_excerpt(F.col("text"), characters).alias("text"), "toxic")  # a bounded sample
     rows = sorted((r.hash, r.text, r.toxic) for r in fit.collect())
     toxic = np.array([r[2] for r in rows], int)
     if not len(rows) or toxic.min() == toxic.max():
