@@ -22,19 +22,25 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
-#: K-mers that are cut from one block of a sequence, so that no k-mer is looked for from the start of a long one.
-BLOCK = 512
+#: K-mers that are cut from one block of a sequence, and blocks of one stretch, so that no k-mer is looked for from the start
+#: of a long sequence.
+BLOCK, STRETCH = 64, 64
 
 
 def kmers(seq: Column, k: int) -> Column:
     """All substrings of length ``k``; none for shorter sequences."""
-    n = F.length(seq) - (k - 1)
-    blocks = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def pieces(text: Column, size: int) -> Column:
+        """Stretches that begin every ``size`` characters and reach to the end of the last k-mer that begins in them."""
+        n = F.length(text) - (k - 1)
+        starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda b: F.substring(text, b * size + 1, F.lit(size + k - 1)))
 
     def cut(block: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.length(block) - (k - 1)), lambda i: F.substring(block, i, F.lit(k)))
 
-    return F.flatten(F.transform(F.transform(blocks, lambda b: F.substring(seq, b * BLOCK + 1, F.lit(BLOCK + k - 1))), cut))
+    blocks = F.flatten(F.transform(pieces(seq, BLOCK * STRETCH), lambda stretch: pieces(stretch, BLOCK)))
+    return F.flatten(F.transform(blocks, cut))
 
 
 def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical: bool = True, numbers: bool = False) -> Column:
@@ -45,17 +51,17 @@ def sketch(seq: Column, k: int = 21, s: int = 1000, seed: int = 123, canonical:
     distinct and sorted; if too few are distinct, all are."""
 
     def hashed(m: Column) -> Column:
-        text = F.md5(F.concat(F.lit(f"{seed}:"), F.least(m, reverse_complement(m)) if canonical else m))
-        return F.conv(F.substring(text, 1, 15), 16, 10).cast("long") if numbers else text
+        return F.md5(F.concat(F.lit(f"{seed}:"), F.least(m, reverse_complement(m)) if canonical else m))
 
     def smallest(h: Column) -> Column:
         below = F.least((F.lit(1.5 * s + 50)) / F.size(h), F.lit(1.0)) * (1 << 32)
-        bound = below.cast("long") * (1 << 28) if numbers else F.lpad(F.lower(F.hex(below.cast("long"))), 8, "0")
+        bound = F.lpad(F.lower(F.hex(below.cast("long"))), 8, "0")
         some = lambda d: F.when(F.size(d) >= s, d).otherwise(F.array_distinct(h))
         few = F.transform(F.array(F.array_distinct(F.filter(h, lambda x: x < bound))), some)[0]
         return F.slice(F.sort_array(F.when(F.size(h) > 2 * s, few).otherwise(F.array_distinct(h))), 1, s)
 
-    return F.transform(F.array(F.transform(kmers(seq, k), hashed)), smallest)[0]
+    found = F.transform(F.array(F.transform(kmers(seq, k), hashed)), smallest)[0]
+    return F.transform(found, lambda h: F.conv(F.substring(h, 1, 15), 16, 10).cast("long")) if numbers else found
 
 
 def sketch_jaccard(a: Column, b: Column, s: int) -> Column:

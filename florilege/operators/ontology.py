@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from florilege.operators.lineage import checkpointed
 
 
-def ancestors(edges: DataFrame) -> DataFrame:
+def ancestors(edges: DataFrame, on_cycle: str = "stop") -> DataFrame:
     """``(id, ancestor, depth)`` from ``edges(id, parent)``: every pair of a term and a term above it with the shortest
-    distance, and each term with itself at 0. A cycle raises.
+    distance, and each term with itself at 0. On a cycle each term has the others above it once; ``on_cycle="raise"`` fails.
 
     Pointers are doubled: once all pairs up to a distance m are known, those at m joined with all from 1 to m give the
     pairs up to 2m, since each shortest way passes a term at distance m. So rounds grow with the logarithm of the depth,
@@ -19,11 +19,11 @@ def ancestors(edges: DataFrame) -> DataFrame:
     known, far = checkpointed(up), 1
     ends = known.select("id").union(known.select("ancestor")).distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
     while True:
-        if (loop := known.where("id = ancestor").first()) is not None:
+        if on_cycle == "raise" and (loop := known.where("id = ancestor").first()) is not None:
             raise ValueError(f"{loop.id} is its own ancestor")
         last = known.where(F.col("depth") == far)
         if last.isEmpty():
-            return known.union(ends)
+            return known.where("id <> ancestor").union(ends)
         steps = known.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("depth").alias("more"))
         found = last.select("id", "ancestor").join(steps, "ancestor").groupBy("id", F.col("next").alias("ancestor")).agg((F.min("more") + far).alias("depth"))
         new = checkpointed(found.join(known, ["id", "ancestor"], "left_anti"))

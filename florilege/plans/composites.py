@@ -348,7 +348,7 @@ def c9_annotate_terms(t):
     mapping = t.nation.select(F.col("n_name").alias("q"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("term_id"))
     mapping = mapping.union(t.region.select("r_name", F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
     prev = t.customer.where("c_custkey % 10 = 0").select("c_custkey", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("ids"))
-    return annotate_terms(named, "c_custkey", ["region", "nation"], mapping, "q", "term_id", prev, on.ancestors(edges(t)))
+    return annotate_terms(named, "c_custkey", ["region", "nation"], mapping, "q", "term_id", prev, on.ancestors(edges(t), on_cycle="raise"))
 
 
 @query("""WITH u AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tags, max(value) AS top FROM events GROUP BY 1), r AS (SELECT user_id, tags LIKE '%error%' AS a, tags LIKE '%view%' AS b, CASE WHEN top > 90 THEN top END AS lat, n1.n_name AS q1, lower(n2.n_name) AS q2 FROM u JOIN nation n1 ON n1.n_nationkey = user_id % 25 JOIN nation n2 ON n2.n_nationkey = user_id % 23),

@@ -38,7 +38,7 @@ def _records(t):
     return rows.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderpriority").alias("description"), F.translate(F.upper("o_orderpriority"), "0123456789- .", "").alias("seq"), F.coalesce("features", F.array().cast(rd.FEATURES)).alias("features"))
 
 
-@query("""WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) SELECT 'o' || o_orderkey AS id, regexp_replace(o_orderpriority, '\.+$', '') AS description, upper(regexp_replace(o_orderpriority, '[^A-Za-z]', '', 'g')) AS seq, coalesce(n, 0) AS n_features FROM orders LEFT JOIN n ON o_orderkey = l_orderkey""")
+@query("""WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) SELECT 'o' || o_orderkey AS id, regexp_replace(o_orderpriority, '\\.+$', '') AS description, upper(regexp_replace(o_orderpriority, '[^A-Za-z]', '', 'g')) AS seq, coalesce(n, 0) AS n_features FROM orders LEFT JOIN n ON o_orderkey = l_orderkey""")
 def s5_read_annotated(t):
     wr.write_annotated(_records(t), path := _folder(t, "flat"))
     return rd.read_annotated(t.spark, path).select("id", "description", "seq", F.size("features").cast("long").alias("n_features"))

@@ -77,7 +77,7 @@ def edges(t):
 
 @query(f"WITH {_EDGES} SELECT * FROM cl")
 def g1_ancestors(t):
-    return on.ancestors(edges(t))
+    return on.ancestors(edges(t), on_cycle="raise")
 
 
 @query(f"""WITH {_EDGES}, h AS (SELECT id, max(depth) AS h FROM cl GROUP BY 1), u AS (SELECT DISTINCT o_orderpriority AS key, 'c' || o_custkey AS id FROM orders),
@@ -85,7 +85,7 @@ def g1_ancestors(t):
     SELECT key, coalesce(string_agg(DISTINCT CASE WHEN h = 1 THEN ancestor END, ',' ORDER BY CASE WHEN h = 1 THEN ancestor END), '') AS level1, coalesce(string_agg(DISTINCT CASE WHEN h = 2 THEN ancestor END, ',' ORDER BY CASE WHEN h = 2 THEN ancestor END), '') AS level2 FROM x GROUP BY 1""")
 def g2_ancestor_levels(t):
     ids = t.orders.select(F.col("o_orderpriority").alias("key"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("term"))
-    return on.ancestor_levels(ids, "key", "term", on.ancestors(edges(t)), [1, 2])
+    return on.ancestor_levels(ids, "key", "term", on.ancestors(edges(t), on_cycle="raise"), [1, 2])
 
 
 @query("SELECT n_regionkey AS key, string_agg(s_name, ',' ORDER BY s_suppkey) AS names FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
@@ -107,7 +107,7 @@ def g5_lineage_table(t):
     terms = t.nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.lit("nation").alias("rank"))
     terms = terms.union(t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")), "r_name", F.lit("region")))
     ids = t.customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
-    return on.lineage_table(ids, "id", on.ancestors(edges(t)), terms, ["nation", "region"])
+    return on.lineage_table(ids, "id", on.ancestors(edges(t), on_cycle="raise"), terms, ["nation", "region"])
 
 
 @query(f"""WITH {_EDGES}, i AS (SELECT DISTINCT c_mktsegment AS key, CASE WHEN c_acctbal >= 0 THEN 'c' || c_custkey ELSE 'n' || c_nationkey END AS term FROM customer)
@@ -115,7 +115,7 @@ def g5_lineage_table(t):
 def j17_reduce_to_leaves(t):
     """Customers stand for themselves, those in debt for their nation, which stays where it is no other one's."""
     term = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).otherwise(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
-    return jo.reduce_to_leaves(t.customer.select(F.col("c_mktsegment").alias("key"), term.alias("term")), on.ancestors(edges(t)), "key", "term")
+    return jo.reduce_to_leaves(t.customer.select(F.col("c_mktsegment").alias("key"), term.alias("term")), on.ancestors(edges(t), on_cycle="raise"), "key", "term")
 
 
 def _lcs_sql(a: str, b: str) -> str:

@@ -97,7 +97,9 @@ def test_ancestors_by_several_ways_and_on_a_cycle(spark):
     assert got[("a", "d")] == 1 and got[("a", "f")] == 3 and got[("x", "f")] == 4 and got[("b", "e")] == 3 and got[("a", "a")] == 0 and len(got) == 26
     for loop in ([("f", "a")], [("f", "f")], [("c", "b")]):
         with pytest.raises(ValueError, match="ancestor"):
-            on.ancestors(spark.createDataFrame(edges + loop, "id string, parent string"))
+            on.ancestors(spark.createDataFrame(edges + loop, "id string, parent string"), on_cycle="raise")
+    around = on.ancestors(spark.createDataFrame([(f"c{k}", f"c{(k + 1) % 7}") for k in range(7)], "id string, parent string"))
+    assert sorted((r.id, r.ancestor, r.depth) for r in around.collect()) == sorted((f"c{k}", f"c{(k + d) % 7}", d) for k in range(7) for d in range(7))
     assert on.ancestors(spark.createDataFrame([], "id string, parent string")).count() == 0
 
 
