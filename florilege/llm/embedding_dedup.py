@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from florilege.llm.components import connected_components
 from florilege.llm.durable import Scratch, durable
+from florilege.llm.id_filter import filter_blocks, with_maybe
 from florilege.llm.shingles import mix64
 
 TABLES, PROBES = 20, 8
@@ -165,25 +166,30 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         p = float(np.arccos(cosine) / np.pi)
         most = SIGN_BITS if deviations is None else SIGN_BITS * p + deviations * (SIGN_BITS * p * (1 - p)) ** 0.5
 
-        def differing(a: str, b: str) -> F.Column:
-            return F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))) + F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1")))
-
         def linked(pairs: DataFrame) -> DataFrame:
             a, b = stand.select(F.col("id").alias("a"), F.col("v").alias("va")), stand.select(F.col("id").alias("b"), F.col("v").alias("vb"))
             found = pairs.join(a, "a").join(b, "b").select("a", "b", "va", "vb").mapInArrow(_cosines, f"a {kind}, b {kind}, cosine double")
             return found.where(F.col("cosine") >= cosine).select("a", "b")
 
+        signs = [stand.select(F.col("id").alias(n), F.col("s0").alias(f"{n}0"), F.col("s1").alias(f"{n}1")) for n in "ab"]
+
+        def likely(pairs: DataFrame) -> DataFrame:
+            """Pairs whose sign bits agree as often as asked for; bits are looked up for pairs that met, they don't meet."""
+            differing = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+            return pairs.join(signs[0], "a").join(signs[1], "b").where(differing <= most).select("a", "b") if most < SIGN_BITS else pairs
+
         fine = stand.select(F.explode("fine").alias("key"), "id")
         first = tables.write(fine.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"), "leaders")
-        led = fine.join(first, "key").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        a, b = stand.select("id", "s0", "s1").alias("a"), stand.select("id", "s0", "s1").alias("b")
-        led = led.alias("p").join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id")).where(differing("a", "b") <= most).select("p.a", "p.b")
-        labels = connected_components(linked(led), tables)
-        placed = tables.write(stand.select("id", "s0", "s1", "home", "probes").join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
-        homes = placed.select(F.explode("home").alias("key"), "id", "component", "s0", "s1").alias("a")
-        asked = placed.select(F.explode(F.concat("home", "probes")).alias("key"), "id", "component", "s0", "s1").alias("b")
-        apart = homes.join(asked, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (differing("a", "b") <= most))
-        apart = apart.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+        shared_fine = with_maybe(fine, filter_blocks(first, "key"), F.col("key")).where("__maybe").select("key", "id")  # cells of one stay where they are
+        led = shared_fine.join(first, "key").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+        labels = connected_components(linked(likely(led)), tables)
+        placed = tables.write(stand.select("id", "home", "probes").join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "placed")
+        homes = placed.select(F.explode("home").alias("key"), "id", "component")
+        probes = placed.select(F.explode("probes").alias("key"), "id", "component")
+        probes = with_maybe(probes, filter_blocks(homes, "key"), F.col("key")).where("__maybe").select("key", "id", "component")  # cells where nobody is at home
+        same = (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
+        met = [homes.alias("a").join(b, c).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")) for b, c in ((homes.alias("b"), same & (F.col("a.id") < F.col("b.id"))), (probes.alias("b"), same))]
+        apart = likely(tables.write(met[0].union(met[1]).distinct(), "met"))
         more = tables.write(linked(tables.write(apart, "candidates")), "links")
         where = placed.select("id", "component")
         more = more.join(where.select(F.col("id").alias("a"), F.col("component").alias("at_a")), "a").join(where.select(F.col("id").alias("b"), F.col("component").alias("at_b")), "b")
