@@ -10,7 +10,6 @@ from florilege.functions.text import levenshtein_ratio
 from florilege.operators import joins as jo
 from florilege.operators import ontology as on
 from florilege.operators import statistics as stt
-from florilege.operators import windows as wi
 from florilege.operators.lineage import checkpointed
 from florilege.operators.neighbours import knn_of_vectors
 from florilege.plans.catalogue import query
