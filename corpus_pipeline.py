@@ -22,6 +22,16 @@ PII_KEY = "florilege-demo-key"
 MIXTURE, KEEP_WHOLE = {"good": 0.95, "poor": 0.05}, "good"
 
 
+#: Rows that go to a Python worker at a time, where the session has Spark's own number: an executor and its workers then hold
+#: some megabytes of text a task instead of some tens.
+BATCH_KEY, BATCH_ROWS, SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_KEY, SPARKS_OWN) == SPARKS_OWN:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -31,6 +41,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts score as the model's bias and long ones whole; repeated rows fare alike; without labels of both
     classes all documents stay, and an empty table stays empty."""
+    _small_batches(spark)
     model = train_toxicity(docs, _labels(spark, sf_dir))
     return with_toxicity(docs, model, score_col="__toxicity").where(F.col("__toxicity") < TOXIC_FROM).drop("__toxicity")
 
@@ -39,6 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id, and one row of those that repeat an id.
 
     Null ids and texts without words have no duplicates and stay; an empty table stays empty."""
+    _small_batches(spark)
     return drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
@@ -62,6 +74,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two lengths: rows of pieces, one for a null or empty text, none for an empty table."""
+    _small_batches(spark)
     return pack_documents(docs)
 
 
