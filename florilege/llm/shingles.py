@@ -43,6 +43,11 @@ def tidy(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``made``, after which what Arrow and the C library hold for later goes back to the system: a worker waits between
     tasks without it."""
     yield from made
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library hold for later goes back to the system."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
         trim(0)

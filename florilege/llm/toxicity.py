@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from florilege.llm.expressions import named
 from florilege.llm.sampling import existing, first_of_classes, sample_of_classes
-from florilege.llm.shingles import chunks, text_buffers, tidy
+from florilege.llm.shingles import chunks, give_back, text_buffers, tidy
 from florilege.llm.subwords import CHUNK_BYTES, Words
 
 SIZES = (3, 4, 5)
@@ -23,6 +23,8 @@ PASSAGE_WORDS = 20
 SAMPLE_DOCUMENTS, WINDOWS = 1500, 16
 EPOCHS = 16
 TRUNC = 30.0
+#: Features that are scored at a time in training.
+FEATURES_AT_A_TIME = 1 << 18
 #: N-grams of fewer words, counted once in each text of the sample, keep a zero vector.
 RARE_TEXTS = 3
 
@@ -64,25 +66,24 @@ class SubwordBag:
         In a toxic document every passage counts as toxic at first (with a low weight), later its
         highest-scoring ones only: the others are left out, then clean."""
         words = Words(texts)
+        give_back()  # here and below: what a step held is large beside what it leaves
         word, bucket = words.features(SIZES, BUCKETS)
+        give_back()
         n_features = np.bincount(word, minlength=words.n_distinct)
         first_feature = np.cumsum(n_features) - n_features
-        text_of = np.repeat(np.arange(len(texts)), words.counts)
-        pairs = np.unique(words.which * np.int64(len(texts)) + text_of)  # word, text
-        n_texts = np.bincount(pairs // len(texts), minlength=words.n_distinct)
-        seen = np.bincount(bucket, n_texts[word], BUCKETS)
-        rare = seen < RARE_TEXTS
+        rare = self._seen_texts(words, word, bucket) < RARE_TEXTS
         self.vectors[rare] = 0
         first, n_words, doc = distinct_passages(words)
         batch = int(np.clip(len(first) // 100, 64, batch))  # a small sample gets as many steps as a large one, of fewer passages
         toxic_passage = toxic[doc].astype(bool)
+        give_back()
         squares, squares_softmax = np.full((BUCKETS, DIMENSIONS), 1e-6, np.float32), np.full((DIMENSIONS, 2), 1e-6, np.float32)
         for epoch in range(epochs):
             target = toxic_passage.copy()
             start = epoch < epochs // 8
             weight = np.where(toxic_passage, 0.3, 1.0) if start else np.ones(len(first))
             if not start:
-                score = self._passage_scores(words, word, bucket, n_features, first, n_words)
+                score = self._passage_scores(words, word, bucket, n_features, first_feature, first)
                 best = np.full(len(toxic), -np.inf)
                 np.maximum.at(best, doc, score)
                 top = score >= np.minimum(best[doc], 0.0 if epoch > epochs // 4 else np.inf)
@@ -97,9 +98,32 @@ class SubwordBag:
                 self._step(use[k : k + batch], words, bucket, n_features, first_feature, first, n_words, target, weight, rate, squares, squares_softmax, rare)
         return self
 
-    def _passage_scores(self, words: Words, word, bucket, n_features, first, n_words) -> np.ndarray:
+    @staticmethod
+    def _seen_texts(words: Words, word, bucket) -> np.ndarray:
+        """For each bucket the texts that its words are in, a word's texts counted once."""
+        n = np.int64(max(1, len(words.counts)))
+        pairs = words.which * n
+        pairs += np.repeat(np.arange(len(words.counts)), words.counts)
+        pairs.sort()
+        first = np.ones(len(pairs), bool)
+        np.not_equal(pairs[1:], pairs[:-1], out=first[1:])
+        n_texts = np.bincount(pairs[first] // n, minlength=words.n_distinct)
+        del pairs, first
+        seen = np.zeros(BUCKETS)
+        for a in range(0, len(bucket), FEATURES_AT_A_TIME):
+            own = slice(a, a + FEATURES_AT_A_TIME)
+            seen += np.bincount(bucket[own], n_texts[word[own]], BUCKETS)
+        return seen
+
+    def _passage_scores(self, words: Words, word, bucket, n_features, first_feature, first) -> np.ndarray:
         flat = self.flat()
-        per_word = np.bincount(word, flat[bucket], words.n_distinct) / np.maximum(n_features, 1)
+        per_word = np.zeros(words.n_distinct)
+        for a in range(0, len(bucket), FEATURES_AT_A_TIME):  # a word's features stay together
+            low, high = np.searchsorted(first_feature, [a, a + FEATURES_AT_A_TIME]).tolist()
+            if low < high:
+                own = slice(first_feature[low], first_feature[high] if high < len(first_feature) else len(bucket))
+                per_word[low:high] = np.bincount(word[own] - low, flat[bucket[own]], high - low)
+        per_word /= np.maximum(n_features, 1)
         return np.add.reduceat(per_word[words.which], first) / PASSAGE_WORDS + (self.bias[1] - self.bias[0]) if len(first) else np.zeros(0)
 
     def _step(self, use, words, bucket, n_features, first_feature, first, n_words, target, weight, rate, squares, squares_softmax, rare) -> None:
@@ -200,7 +224,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     if not len(rows) or toxic.min() == toxic.max():
         return None
     share = known.agg(F.avg("toxic")).first()[0]
-    return SubwordBag().fit([r[1] for r in rows], toxic, min(0.99, max(0.01, share)))
+    texts = [r[1] for r in rows]
+    del rows
+    model = SubwordBag().fit(texts, toxic, min(0.99, max(0.01, share)))
+    del texts
+    give_back()  # the driver, too, goes on without it
+    return model
 
 
 def with_toxicity(docs: DataFrame, model: SubwordBag | None, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:

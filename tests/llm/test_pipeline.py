@@ -1,7 +1,13 @@
 """The pipeline's stages on a small table."""
 
+import tracemalloc
+
+import numpy as np
+
 import corpus_pipeline
 import __spark_entry__
+from florilege.llm.subwords import Words
+from florilege.llm.toxicity import SubwordBag
 
 
 def test_stages_keep_columns_and_take_effect(spark, tmp_path):
@@ -35,3 +41,30 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 def test_entry_lists_one_query_an_operator():
     names = __spark_entry__.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+
+
+def test_training_holds_little_beside_its_features():
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(97 + c) for c in w) for w in rng.integers(0, 26, (250, 9))) for _ in range(300)]
+    words = Words(texts)
+    words.features((3, 4, 5), 1 << 17)  # tables that are kept
+    tracemalloc.start()
+    word, bucket = words.features((3, 4, 5), 1 << 17)
+    peak = tracemalloc.get_traced_memory()[1]
+    n_features = np.bincount(word, minlength=words.n_distinct)
+    first_feature, first = np.cumsum(n_features) - n_features, np.arange(0, len(words.which), 20)
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    model = SubwordBag()
+    score = model._passage_scores(words, word, bucket, n_features, first_feature, first)
+    more = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert peak < 2.5 * (word.nbytes + bucket.nbytes) and more < 1.5 * (word.nbytes + bucket.nbytes)
+    parts = [np.stack(x) for x in words._features((3, 4, 5), 1 << 17)]
+    wanted = np.concatenate(parts, axis=1)
+    wanted = wanted[:, np.argsort(wanted[0], kind="stable")]
+    assert (wanted[0] == word).all() and (wanted[1] == bucket).all()
+    per_word = np.bincount(word, model.flat()[bucket], words.n_distinct) / n_features
+    assert (score == np.add.reduceat(per_word[words.which], first) / 20 + (model.bias[1] - model.bias[0])).all()
+    n_texts = np.bincount(np.unique(words.which * 300 + np.repeat(np.arange(300), words.counts)) // 300, minlength=words.n_distinct)
+    assert (model._seen_texts(words, word, bucket) == np.bincount(bucket, n_texts[word], 1 << 17)).all()
