@@ -20,7 +20,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = _LETTER[ord("A") : ord("Z") + 1] = True
 _MARK = np.zeros(256, bool)
-_MARK[list(b".,;:!?")] = True
+_MARK[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _SECOND = np.zeros(256, bool)  # after 0xC3: the second byte of a Latin letter
 _SECOND[0x80:0xC0] = True
 _SECOND[[0x97, 0xB7]] = False
@@ -40,7 +40,7 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Encodes whole texts with a tokenizers file whose rule never joins text across ASCII white space.
 
-    A text is cut at white space, and a word of plain Latin letters is also cut from the run of ``.,;:!?`` that ends it;
+    A text is cut at white space, and a word of plain Latin letters is also cut from the run of ASCII marks that ends it;
     the vocabulary's own splitting rule cuts there too, so the ids are those of the whole text (tests hold this against
     the library on whole texts). Plain words, lower-cased as the vocabulary's normaliser does, go straight to the
     library's model; everything else goes through its full encoder.
@@ -118,7 +118,7 @@ class WordEncoder:
         low = offsets[0]
         units, per_text = self._units(data[low : offsets[-1]], offsets - low)
         coded = units.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each word first
         if len(self.known) + len(words) > REMEMBERED_WORDS:
             self._forget()
         if new := [w for w in words if w not in self.known]:

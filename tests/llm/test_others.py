@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +14,9 @@ from florilege.llm import fingerprints, language, mixing, pii, toxicity, url_fil
 from florilege.llm.elias_fano import EliasFano
 from florilege.llm.embedding_dedup import near_embeddings, nearest_e8
 from florilege.llm.packing import pack_documents
+from florilege.llm.shingles import text_buffers
 from florilege.llm.token_files import read_token_digests, write_token_files
-from florilege.llm.tokens import vocabulary
+from florilege.llm.tokens import WordEncoder, vocabulary
 from tests.llm.test_near_dedup import shingle_set
 
 TEXTS = ["Hello, World! don't", "", None, "É,È. naïve 12,5 <|endoftext|> x<|STARTOFTEXT|>y", "a " * 5000, "日本語。 テスト", "..a b.. c!"]
@@ -65,6 +67,17 @@ def test_token_files(spark, docs, tmp_path):
     assert read_token_digests(spark, str(tmp_path / "none"), none).count() == 0
 
 
+def test_words_that_end_in_any_marks_share_their_letters():
+    """Once for the letters and once for the marks, not once for each pair of them; the ids are the library's."""
+    texts = ["ab$$$ Cd*** ef%%% ab### ab&&& ñí*** ab.### ab<|x|> ab''", "ab<|endoftext|> ab's ef'=\u0338 don't*", "x_y$$ 1$$ $$$"]
+    words = WordEncoder(vocabulary())
+    column = pa.array(texts)
+    ids, counts = words.encode(*text_buffers(column))
+    ends = np.cumsum(counts).tolist()
+    assert [ids[b - n : b].tolist() for b, n in zip(ends, counts.tolist(), strict=True)] == [encoded(t) for t in texts]
+    assert {"ab", "cd", "ef", "ñí", "$$$", ".###", "''"} <= words.known.keys() and not words.known.keys() & {"ab$$$", "Cd***", "ef%%%", "ab.###", "ab''"}
+
+
 def test_packing(docs):
     pieces = {}
     for r in pack_documents(docs).collect():
