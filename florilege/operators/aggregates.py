@@ -107,7 +107,8 @@ def quantiles(df: DataFrame, value: Column, probabilities: dict[str, float], by:
     value_at = [x for i, (lo, hi) in enumerate(zip(ends[::2], ends[1::2], strict=True)) for x in (F.max(F.when(holds(lo), F.col("v"))).alias(f"lo{i}"), F.max(F.when(holds(hi), F.col("v"))).alias(f"hi{i}"))]
     out = found.groupBy(*keys).agg(F.max("n").alias("n"), *value_at)
     share = [x - F.floor(x) for x in at]
-    return out.select(*keys, *((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * x).alias(name) for i, (name, x) in enumerate(zip(probabilities, share, strict=True))))
+    between = lambda lo, hi, x: F.when(lo == hi, lo).otherwise(lo + (hi - lo) * x)  # equal ends may be infinite
+    return out.select(*keys, *(between(F.col(f"lo{i}"), F.col(f"hi{i}"), x).alias(name) for i, (name, x) in enumerate(zip(probabilities, share, strict=True))))
 
 
 _QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}

@@ -261,3 +261,18 @@ def test_kmers_across_blocks(spark):
     texts = ["", None, "abc", "é" * 3 + "".join(chr(97 + i * i % 26) for i in range(2 * seq.BLOCK + 5)), "x" * seq.BLOCK, "y" * (seq.BLOCK + 4)]
     df = spark.createDataFrame(list(enumerate(texts)), "i long, s string").select("i", seq.kmers(F.col("s"), 5).alias("m"))
     assert {r.i: r.m for r in df.collect()} == {i: [s[j : j + 5] for j in range(len(s) - 4)] if s else [] for i, s in enumerate(texts)}
+
+
+def test_outliers_among_empty_documents_are_those_of_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = [(10**6 + i, "", "en", "web", 0) for i in range(4)] + [(10**6 + 9, None, "en", "web", None), (10**6 + 10, "e", "en", "web", 0)]
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    tables = {"documents": docs.union(spark.createDataFrame(odd, docs.schema)), "labels": labels.union(spark.createDataFrame([(10**6 + 1, 1, 0)], labels.schema))}
+    con = duckdb.connect()
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = rows(catalogue.queries()["c11_outlier_status"](spark, str(tmp_path)))
+    assert got == sorted(con.sql(catalogue.oracle_sql()["c11_outlier_status"]).fetchall(), key=repr)
+    assert dict(got)[10**6] == "outlier without evidence" and dict(got)[10**6 + 1] == "out of range" and 10**6 + 9 not in dict(got)
