@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import random
 
 import numpy as np
@@ -123,3 +124,34 @@ def test_permutations_of_a_given_distance_table(spark):
     assert flat.p > 0.5
     several = {(r.group1, r.group2): r for r in stt.pairwise_permanova(pairs, df.select("id", F.concat("label", (F.col("id") % 4).cast("string")).alias("label")), n_perm=500).collect()}
     assert len(several) == 6 and several[("a0", "b1")].p < 0.1 < several[("a0", "a2")].p
+
+
+def test_sketch_kernel_on_odd_texts(spark):
+    """Letters of one to four bytes, null, too short ones, and k-mers of more than one block of the digest."""
+    texts = ["", None, "abc", "日本語" * 40 + "abc" * 30 + "é🎉" * 50, "x" * 20, "x" * 21, "ab" * 300_000 + "日本" * 300, "xyz" * 7]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    for k in (21, 70):
+        for r in df.select("i", seq.sketch(F.col("s"), k, 100, canonical=False, numbers=True).alias("n")).collect():
+            s = texts[r.i] or ""
+            assert r.n == sorted({int(hashlib.md5(f"123:{s[j:j + k]}".encode()).hexdigest()[:15], 16) for j in range(len(s) - k + 1)})[:100]
+    a, b = [1, 3, 5, 9], [3, 4, 5, 7, 9]
+    for cast in (int, str):
+        kind = "array<long>" if cast is int else "array<string>"
+        pairs = spark.createDataFrame([([cast(v) for v in a], [cast(v) for v in b]), ([], []), (None, [cast(1)])], f"a {kind}, b {kind}")
+        assert [[r[0] for r in pairs.select(seq.sketch_jaccard(F.col("a"), F.col("b"), s)).collect()] for s in (1, 3, 100)] == [[0.0, 0.0, None], [1 / 3, 0.0, None], [0.5, 0.0, None]]
+
+
+def test_similarity_join_writes_no_sketches(spark, tmp_path):
+    """What it writes is a small part of the sketches, and pairs by frequent hashes alone are found."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    hot = word(60)
+    texts = [(i, word(1500)) for i in range(300)] + [(1000 + i, hot[: 50 + 5 * (i % 3)]) for i in range(90)]
+    df = spark.createDataFrame(texts, "id long, text string").select("id", seq.sketch(F.col("text"), 21, 1000, canonical=False, numbers=True).alias("s"))
+    size = lambda path: sum(p.stat().st_size for p in path.rglob("*.parquet"))
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = size(shared)
+    got = jo.similarity_join(df, "id", "s", 21, 0.00123693, 1000).collect()
+    assert sorted((r.a, r.b) for r in got) == [(1000 + i, 1000 + j) for i in range(90) for j in range(i + 1, 90) if i % 3 == j % 3]
+    df.write.parquet(f"{tmp_path}/sketches")
+    assert size(shared) - before < size(tmp_path / "sketches") / 4
