@@ -155,3 +155,15 @@ def test_similarity_join_writes_no_sketches(spark, tmp_path):
     assert sorted((r.a, r.b) for r in got) == [(1000 + i, 1000 + j) for i in range(90) for j in range(i + 1, 90) if i % 3 == j % 3]
     df.write.parquet(f"{tmp_path}/sketches")
     assert size(shared) - before < size(tmp_path / "sketches") / 4
+
+
+def test_sketch_distances_write_only_sketches_that_are_compared(spark, tmp_path):
+    from florilege.plans import catalogue
+
+    size = lambda path: sum(p.stat().st_size for p in path.rglob("*.parquet"))
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = size(shared)
+    assert catalogue.queries()["x24_sketch_distance"](spark, "/root/testdata/sf0.001").count() > 10
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.select(seq.sketch(F.col("text"), 21, 1000, canonical=False, numbers=True)).write.parquet(f"{tmp_path}/sketches")
+    assert size(shared) - before < size(tmp_path / "sketches") / 2
