@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,30 +34,39 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.trim(F.regexp_extract(head, r"^\S+\s*(.*?)\r?$", 1)).alias("description"), body.alias("seq")).where("id <> ''")
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, where ``value`` is evaluated once however often it is named."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def _features(table: Column) -> Column:
     """The feature table's lines as structs; qualifiers that repeat keep all their values."""
 
-    def feature(block: Column) -> Column:
-        parts = F.split(F.trim(block), r"\n\s+/")
-        kind = F.split_part(parts[0], F.lit(" "), F.lit(1))
-        place = F.regexp_replace(F.substring(parts[0], F.length(kind) + 1, F.length(parts[0])), r"\s", "")
-        numbers = F.transform(F.regexp_extract_all(place, F.lit(r"\d+"), F.lit(0)), lambda n: n.cast("long"))
+    def qualifier(q: Column) -> Column:
+        at = F.locate("=", q)
+        name = F.trim(F.when(at > 0, F.substring(q, F.lit(1), at - 1)).otherwise(q))
+        value = F.when(at > 0, F.substring(q, at + 1, F.length(q))).otherwise("")
+        joined = _let(F.regexp_replace(value, r"[^\S\n]*+\n\s*+", "\n"), lambda v: F.when(name == "translation", F.replace(v, F.lit("\n"), F.lit(""))).otherwise(F.replace(v, F.lit("\n"), F.lit(" "))))
+        return F.struct(name.alias("name"), F.btrim(F.when(value.contains("\n"), joined).otherwise(value), F.lit('"')).alias("value"))
 
-        def qualifier(q: Column) -> Column:
-            name = F.split_part(q, F.lit("="), F.lit(1))
-            value = F.regexp_replace(F.substring(q, F.length(name) + 2, F.length(q)), r"[^\S\n]*+\n\s*+", "\n")
-            value = F.when(F.trim(name) == "translation", F.replace(value, F.lit("\n"), F.lit(""))).otherwise(F.replace(value, F.lit("\n"), F.lit(" ")))
-            return F.struct(F.trim(name).alias("name"), F.btrim(value, F.lit('"')).alias("value"))
+    def several(pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
+        values = lambda names: F.transform(names, lambda n: F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]))
+        return _let(names, lambda names: F.when(F.size(names) == F.size(pairs), F.map_from_arrays(names, F.transform(pairs, lambda p: F.array(p["value"])))).otherwise(F.map_from_arrays(names, values(names))))
+
+    def placed(kind: Column, place: Column, pairs: Column) -> Column:
+        numbers = F.transform(F.regexp_extract_all(place, F.lit(r"\d+"), F.lit(0)), lambda n: n.cast("long"))
+        ends = _let(numbers, lambda n: F.struct(F.coalesce(F.array_min(n), F.lit(0)).cast("long").alias("lo"), F.coalesce(F.array_max(n), F.lit(0)).cast("long").alias("hi")))
+        row = lambda e: F.struct(kind.alias("type"), e["lo"].alias("start"), e["hi"].alias("end"), F.when(place.contains("complement"), -1).otherwise(1).alias("strand"), _let(pairs, several).alias("qualifiers"))
+        return _let(ends, row)
 
+    def feature(parts: Column) -> Column:
         pairs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), qualifier)
-        names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
-        values = F.transform(names, lambda n: F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]))
-        return F.struct(
-            kind.alias("type"), F.coalesce(F.array_min(numbers), F.lit(0)).cast("long").alias("start"), F.coalesce(F.array_max(numbers), F.lit(0)).cast("long").alias("end"),
-            F.when(place.contains("complement"), -1).otherwise(1).alias("strand"), F.map_from_arrays(names, values).alias("qualifiers"),
-        )
+        head = lambda h: _let(F.split_part(h, F.lit(" "), F.lit(1)), lambda kind: _let(F.regexp_replace(F.substring(h, F.length(kind) + 1, F.length(h)), r"\s", ""), lambda place: placed(kind, place, pairs)))
+        return _let(parts[0], head)
 
-    return F.when(F.trim(table) == "", F.array().cast(FEATURES)).otherwise(F.transform(F.split(F.regexp_replace(table, r"\n++$", ""), r"\n(?= {5}\S)"), feature))
+    blocks = F.split(F.regexp_replace(table, r"\n++$", ""), r"\n(?= {5}\S)")
+    return F.when(F.trim(table) == "", F.array().cast(FEATURES)).otherwise(F.transform(blocks, lambda block: _let(F.split(F.trim(block), r"\n\s+/"), feature)))
 
 
 def read_annotated(spark: SparkSession, path: str) -> DataFrame:
@@ -77,8 +88,8 @@ def read_annotated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feature_rows(records: DataFrame) -> DataFrame:
-    """A row per feature."""
-    return records.select("id", F.explode("features").alias("f")).select("id", "f.*")
+    """A row per feature. ``explode`` would have Spark ask first whether there are any, and parse them for it once more."""
+    return records.select("id", F.explode_outer("features").alias("f")).where("f is not null").select("id", "f.*")
 
 
 #: Qualifiers of a feature that get a column of their own.

@@ -117,6 +117,18 @@ def test_annotated_records_with_odd_parts(spark, tmp_path):
     assert (f.type, f.start, f.end, f.strand, f.qualifiers) == ("CDS", 5, 30, 1, {"translation": ["MKLV"], "note": ["two lines"]}) and got["T1"].seq == "" and got["T1"].description is None
 
 
+def test_features_are_parsed_once(spark, tmp_path):
+    odd = RECORD.replace('/gene="tetA"', '/gene="a=b"\n                     /pseudo\n                     /note="x\n                     y"\n                     /note="z"')
+    (tmp_path / "r.gb").write_text(odd + RECORD.replace("AB01", "AB02").replace("     source          1..24\n                     /organism=\"E. coli\"\n", "") + "LOCUS       AB03 4 bp\nORIGIN\n        1 acgt\n//\n")
+    records = rd.read_annotated(spark, f"{tmp_path}/r.gb")
+    for df in (rd.feature_rows(records).select("id", "type", "start", F.col("qualifiers")["note"]), rd.qualifier_table(records, ("gene", "note", "pseudo"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("complement") == 1  # one expression parses a place
+    got = {(r.id, r.gene): (r.note, r.pseudo, r.start, r.end, r.strand) for r in rd.qualifier_table(records, ("gene", "note", "pseudo")).collect()}
+    assert got == {("AB01.1", None): (None, None, 1, 24, 1), ("AB01.1", "a=b"): ("x y", "", 3, 20, -1), ("AB02.1", "tetA"): (None, None, 3, 20, -1)}
+    assert rd.feature_rows(records).where("id = 'AB01.1' and type = 'CDS'").first().qualifiers == {"gene": ["a=b"], "pseudo": [""], "note": ["x y", "z"], "db_xref": ["X:1", "X:2"]}
+
+
 def test_ingest_skips_known_keys(spark, tmp_path):
     args = (f"{tmp_path}/in", "k int, v string", ["k"], f"{tmp_path}/out", f"{tmp_path}/cp")
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(f"{tmp_path}/in/b0")
