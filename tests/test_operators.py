@@ -276,3 +276,23 @@ def test_outliers_among_empty_documents_are_those_of_sql(spark, tmp_path):
     got = rows(catalogue.queries()["c11_outlier_status"](spark, str(tmp_path)))
     assert got == sorted(con.sql(catalogue.oracle_sql()["c11_outlier_status"]).fetchall(), key=repr)
     assert dict(got)[10**6] == "outlier without evidence" and dict(got)[10**6 + 1] == "out of range" and 10**6 + 9 not in dict(got)
+
+
+def test_merged_reports_leave_out_crowded_hits_by_one_join(spark):
+    """Before, the hits that stay were joined back twice with all that repeat."""
+    schema = "rec string, gene string, strand string, s int, e int, id int"
+    one = spark.createDataFrame([("r", "x", "+", s, s + 9, i) for i, s in enumerate((-25, -24, 0, 43, 44, 54, 65, 1000))], schema)
+    got = cp.merge_reports({"a": (one, {}, {}), "b": (one.where("id < 0"), {}, {})}, "gene", "a", "b", "bla", ["rec"], "strand", "s", "e", 10, "id")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+    assert rows(got.select("id")) == [(0,), (2,), (3,), (6,), (7,)]
+
+
+def test_group_pairs_shuffle_no_pairs_and_send_no_parts_to_the_driver(spark):
+    data = [(1, 5.0, "a", "u"), (2, 4.0, "a", "u"), (3, 4.0, "a", None), (4, 9.0, None, "u"), (5, 1.0, None, None), (5, 1.0, None, None)]
+    df = spark.createDataFrame(data, "id int, n double, g string, h string")
+    got = jo.group_pairs(df, ["g", "h"], "id", "n")
+    assert rows(got) == [(1, 4), (2, 1), (2, 3), (2, 4), (3, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < (plan.index("Aggregate") if "Aggregate" in plan else len(plan)) and "strategy=merge" in plan
+    twice = df.union(spark.createDataFrame([(2, 4.5, "a", "v")], df.schema))
+    assert rows(jo.group_pairs(twice, ["g", "h"], "id", "n")) == [(1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (3, 2)]
