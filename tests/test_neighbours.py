@@ -167,3 +167,18 @@ def test_sketch_distances_write_only_sketches_that_are_compared(spark, tmp_path)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs.select(seq.sketch(F.col("text"), 21, 1000, canonical=False, numbers=True)).write.parquet(f"{tmp_path}/sketches")
     assert size(shared) - before < size(tmp_path / "sketches") / 2
+
+
+@pytest.mark.parametrize("numbers", [True, False])
+def test_all_distances_in_packs(spark, numbers):
+    """Packs of few rows, a passage that most share, copies, short texts: against each pair by itself."""
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    hot = word(70)
+    texts = [(i, hot + word(rng.randrange(200))) for i in range(30)] + [(100 + i, word(60)) for i in range(10)] + [(200 + i, hot) for i in range(4)] + [(300, "AC"), (None, hot)]
+    df = spark.createDataFrame(texts, "id int, seq string").repartition(3).select("id", seq.sketch(F.col("seq"), 15, 60, canonical=False, numbers=numbers).alias("s")).cache()
+    want = df.alias("x").join(df.alias("y"), F.col("x.id") < F.col("y.id")).where(F.arrays_overlap("x.s", "y.s"))
+    want = sorted(map(tuple, want.select("x.id", "y.id", seq.sketch_distance(F.col("x.s"), F.col("y.s"), 15, 60)).collect()))
+    for pack in (7, 1024):
+        assert sorted(map(tuple, jo.all_distances(df, "id", "s", 15, 60, pack).collect())) == want and len(want) > 400
+    assert jo.all_distances(df.limit(0), "id", "s", 15, 60).collect() == []
