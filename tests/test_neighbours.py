@@ -182,3 +182,19 @@ def test_all_distances_in_packs(spark, numbers):
     for pack in (7, 1024):
         assert sorted(map(tuple, jo.all_distances(df, "id", "s", 15, 60, pack).collect())) == want and len(want) > 400
     assert jo.all_distances(df.limit(0), "id", "s", 15, 60).collect() == []
+
+
+def test_nearest_neighbours_do_not_copy_vectors_to_each_cell(spark):
+    """Vectors that point everywhere ask most cells; what is shuffled for it grew with their number."""
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=32)]) for i in range(1500)], "id long, vec array<double>").repartition(3).cache()
+    got = knn_of_vectors(table, "id", "vec", 3)
+    assert got.count() == 3 * 1500
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan
+    x = np.array([r.vec for r in table.orderBy("id").collect()])
+    first = {r.a: r.b for r in got.where("rank = 1").collect()}
+    for i in range(0, 1500, 50):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        assert first[i] == int(d.argmin())
