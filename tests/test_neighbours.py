@@ -198,3 +198,22 @@ def test_nearest_neighbours_do_not_copy_vectors_to_each_cell(spark):
         d = ((x - x[i]) ** 2).sum(1)
         d[i] = np.inf
         assert first[i] == int(d.argmin())
+
+
+def test_distances_of_all_pairs_in_packs(spark, monkeypatch):
+    """Packs of few rows, vectors of other lengths, with nulls and null, and no join of single rows of vectors."""
+    from florilege.operators import statistics as stt
+
+    monkeypatch.setattr(stt, "PACK", 7)
+    rng = np.random.default_rng(4)
+    data = [(i, "ab"[i % 2], [float(v) for v in rng.normal(size=3)]) for i in range(40)] + [(50, "a", [1.0, 2.0]), (51, "a", [2.0, 2.0]), (52, "a", None), (53, "b", [1.0, None, 1.0]), (54, None, [1.0] * 3), (None, "a", [1.0] * 3)]
+    df = spark.createDataFrame(data, "id int, g string, vec array<double>").repartition(3)
+    for block in (None, "g"):
+        got = stt.pair_distances(df, "id", "vec", block)
+        known = [r for r in data if r[0] is not None and (block is None or r[1])]
+        whole = lambda v: v is not None and None not in v
+        want = {(p[0], q[0]): math.dist(p[2], q[2]) if whole(p[2]) and whole(q[2]) and len(p[2]) == len(q[2]) else None for p in known for q in known if p[0] < q[0] and (block is None or p[1] == q[1])}
+        rows = {(r.a, r.b): r.dist for r in got.collect()}
+        assert rows.keys() == want.keys() and got.count() == len(want)
+        assert all(rows[k] == want[k] or abs(rows[k] - want[k]) < 1e-12 for k in want)
+    assert "zip_with" not in got._jdf.queryExecution().optimizedPlan().toString()
